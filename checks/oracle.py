@@ -124,13 +124,18 @@ M2 = [
 ]
 
 
+# The lower times have two digits, so a decimal sum is exact in any order.
+TIME_MEAN = """CAST(sum(CAST(avg_time_on_page_seconds AS DECIMAL(18, 2))) AS DOUBLE)
+      / count(avg_time_on_page_seconds)"""
+
+
 def roll_pages(name: str, lower: str, lower_key: str, period: str, key: str) -> str:
     return f"""{name} AS (
   SELECT *, {half_even("page_exits / page_views", 3)} AS drop_rate FROM (
     SELECT p AS {key}, page_path, CAST(sum(page_views) AS BIGINT) AS page_views,
       CAST(sum(page_exits) AS BIGINT) AS page_exits,
       arg_min(next_to, {lower_key}) AS next_to, arg_min(next_count, {lower_key}) AS next_count,
-      {half_even("sum(avg_time_on_page_seconds) / count(avg_time_on_page_seconds)", 2)}
+      {half_even(TIME_MEAN, 2)}
         AS avg_time_on_page_seconds, sdk_key
     FROM (SELECT *, {period} AS p FROM {lower}) GROUP BY p, page_path, sdk_key))"""
 

@@ -164,11 +164,22 @@ def _finish(grouped: DataFrame, key: str) -> DataFrame:
         "page_exits",
         numbers.ratio_or_zero(F.col("page_exits"), F.col("page_views"), 3).alias("drop_rate"),
         "next_pages",
-        numbers.round_half_even(F.col("avg_time"), 2).alias("avg_time_on_page_seconds"),
+        numbers.round_half_even(F.try_divide(F.col("hundredths") / 100, F.col("time_n")), 2).alias(
+            "avg_time_on_page_seconds"
+        ),
         "sdk_key",
     )
 
 
+def _exact_sum(seconds: str) -> list[Column]:
+    """Sum and count of times already rounded to two digits. Added up as whole
+    hundredths, so that the order rows arrive in cannot change the mean."""
+    return [
+        F.sum(F.rint(F.col(seconds) * 100).cast("long")).alias("hundredths"),
+        F.count(seconds).alias("time_n"),
+    ]
+
+
 def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_pages: str) -> DataFrame:
     """Views and exits add up; time on page is the unweighted mean of lower rows.
 
@@ -179,7 +190,7 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
         grouped = lower.groupBy(period.alias(key), "page_path", "sdk_key").agg(
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),
-            F.avg("avg_time_on_page_seconds").alias("avg_time"),
+            *_exact_sum("avg_time_on_page_seconds"),
             F.min_by("next_pages", source_key).alias("next_pages"),
         )
         return _finish(grouped, key)
@@ -194,7 +205,7 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
         F.lit(None).cast("long").alias("to_count"),
         "page_views",
         "page_exits",
-        F.col("avg_time_on_page_seconds").alias("time"),
+        "avg_time_on_page_seconds",
     )
     moves = by_period.select(
         "period", "page_path", "sdk_key", F.explode("next_pages").alias("move")
@@ -212,14 +223,14 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
             F.sum("to_count").alias("to_count"),
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),
-            F.sum("time").alias("time_sum"),
-            F.count("time").alias("time_n"),
+            *_exact_sum("avg_time_on_page_seconds"),
         )
     )
     grouped = per_target.groupBy(F.col("period").alias(key), "page_path", "sdk_key").agg(
         F.sum("page_views").alias("page_views"),
         F.sum("page_exits").alias("page_exits"),
-        F.try_divide(F.sum("time_sum"), F.sum("time_n")).alias("avg_time"),
+        F.sum("hundredths").alias("hundredths"),
+        F.sum("time_n").alias("time_n"),
         _next_pages(F.col("to"), F.col("to_count")).alias("next_pages"),
     )
     return _finish(grouped, key)

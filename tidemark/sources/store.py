@@ -54,14 +54,17 @@ class RollupStore:
                 df = df.where(times.half_open(F.col("date_time"), period.start, period.end))
         return df.select(*table.columns)
 
-    def write(self, name: str, df: DataFrame, period: Period | None = None) -> None:
+    def write(
+        self, name: str, df: DataFrame, period: Period | None = None, folders: int | None = None
+    ) -> None:
         """Replace the partitions of ``period`` with ``df``, matched by column name.
 
         The rows first replace the partitions they fall in; then partitions of
         the period that got no rows this time are dropped. Running a period twice
         leaves the table as after the first run. Without a period only the
-        partitions that have rows are replaced. A ``run`` column, where there is
-        one, places the rows and is not stored.
+        partitions that have rows are replaced, and ``folders`` says about how
+        many those are. A ``run`` column, where there is one, places the rows and
+        is not stored.
         """
         table = TABLES[name]
         placed_by = "run" if "run" in df.columns else table.time_column
@@ -70,8 +73,7 @@ class RollupStore:
         )
         before = self._files(name, period) if period else {}
         (
-            # Few files per partition, yet a partition too big for one task is split.
-            keyed.hint("rebalance", *[F.col(c) for c in table.partitions])
+            self._spread(keyed, table, folder_count(table, period) if period else folders or 1)
             .sortWithinPartitions(*table.partitions, table.time_column, "sdk_key")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -85,6 +87,19 @@ class RollupStore:
             if files & after.get(folder, set()):
                 self._drop(folder)
 
+    def _spread(self, rows: DataFrame, table: Table, folders: int) -> DataFrame:
+        """Rows laid out so that tasks write few files each and share hot folders.
+
+        More folders than tasks: tasks take ranges over all keys, so a range ends
+        inside a big folder and spans many small ones. Otherwise tasks are sized
+        by bytes, and a folder too big for one task is split.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if folders > tasks:
+            keys = [c for c in table.columns if table.schema[c].dataType.typeName() != "array"]
+            return rows.repartitionByRange(tasks, *table.partitions, "sdk_key", *keys[1:-1])
+        return rows.hint("rebalance", *[F.col(c) for c in table.partitions])
+
     def delete(self, name: str, period: Period) -> None:
         for folder in self._files(name, period):
             self._drop(folder)
@@ -134,3 +149,9 @@ def partition_patterns(table: Table, period: Period) -> list[str]:
             out.append(f"dt={at.date()}/hh={at:%H}/mi={at:%M}")
             at += timedelta(minutes=10)
     return out
+
+
+def folder_count(table: Table, period: Period) -> int:
+    """Partition folders a full period has."""
+    size = {"minutes": timedelta(minutes=10), "hourly": timedelta(hours=1), "daily": timedelta(days=1)}
+    return -((period.start - period.end) // size.get(table.grain, timedelta(days=7)))

@@ -64,17 +64,17 @@ class MinuteStream:
         added = self.stored_events().where(F.col("batch") == tag)
         self.seen_log.update(added, tag)
         touched = self._touched(added, tag)
-        span = touched.agg(F.min("bucket"), F.max("bucket")).first()
-        if span[0] is None:
+        first, last, buckets = touched.agg(F.min("bucket"), F.max("bucket"), F.count("*")).first()
+        if not buckets:
             return
-        period = Period(span[0], span[1] + timedelta(minutes=10))
+        period = Period(first, last + timedelta(minutes=10))
         events = limit_events(self.stored_events(), period)
         bucket = times.ten_minutes(F.col("timestamp"))
         events = (
             events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi").drop("bucket")
         )
         for family in self.families:
-            self.store.write(f"minutes_{family}", self._rows(family, events))
+            self.store.write(f"minutes_{family}", self._rows(family, events), folders=buckets)
 
     def _touched(self, added: DataFrame, tag: str) -> DataFrame:
         """Buckets with new events, and those a late first event reaches: the
