@@ -100,6 +100,15 @@ PV = f"""pv AS (
     lead(page_path) OVER (PARTITION BY {B10}, session_id ORDER BY "timestamp", event_id)
       AS next_page
   FROM ev WHERE page_path <> '')"""
+
+
+def mean(x: str) -> str:
+    """A mean whose last digits do not depend on the order rows are added in: whole
+    1024ths and what is left of them are each added up without loss."""
+    units = f"({x}) * 1024"
+    return f"(sum(floor({units})) + sum({units} - floor({units}))) / 1024 / count({x})"
+
+
 M2 = [
     PV,
     f"""m2_moves AS (
@@ -112,7 +121,7 @@ M2 = [
     f"""m2_sums AS (
   SELECT date_time, page_path, sdk_key, count(*) AS page_views,
     count(*) FILTER (next_page IS NULL) AS page_exits,
-    {half_even("sum(time_on_page_seconds) / count(time_on_page_seconds)", 2)}
+    {half_even(mean("time_on_page_seconds"), 2)}
       AS avg_time_on_page_seconds
   FROM pv GROUP BY ALL)""",
     f"""m2 AS (
@@ -124,18 +133,13 @@ M2 = [
 ]
 
 
-# The lower times have two digits, so a decimal sum is exact in any order.
-TIME_MEAN = """CAST(sum(CAST(avg_time_on_page_seconds AS DECIMAL(18, 2))) AS DOUBLE)
-      / count(avg_time_on_page_seconds)"""
-
-
 def roll_pages(name: str, lower: str, lower_key: str, period: str, key: str) -> str:
     return f"""{name} AS (
   SELECT *, {half_even("page_exits / page_views", 3)} AS drop_rate FROM (
     SELECT p AS {key}, page_path, CAST(sum(page_views) AS BIGINT) AS page_views,
       CAST(sum(page_exits) AS BIGINT) AS page_exits,
       arg_min(next_to, {lower_key}) AS next_to, arg_min(next_count, {lower_key}) AS next_count,
-      {half_even(TIME_MEAN, 2)}
+      {half_even(mean("avg_time_on_page_seconds"), 2)}
         AS avg_time_on_page_seconds, sdk_key
     FROM (SELECT *, {period} AS p FROM {lower}) GROUP BY p, page_path, sdk_key))"""
 

@@ -114,18 +114,25 @@ def minutes_metrics(events: DataFrame, seen: DataFrame, run_grain: str = "10m")
     )
     # At most one row per bucket of the run in each of these partitions.
     visitor_run = Window.partitionBy("run", "sdk_key", "client_id")
-    timed = visits.withColumn(
-        "seconds",
-        times.seconds_between(F.min("first_at").over(visitor_run), F.max("last_at").over(visitor_run)),
+    timed = visits.withColumns(
+        {
+            "run_first": F.min("first_at").over(visitor_run),
+            "run_last": F.max("last_at").over(visitor_run),
+        }
+    )
+    arrivals = seen.select(
+        run_of(F.col("first_seen")).alias("run"),
+        "sdk_key",
+        "client_id",
+        F.lit(1).cast("long").alias("arrived"),
     )
-    arrivals = seen.select(run_of(F.col("first_seen")).alias("run"), "sdk_key", "client_id", F.lit(1).cast("long").alias("arrived"))
     rows = timed.join(arrivals, ["run", "sdk_key", "client_id"], "left").select(
         "date_time",
         "sdk_key",
         "clicks",
         F.lit(1).cast("long").alias("visitor"),
         F.coalesce("arrived", F.lit(0).cast("long")).alias("is_new"),
-        "seconds",
+        times.seconds_between(F.col("run_first"), F.col("run_last")).alias("seconds"),
         "n",
     )
     return _summed(rows, "date_time")

@@ -14,6 +14,8 @@ from tidemark.functions import numbers, times
 
 RUN_SECONDS = 600
 SLICES_PER_QUOTA = 4
+# Columns a mean time on page is taken from.
+TIME = ("time_whole", "time_rest", "time_n")
 
 
 def page_views(events: DataFrame) -> DataFrame:
@@ -98,8 +100,7 @@ def _transitions(events: DataFrame, hot: DataFrame | None) -> DataFrame:
         .groupBy("date_time", "page_path", "sdk_key", "next_page")
         .agg(
             F.count("*").alias("to_count"),
-            F.sum("time_on_page_seconds").alias("time_sum"),
-            F.count("time_on_page_seconds").alias("time_n"),
+            *numbers.mean_sums(F.col("time_on_page_seconds"), *TIME),
         )
     )
 
@@ -138,8 +139,7 @@ def minutes_page_stats(events: DataFrame, hot: DataFrame | None = None) -> DataF
             F.sum("to_count").alias("page_views"),
             exits.alias("page_exits"),
             _next_pages(F.col("next_page"), F.col("to_count")).alias("next_pages"),
-            F.sum("time_sum").alias("time_sum"),
-            F.sum("time_n").alias("time_n"),
+            *[F.sum(part).alias(part) for part in TIME],
         )
         .select(
             "date_time",
@@ -148,7 +148,7 @@ def minutes_page_stats(events: DataFrame, hot: DataFrame | None = None) -> DataF
             "page_exits",
             numbers.ratio_or_zero(F.col("page_exits"), F.col("page_views"), 3).alias("drop_rate"),
             "next_pages",
-            numbers.round_half_even(F.try_divide("time_sum", "time_n"), 2).alias(
+            numbers.round_half_even(numbers.mean_of(*map(F.col, TIME)), 2).alias(
                 "avg_time_on_page_seconds"
             ),
             "sdk_key",
@@ -164,22 +164,13 @@ def _finish(grouped: DataFrame, key: str) -> DataFrame:
         "page_exits",
         numbers.ratio_or_zero(F.col("page_exits"), F.col("page_views"), 3).alias("drop_rate"),
         "next_pages",
-        numbers.round_half_even(F.try_divide(F.col("hundredths") / 100, F.col("time_n")), 2).alias(
+        numbers.round_half_even(numbers.mean_of(*map(F.col, TIME)), 2).alias(
             "avg_time_on_page_seconds"
         ),
         "sdk_key",
     )
 
 
-def _exact_sum(seconds: str) -> list[Column]:
-    """Sum and count of times already rounded to two digits. Added up as whole
-    hundredths, so that the order rows arrive in cannot change the mean."""
-    return [
-        F.sum(F.rint(F.col(seconds) * 100).cast("long")).alias("hundredths"),
-        F.count(seconds).alias("time_n"),
-    ]
-
-
 def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_pages: str) -> DataFrame:
     """Views and exits add up; time on page is the unweighted mean of lower rows.
 
@@ -190,7 +181,7 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
         grouped = lower.groupBy(period.alias(key), "page_path", "sdk_key").agg(
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),
-            *_exact_sum("avg_time_on_page_seconds"),
+            *numbers.mean_sums(F.col("avg_time_on_page_seconds"), *TIME),
             F.min_by("next_pages", source_key).alias("next_pages"),
         )
         return _finish(grouped, key)
@@ -223,14 +214,13 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
             F.sum("to_count").alias("to_count"),
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),
-            *_exact_sum("avg_time_on_page_seconds"),
+            *numbers.mean_sums(F.col("avg_time_on_page_seconds"), *TIME),
         )
     )
     grouped = per_target.groupBy(F.col("period").alias(key), "page_path", "sdk_key").agg(
         F.sum("page_views").alias("page_views"),
         F.sum("page_exits").alias("page_exits"),
-        F.sum("hundredths").alias("hundredths"),
-        F.sum("time_n").alias("time_n"),
+        *[F.sum(part).alias(part) for part in TIME],
         _next_pages(F.col("to"), F.col("to_count")).alias("next_pages"),
     )
     return _finish(grouped, key)

@@ -33,16 +33,22 @@ def _items(kinds: list[str]) -> list[tuple[str, Column]]:
     return [(kind, known[kind]) for kind in kinds]
 
 
-def segments_long(events: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per event and segment type it has a value for."""
-    pairs = dimensions.labelled(dimensions.segments(), "segment_type", "segment_value")
+def _exploded(rows: DataFrame, pairs: list[tuple[str, Column]], label: str, value: str) -> DataFrame:
+    """One row per input row and pair whose value is not NULL."""
     return (
-        events.select(*keep, F.explode(pairs).alias("segment"))
-        .select(*keep, "segment.segment_type", "segment.segment_value")
-        .where(F.col("segment_value").isNotNull())
+        rows.withColumn("pair", F.explode(dimensions.labelled(pairs, label, value)))
+        .withColumns({label: F.col(f"pair.{label}"), value: F.col(f"pair.{value}")})
+        .where(F.col(value).isNotNull())
+        .drop("pair")
     )
 
 
+def segments_long(events: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per event and segment type it has a value for."""
+    rows = _exploded(events, dimensions.segments(), "segment_type", "segment_value")
+    return rows.select(*keep, "segment_type", "segment_value")
+
+
 def segment_facts(clicks: DataFrame, keys: list[str], kinds: list[str]) -> DataFrame:
     """Clicks and distinct clickers per key, segment, kind and item.
 
@@ -50,31 +56,21 @@ def segment_facts(clicks: DataFrame, keys: list[str], kinds: list[str]) -> DataF
     distinct count into a plain count and keeps a busy clicker, segment or site
     from loading one task: both groupings combine before their shuffle.
     """
-    items = F.array_compact(
-        F.array(
-            *[
-                F.when(item.isNotNull(), F.struct(F.lit(kind).alias("kind"), item.alias("item")))
-                for kind, item in _items(kinds)
-            ]
-        )
-    )
-    counted = [*keys, "sdk_key", "client_id", "kind", "item"]
     if len(kinds) == 1:
-        (kind, item) = _items(kinds)[0]
-        split = clicks.withColumns({"kind": F.lit(kind), "item": item}).where(F.col("item").isNotNull())
+        [(only, item)] = _items(kinds)
+        split, by_kind = clicks.withColumn("item", item).where(F.col("item").isNotNull()), []
     else:
-        split = (
-            clicks.withColumn("split", F.explode(items))
-            .withColumns({"kind": F.col("split.kind"), "item": F.col("split.item")})
-        )
+        split, by_kind = _exploded(clicks, _items(kinds), "kind", "item"), ["kind"]
+    counted = [*keys, "sdk_key", "client_id", *by_kind, "item"]
     per_clicker = (
         segments_long(split, counted)
         .groupBy(*counted, "segment_type", "segment_value")
         .agg(F.count("*").alias("n"))
     )
-    return per_clicker.groupBy(*keys, *SEGMENT, "kind", "item").agg(
+    facts = per_clicker.groupBy(*keys, *SEGMENT, *by_kind, "item").agg(
         F.sum("n").alias("clicks"), F.count("*").alias("users")
     )
+    return facts if by_kind else facts.withColumn("kind", F.lit(only))
 
 
 def minute_clicks(events: DataFrame, closed_end: bool = False) -> DataFrame:
