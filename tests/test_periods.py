@@ -5,7 +5,7 @@ import pytest
 from tidemark.plans import periods
 from tidemark.plans.periods import Period
 from tidemark.schema import TABLES
-from tidemark.sources.store import folder_count, partition_patterns
+from tidemark.sources.store import folders_of
 
 NOW = datetime(2024, 1, 16, 0, 10, 30)
 
@@ -56,20 +56,21 @@ def test_zones_move_the_bounds():
     assert span(day) == ("2024-01-14 15:00:00", "2024-01-15 15:00:00")
 
 
-def test_partition_patterns_cover_the_period():
+def test_folders_make_up_the_period():
     minutes, weekly = TABLES["minutes_metrics"], TABLES["weekly_metrics"]
     ragged = Period(datetime(2024, 1, 1, 22, 50), datetime(2024, 1, 3, 1, 10))
-    assert partition_patterns(minutes, ragged) == [
-        "dt=2024-01-01/hh=22/mi=50",
-        "dt=2024-01-01/hh=23/mi=*",
-        "dt=2024-01-02/hh=*/mi=*",
-        "dt=2024-01-03/hh=00/mi=*",
-        "dt=2024-01-03/hh=01/mi=00",
+    assert [f.path for f in folders_of(minutes, ragged)] == [
+        "dt=2024-01-01/span=2250",
+        "dt=2024-01-01/span=23",
+        "dt=2024-01-02/span=day",
+        "dt=2024-01-03/span=00",
+        "dt=2024-01-03/span=0100",
     ]
     weeks = Period(datetime(2024, 1, 1), datetime(2024, 1, 15))
-    assert partition_patterns(weekly, weeks) == ["dt=2024-01-01", "dt=2024-01-08"]
-    assert folder_count(minutes, periods.day("2024-01-01")) == 144
-    assert folder_count(weekly, weeks) == 2
+    assert [f.path for f in folders_of(weekly, weeks)] == ["dt=2024-01-01", "dt=2024-01-08"]
+    assert [f.path for f in folders_of(TABLES["daily_metrics"], periods.day("2024-01-05"))] == [
+        "dt=2024-01-05"
+    ]
 
 
 def test_an_empty_period_is_refused():

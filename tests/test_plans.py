@@ -1,5 +1,7 @@
 """The physical plans the operators are meant to get."""
 
+from datetime import date
+
 import pytest
 
 from tidemark.operators import metrics, pages, users, visitors
@@ -47,6 +49,6 @@ def test_scalar_page_statistics_gather_no_lists(e):
 
 def test_nothing_leaves_the_jvm_or_crosses(e):
     hourly = pages.hourly_page_stats(pages.minutes_page_stats(e), "merge")
-    for df in (hourly, users.weekly_top_elements(users.daily_top_elements(e), __import__("datetime").date(2024, 1, 1))):
+    for df in (hourly, users.weekly_top_elements(users.daily_top_elements(e), date(2024, 1, 1))):
         text = plan(df)
         assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text

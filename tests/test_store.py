@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -72,6 +73,47 @@ def test_a_period_that_turns_out_empty_loses_its_old_rows(spark, store, name):
     assert store.read(name).count() == 0
 
 
+def folders(store, name="minutes_metrics"):
+    return sorted(
+        {r[0].split(name + "/")[1].rsplit("/", 1)[0] for r in store.spark.read.parquet(store.path(name)).select("_metadata.file_path").collect()}
+    )
+
+
+def test_narrow_runs_cut_into_wider_folders(spark, store):
+    """A day written whole, then an hour and ten minutes of it from other events."""
+    jobs = rollups(spark, store, *[event(f"{h:02d}:{m}1") for h in (9, 10) for m in range(6)])
+    jobs.run("minutes_metrics", periods.day("2024-01-01"), "10m")
+    jobs.run("hourly_metrics", periods.day("2024-01-01"))
+    assert folders(store) == ["dt=2024-01-01/span=day"]
+    changed = rollups(spark, store, event("10:01"), event("10:02"), event("10:22"), event("10:23"))
+    for _ in range(2):
+        changed.run("minutes_metrics", periods.ten_minutes(TEN))
+    assert folders(store) == ["dt=2024-01-01/span=1000", "dt=2024-01-01/span=day"]
+    want = [(at(f"{h:02d}:{m}0"), 2 if (h, m) == (10, 0) else 1) for h in (9, 10) for m in range(6)]
+    assert sorted(clicks(store)) == sorted(want)
+    hour = periods.hour("2024-01-01T10")
+    assert sorted(clicks(store, period=hour)) == sorted(r for r in want if r[0].hour == 10)
+    changed.run("minutes_metrics", hour, "10m")
+    changed.run("hourly_metrics", hour)
+    want = [(at(f"09:{m}0"), 1) for m in range(6)] + [(at("10:00"), 2), (at("10:20"), 2)]
+    assert sorted(clicks(store)) == sorted(want)
+    assert folders(store) == ["dt=2024-01-01/span=10", "dt=2024-01-01/span=day"]
+    assert sorted(clicks(store, "hourly_metrics")) == [(at("09:00"), 6), (at("10:00"), 4)]
+    store.compact("minutes_metrics", periods.day("2024-01-01"))
+    assert folders(store) == ["dt=2024-01-01/span=day"]
+    assert sorted(clicks(store)) == sorted(want)
+    store.delete("minutes_metrics", periods.ten_minutes("2024-01-01T10:20"))
+    assert sorted(clicks(store)) == sorted(want[:-1])
+
+
+def test_a_wider_folder_that_keeps_nothing_is_dropped(spark, store):
+    jobs = rollups(spark, store, event("10:01"))
+    jobs.run("minutes_metrics", periods.day("2024-01-01"), "10m")
+    jobs.run("minutes_metrics", periods.ten_minutes(TEN))
+    assert folders(store) == ["dt=2024-01-01/span=1000"]
+    assert clicks(store) == [(at("10:00"), 1)]
+
+
 def test_an_unwritten_table_is_empty(store):
     assert store.read("daily_page_stats").count() == 0
 
@@ -95,9 +137,9 @@ def test_reads_skip_other_partitions(spark, store):
     hour = periods.hour("2024-01-02T10")
     df = store.read("minutes_metrics", hour)
     assert rows(df, "clicks") == [(2,)]
-    assert len(df.inputFiles()) > 0
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(dt" in plan
+    [pruned] = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert "dt#" in pruned and "2024-01-02" in pruned and "span#" in pruned
     assert "PushedFilters: [IsNotNull(date_time), GreaterThanOrEqual(date_time" in plan
 
 
@@ -215,6 +257,18 @@ def test_event_reads_are_pruned_and_pushed_down(spark, tmp_path):
     assert "page_path" not in read and "time_on_page" not in read
 
 
+def test_a_run_reads_only_its_days(spark, tmp_path, store):
+    path = str(tmp_path / "events")
+    e = events(spark, event("2024-01-04 10:00"), event("2024-01-05 10:00"))
+    e.withColumn("dt", F.col("timestamp").cast("date")).write.partitionBy("dt").parquet(path)
+    jobs = Rollups(spark, read_events(spark, path), store)
+    day = periods.day("2024-01-05")
+    for name in ("minutes_click_summary", "minutes_page_stats", "minutes_metrics"):
+        plan = jobs.compute(name, day, "10m")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[isnotnull\(dt#.*?dt#.*? >= 2024-01-05", plan), name
+    assert "(dt#" in plan and "<= 2024-01-06" in plan
+
+
 def test_range_pushdown_keeps_bounds_exact(spark):
     e = events(spark, event("10:00:00"), event("10:10:00"))
     assert limit_events(e, periods.ten_minutes(TEN)).count() == 1

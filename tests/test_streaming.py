@@ -2,6 +2,7 @@ import pytest
 
 from tests.crafted import at, event, events, rows
 from tidemark.operators import metrics, pages, users, visitors
+from tidemark.plans import periods
 from tidemark.schema import EVENTS, TABLES
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.store import RollupStore
@@ -70,6 +71,32 @@ def test_a_repeated_batch_changes_nothing(spark, stream):
     assert rows(stream.store.read("minutes_metrics"), *columns) == want
 
 
+def test_buckets_of_a_day_written_whole_are_replaced_one_by_one(spark, stream):
+    first, second = events(spark, *BATCHES[0]), events(spark, *BATCHES[1])
+    stream.process(first, 0)
+    for family in minutes.FAMILIES:
+        stream.store.compact(f"minutes_{family}", periods.day("2024-01-01"))
+    stream.process(second, 1)
+    for family in minutes.FAMILIES:
+        columns = TABLES[f"minutes_{family}"].columns
+        want = rows(batch_rows(first.union(second), family), *columns)
+        assert rows(stream.store.read(f"minutes_{family}"), *columns) == want
+
+
+def test_a_backlog_is_written_as_whole_days(spark, stream, monkeypatch):
+    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 1)
+    first, second = events(spark, *BATCHES[0]), events(spark, *BATCHES[1])
+    stream.process(first, 0)
+    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 24)
+    stream.process(second, 1)
+    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 1)
+    stream.process(second, 1)
+    for family in minutes.FAMILIES:
+        columns = TABLES[f"minutes_{family}"].columns
+        want = rows(batch_rows(first.union(second), family), *columns)
+        assert rows(stream.store.read(f"minutes_{family}"), *columns) == want
+
+
 def test_an_empty_batch_is_nothing(spark, stream):
     stream.process(events(spark), 0)
     assert stream.store.read("minutes_metrics").count() == 0

@@ -31,11 +31,10 @@ def page_views(events: DataFrame) -> DataFrame:
 
 
 def hot_sessions(events: DataFrame, quota: int) -> DataFrame:
-    """Sessions with more than ``quota`` page views in one run, and the number of
-    time slices to cut each into. At most (page views / quota) rows."""
+    """Sessions with more than ``quota`` events in one run, and the number of time
+    slices to cut each into. At most (events / quota) rows; reads two columns."""
     return (
-        page_views(events)
-        .groupBy("date_time", "session_id")
+        events.groupBy(times.ten_minutes(F.col("timestamp")).alias("date_time"), "session_id")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > quota)
         .select(

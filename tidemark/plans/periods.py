@@ -123,8 +123,3 @@ def complete_weeks(days: Period) -> Period | None:
 
 def _now(now: datetime | None) -> datetime:
     return datetime.now() if now is None else now
-
-
-def now_in(zone: str) -> datetime:
-    """Wall-clock time in the zone whose days a job reports."""
-    return datetime.now(ZoneInfo(zone)).replace(tzinfo=None)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.operators.visitors import first_seen
 from tidemark.plans import skew
-from tidemark.plans.periods import Period, complete_weeks
+from tidemark.plans.periods import Period, complete_weeks, run_period
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.events import events_before, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
@@ -128,11 +129,31 @@ class Rollups:
             self.seen_log.update(self._base_events(period), run_id)
         self.store.write(name, self.compute(name, period, run_grain), period)
 
-    def run_grain(self, grain: str, period: Period, run_grain: str | None = None) -> None:
+    def run_latest(self, grain: str, now: datetime | None = None) -> None:
+        """All tables of a grain for the last closed period. "Yesterday" is that of
+        the zone a table reports its days in. ``now`` is zone-aware."""
+        now = now or datetime.now(timezone.utc)
+
+        def latest(zone: str) -> Period:
+            return run_period(grain, None, now.astimezone(ZoneInfo(zone)).replace(tzinfo=None))
+
+        base = latest(self.options.base_zone)
+        users_from_events = grain == "daily"
+        self.run_grain(grain, base, None, latest(self.options.report_zone) if users_from_events else base)
+
+    def run_grain(
+        self,
+        grain: str,
+        period: Period,
+        run_grain: str | None = None,
+        segment_period: Period | None = None,
+    ) -> None:
         """All five tables of a grain. The three per-segment tables that read events
-        share one pass over the clicks, written once and read three times."""
+        share one pass over the clicks, written once and read three times; their
+        period may be given apart from that of the others."""
         for family in ("metrics", "page_stats"):
             self.run(f"{grain}_{family}", period, run_grain)
+        period = segment_period or period
         shared = [f for f in FAMILIES if f not in ("metrics", "page_stats")]
         if grain not in ("minutes", "daily"):
             for family in shared:

@@ -66,11 +66,9 @@ FAMILIES = {
 }
 
 # grain -> (time column, its type, partition columns from coarse to fine).
-# A partition is never wider than the smallest run of its grain, so that a run
-# replaces exactly its own partitions.
 GRAINS = {
-    "minutes": ("date_time", T.TimestampNTZType(), ["dt", "hh", "mi"]),
-    "hourly": ("date_time", T.TimestampNTZType(), ["dt", "hh"]),
+    "minutes": ("date_time", T.TimestampNTZType(), ["dt", "span"]),
+    "hourly": ("date_time", T.TimestampNTZType(), ["dt", "span"]),
     "daily": ("date", T.DateType(), ["dt"]),
     "weekly": ("date", T.DateType(), ["dt"]),
 }

@@ -12,18 +12,18 @@ from tidemark.schema import EVENTS
 
 def read_events(spark: SparkSession, path: str, period: Period | None = None) -> DataFrame:
     """Events under ``path``: Parquet, optionally partitioned by ``dt`` (date of
-    ``timestamp``)."""
-    return limit_events(spark.read.parquet(path), period)
+    ``timestamp``). Without a period ``dt`` is kept, for a later limit to use."""
+    events = spark.read.parquet(path)
+    return events if period is None else limit_events(events, period)
 
 
-def limit_events(events: DataFrame, period: Period | None) -> DataFrame:
+def limit_events(events: DataFrame, period: Period) -> DataFrame:
     """Half-open range on ``timestamp``, and on ``dt`` where the table has it so
     that whole partitions are skipped."""
-    if period is not None:
-        events = events.where(times.half_open(F.col("timestamp"), period.start, period.end))
-        if "dt" in events.columns:
-            first, last = period.days()
-            events = events.where(F.col("dt").between(F.lit(first), F.lit(last)))
+    events = events.where(times.half_open(F.col("timestamp"), period.start, period.end))
+    if "dt" in events.columns:
+        first, last = period.days()
+        events = events.where(F.col("dt").between(F.lit(first), F.lit(last)))
     return events.select(*EVENTS.fieldNames())
 
 

@@ -1,38 +1,102 @@
-"""Rollup tables as partitioned Parquet, where writing a period replaces it."""
+"""Rollup tables as partitioned Parquet, where writing a period replaces it.
+
+Every table is partitioned by ``dt``, the date of the time key. The minutes and
+hourly tables, which are also run for parts of a day, have a second level
+``span``: what the run that wrote the rows covered of that day (``day``, an hour
+``14``, or ten minutes ``1430``). So ten-minute runs of one day stand side by
+side, and a backfill of a year leaves a folder per day, not one per ten minutes.
+"""
 
 from __future__ import annotations
 
-from datetime import timedelta
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
-from tidemark.plans.periods import Period
+from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, WEEK, Period
 from tidemark.schema import TABLES, Table
 
+WHOLE_DAY = "day"
 
-def _partition_values(table: Table, placed_by: str) -> dict:
-    """Partition columns, from the row's own time key or the run that wrote it."""
-    key = F.col(placed_by)
-    values = {
-        "dt": key.cast("date").cast("string"),
-        "hh": F.lpad(F.hour(key).cast("string"), 2, "0"),
-        "mi": F.lpad(F.minute(key).cast("string"), 2, "0"),
-    }
-    return {name: values[name] for name in table.partitions}
 
+@dataclass(frozen=True)
+class Folder:
+    """One partition folder: a whole day, an hour or ten minutes of it."""
 
-def _covering(table: Table, period: Period) -> Column:
-    """Partitions that may hold rows of the period. A minute row may lie with the
-    run before it, where runs were closed at both ends."""
-    first, last = period.days()
-    covering = F.col("dt").between(str(first), str(last))
-    before = period.start - timedelta(minutes=10)
-    if table.grain == "minutes" and before.date() < first:
-        last_run = (F.col("dt") == str(before.date())) & (F.col("hh") == "23") & (F.col("mi") == "50")
-        covering = covering | last_run
-    return covering
+    dt: str
+    span: str | None = None
+
+    @property
+    def path(self) -> str:
+        return f"dt={self.dt}" if self.span is None else f"dt={self.dt}/span={self.span}"
+
+    def inside(self) -> str:
+        """Pattern of this folder and of all narrower ones."""
+        if self.span is None:
+            return self.path
+        return f"dt={self.dt}/span={'*' if self.span == WHOLE_DAY else self.span + '*'}"
+
+    def wider(self) -> list[Folder]:
+        """Folders that may hold rows of this span among others."""
+        if self.span in (None, WHOLE_DAY):
+            return []
+        hour = [Folder(self.dt, self.span[:2])] if len(self.span) == 4 else []
+        return [Folder(self.dt, WHOLE_DAY), *hour]
+
+
+def folders_of(table: Table, period: Period) -> list[Folder]:
+    """The widest folders that make up a period."""
+    if table.grain == "weekly":
+        # Weekly rows lie under their first day.
+        weeks = -((period.start - period.end) // WEEK)
+        return [Folder(str((period.start + i * WEEK).date())) for i in range(weeks)]
+    out, at = [], period.start
+    while at < period.end:
+        left, dt = period.end - at, str(at.date())
+        if table.grain == "daily":
+            out.append(Folder(dt))
+            at += DAY
+        elif at.hour == at.minute == 0 and left >= DAY:
+            out.append(Folder(dt, WHOLE_DAY))
+            at += DAY
+        elif at.minute == 0 and left >= HOUR:
+            out.append(Folder(dt, f"{at:%H}"))
+            at += HOUR
+        else:
+            out.append(Folder(dt, f"{at:%H%M}"))
+            at += TEN_MINUTES
+    return out
+
+
+def _up(moment: datetime, step: timedelta) -> datetime:
+    midnight = moment.replace(hour=0, minute=0, second=0, microsecond=0)
+    return midnight - (midnight - moment) // step * step
+
+
+def _placing(table: Table, df: DataFrame) -> Column:
+    """What places a row: the run that wrote it, else its time key."""
+    return F.col("run" if "run" in df.columns else table.time_column)
+
+
+def _span_of(at: Column, period: Period) -> Column:
+    """The span a row belongs to, as ``folders_of`` cuts the period."""
+
+    def in_whole(step: timedelta) -> Column:
+        last = period.end if _up(period.end, step) == period.end else _up(period.end, step) - step
+        return times.half_open(at.cast("timestamp_ntz"), _up(period.start, step), last)
+
+    return F.when(in_whole(DAY), WHOLE_DAY).when(in_whole(HOUR), _hour_span(at)).otherwise(_ten_span(at))
+
+
+def _hour_span(at: Column) -> Column:
+    return F.lpad(F.hour(at).cast("string"), 2, "0")
+
+
+def _ten_span(at: Column) -> Column:
+    return F.concat(_hour_span(at), F.lpad(F.minute(at).cast("string"), 2, "0"))
 
 
 class RollupStore:
@@ -46,7 +110,8 @@ class RollupStore:
     def read(self, name: str, period: Period | None = None) -> DataFrame:
         """A table, limited to the rows whose time key lies in ``period``."""
         table = TABLES[name]
-        self._ensure(name)
+        fs, path = self._fs(self.path(name))
+        fs.mkdirs(path)
         df = self.spark.read.schema(table.stored_schema).parquet(self.path(name))
         if period is not None:
             df = df.where(_covering(table, period))
@@ -54,26 +119,56 @@ class RollupStore:
                 df = df.where(times.half_open(F.col("date_time"), period.start, period.end))
         return df.select(*table.columns)
 
-    def write(
-        self, name: str, df: DataFrame, period: Period | None = None, folders: int | None = None
-    ) -> None:
-        """Replace the partitions of ``period`` with ``df``, matched by column name.
-
-        The rows first replace the partitions they fall in; then partitions of
-        the period that got no rows this time are dropped. Running a period twice
-        leaves the table as after the first run. Without a period only the
-        partitions that have rows are replaced, and ``folders`` says about how
-        many those are. A ``run`` column, where there is one, places the rows and
-        is not stored.
+    def write(self, name: str, df: DataFrame, period: Period) -> None:
+        """Replace the rows of ``period`` with ``df``, matched by column name.
+
+        Running a period twice leaves the table as after the first run. A ``run``
+        column, where there is one, places the rows instead of the time key and is
+        not stored.
         """
         table = TABLES[name]
-        placed_by = "run" if "run" in df.columns else table.time_column
-        keyed = df.withColumns(_partition_values(table, placed_by)).select(
-            *table.columns, *table.partitions
+        folders = folders_of(table, period)
+        wider = self._existing(name, [f for folder in folders for f in folder.wider()])
+        outside = ~times.half_open(F.col(table.time_column).cast("timestamp_ntz"), period.start, period.end)
+        span = _span_of(_placing(table, df), period)
+        self._replace(table, df, span, folders, wider, lambda old: old.where(outside))
+
+    def write_days(self, name: str, df: DataFrame, days: list[str]) -> None:
+        """Replace whole days, which need not follow each other."""
+        self._replace(TABLES[name], df, F.lit(WHOLE_DAY), [Folder(d, WHOLE_DAY) for d in days], [], None)
+
+    def write_buckets(self, name: str, df: DataFrame, buckets: DataFrame, days: list[str], count: int) -> None:
+        """Replace single ten-minute buckets, given as column ``bucket``, that lie on
+        ``days``. Each gets a folder; other buckets keep their rows."""
+        spans = [WHOLE_DAY, *(f"{h:02d}" for h in range(24))]
+        wider = self._existing(name, [Folder(d, span) for d in days for span in spans])
+        touched = buckets.withColumnRenamed("bucket", "date_time")
+        span = _ten_span(F.col("date_time"))
+        self._replace(
+            TABLES[name], df, span, [], wider, lambda old: old.join(touched, "date_time", "left_anti"), count
         )
-        before = self._files(name, period) if period else {}
+
+    def _replace(self, table, df, span, folders, wider, keep, count=None) -> None:
+        """Put rows in place, then drop the folders that were to get some but did not.
+
+        Wider folders that overlap are written again without the replaced rows.
+        Spark writes all of it aside and swaps folders in at the end, so the rows
+        kept can be read from the very folders they go back to.
+        """
+        name = table.name
+        dt = _placing(table, df).cast("date").cast("string")
+        rows = df.withColumns({"dt": dt, "span": span}).select(*table.columns, *table.partitions)
+        if wider:
+            old = (
+                self.spark.read.schema(table.stored_schema)
+                .option("basePath", self.path(name))
+                .parquet(*[f"{self.path(name)}/{f.path}" for f in wider])
+            )
+            rows = rows.unionByName(keep(old))
+        patterns = [f.inside() for f in folders] + [f.path for f in wider]
+        before = self._files(name, patterns)
         (
-            self._spread(keyed, table, folder_count(table, period) if period else folders or 1)
+            self._spread(rows, table, count or len(folders))
             .sortWithinPartitions(*table.partitions, table.time_column, "sdk_key")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -82,7 +177,7 @@ class RollupStore:
         )
         if not before:
             return
-        after = self._files(name, period)
+        after = self._files(name, patterns)
         for folder, files in before.items():
             if files & after.get(folder, set()):
                 self._drop(folder)
@@ -97,30 +192,41 @@ class RollupStore:
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         if folders > tasks:
             keys = [c for c in table.columns if table.schema[c].dataType.typeName() != "array"]
-            return rows.repartitionByRange(tasks, *table.partitions, "sdk_key", *keys[1:-1])
+            return rows.repartitionByRange(tasks, *table.partitions, "sdk_key", *keys[:-1])
         return rows.hint("rebalance", *[F.col(c) for c in table.partitions])
 
     def delete(self, name: str, period: Period) -> None:
-        for folder in self._files(name, period):
-            self._drop(folder)
+        """Drop all rows of a period."""
+        table = TABLES[name]
+        self.write(name, self.spark.createDataFrame([], table.schema), period)
 
-    def _drop(self, folder: str) -> None:
-        fs, path = self._fs(folder)
-        fs.delete(path, True)
+    def compact(self, name: str, days: Period) -> None:
+        """Write whole days again as one folder each."""
+        self.write(name, self.read(name, days), days)
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _ensure(self, name: str) -> None:
-        fs, path = self._fs(self.path(name))
-        fs.mkdirs(path)
+    def _drop(self, folder: str) -> None:
+        fs, path = self._fs(folder)
+        fs.delete(path, True)
+
+    def _existing(self, name: str, folders: list[Folder]) -> list[Folder]:
+        """Those of the folders that are there: one listing per day."""
+        found = []
+        for dt in dict.fromkeys(f.dt for f in folders):
+            fs, pattern = self._fs(f"{self.path(name)}/dt={dt}/span=*")
+            there = {s.getPath().getName() for s in fs.globStatus(pattern) or []}
+            mine = dict.fromkeys(f for f in folders if f.dt == dt)
+            found += [f for f in mine if f"span={f.span}" in there]
+        return found
 
-    def _files(self, name: str, period: Period) -> dict[str, set[str]]:
-        """Files of the period by partition folder: a folder listing, no Spark job."""
+    def _files(self, name: str, patterns: list[str]) -> dict[str, set[str]]:
+        """Files by folder for the given folder patterns: listings, no Spark job."""
         found: dict[str, set[str]] = {}
-        for pattern in partition_patterns(TABLES[name], period):
+        for pattern in patterns:
             fs, path = self._fs(f"{self.path(name)}/{pattern}/*.parquet")
             for status in fs.globStatus(path) or []:
                 p = status.getPath()
@@ -128,30 +234,27 @@ class RollupStore:
         return found
 
 
-def partition_patterns(table: Table, period: Period) -> list[str]:
-    """Folder patterns that cover the period: one per whole day, and one per hour
-    or ten minutes at its ragged ends. Weekly rows lie under their first day only."""
-    out = []
-    at = period.start
-    depth = len(table.partitions)
-    if table.grain == "weekly":
-        weeks = -((at - period.end) // timedelta(days=7))
-        return [f"dt={(at + timedelta(days=7 * i)).date()}" for i in range(weeks)]
-    while at < period.end:
-        left = period.end - at
-        if depth == 1 or (at.hour == at.minute == 0 and left >= timedelta(days=1)):
-            out.append("/".join([f"dt={at.date()}", "hh=*", "mi=*"][:depth]))
-            at = (at + timedelta(days=1)).replace(hour=0, minute=0)
-        elif depth == 2 or (at.minute == 0 and left >= timedelta(hours=1)):
-            out.append("/".join([f"dt={at.date()}", f"hh={at:%H}", "mi=*"][:depth]))
-            at += timedelta(hours=1)
-        else:
-            out.append(f"dt={at.date()}/hh={at:%H}/mi={at:%M}")
-            at += timedelta(minutes=10)
-    return out
+def _covering(table: Table, period: Period) -> Column:
+    """Partitions that may hold rows of the period. A minute row may lie with the
+    run before it, where runs were closed at both ends."""
+    first, last = period.days()
+    covering = F.col("dt").between(str(first), str(last))
+    if "span" not in table.partitions:
+        return covering
+    if first == last and period.end - period.start < DAY:
+        folders = folders_of(table, Period(_hour(period.start), _up(period.end, HOUR)))
+        hours = [f.span for f in folders if f.span != WHOLE_DAY]
+        within = F.col("span") == WHOLE_DAY
+        for hour in hours:
+            within = within | F.col("span").startswith(hour)
+        if hours:
+            covering = covering & within
+    before = period.start - TEN_MINUTES
+    if table.grain == "minutes":
+        spans = [WHOLE_DAY, f"{before:%H}", f"{before:%H%M}"]
+        covering = covering | ((F.col("dt") == str(before.date())) & F.col("span").isin(spans))
+    return covering
 
 
-def folder_count(table: Table, period: Period) -> int:
-    """Partition folders a full period has."""
-    size = {"minutes": timedelta(minutes=10), "hourly": timedelta(hours=1), "daily": timedelta(days=1)}
-    return -((period.start - period.end) // size.get(table.grain, timedelta(days=7)))
+def _hour(moment: datetime) -> datetime:
+    return moment.replace(minute=0, second=0, microsecond=0)

@@ -8,8 +8,6 @@ batch rollups, also where a bucket's events arrive over several batches or late.
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,14 +16,14 @@ from pyspark.sql.types import StructType
 from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.plans import skew
-from tidemark.plans.periods import Period
 from tidemark.schema import EVENTS
-from tidemark.sources.events import limit_events
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.store import RollupStore
 
 STORED = StructType(list(EVENTS.fields)).add("dt", "date").add("batch", "string")
+# Buckets per touched day from which whole days are computed and written at once.
+WHOLE_DAY_FROM = 24
 FAMILIES = ("metrics", "page_stats", "click_summary", "top_elements", "user_distribution")
 
 
@@ -64,17 +62,24 @@ class MinuteStream:
         added = self.stored_events().where(F.col("batch") == tag)
         self.seen_log.update(added, tag)
         touched = self._touched(added, tag)
-        first, last, buckets = touched.agg(F.min("bucket"), F.max("bucket"), F.count("*")).first()
-        if not buckets:
+        # One row per day touched.
+        per_day = touched.groupBy(times.day(F.col("bucket")).alias("day")).count().collect()
+        if not per_day:
+            return
+        days = [str(row.day) for row in per_day]
+        buckets = sum(row["count"] for row in per_day)
+        events = self.stored_events().where(F.col("dt").isin(days)).select(*EVENTS.fieldNames())
+        if buckets > len(days) * WHOLE_DAY_FROM:
+            for family in self.families:
+                self.store.write_days(f"minutes_{family}", self._rows(family, events), days)
             return
-        period = Period(first, last + timedelta(minutes=10))
-        events = limit_events(self.stored_events(), period)
         bucket = times.ten_minutes(F.col("timestamp"))
         events = (
             events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi").drop("bucket")
         )
         for family in self.families:
-            self.store.write(f"minutes_{family}", self._rows(family, events), folders=buckets)
+            rows = self._rows(family, events)
+            self.store.write_buckets(f"minutes_{family}", rows, touched, days, buckets)
 
     def _touched(self, added: DataFrame, tag: str) -> DataFrame:
         """Buckets with new events, and those a late first event reaches: the
