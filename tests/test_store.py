@@ -195,6 +195,24 @@ def test_closed_runs_are_stored_with_their_run(spark, store):
     assert rows(got, "date_time", "total_clicks") == [(at("2024-01-02 00:00"), 2)]
 
 
+def test_closed_runs_of_a_whole_day_can_be_run_again_one_by_one(spark, store):
+    jobs = rollups(spark, store, event("10:05"), event("10:10:00"), options=Options(closed_end=True))
+    day = periods.day("2024-01-01")
+    jobs.run_grain("minutes", day, "10m")
+
+    def totals():
+        table = store.read("minutes_click_summary").where("segment_type = 'user_gender'")
+        return rows(table, "date_time", "total_clicks")
+
+    want = [(at("10:00"), 1), (at("10:10"), 1), (at("10:10"), 1)]
+    assert totals() == want
+    for minute in ("10:00", "10:10", "10:20"):
+        jobs.run("minutes_click_summary", periods.ten_minutes(f"2024-01-01T{minute}"))
+        assert totals() == want
+    with pytest.raises(ValueError):
+        store.compact("minutes_click_summary", day)
+
+
 def test_zones_of_buckets_and_report_days(spark, store):
     """Events stored in UTC, buckets on Seoul time."""
     options = Options(base_zone="Asia/Seoul")
