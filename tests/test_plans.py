@@ -35,10 +35,19 @@ def test_top_elements_are_cut_before_the_shuffle(e):
     assert "row_number(), 3, Partial" in text
 
 
-def test_all_kinds_take_one_scan_and_two_shuffles(e):
+def test_rows_spread_over_segments_are_not_shuffled(e):
+    """Two branches (elements and the rest) of three shuffles: collapsed clicks,
+    the same by clicker, and counted facts. None of them sits right on an explode."""
     facts = users.segment_facts(users.minute_clicks(e), ["date_time"], users.KINDS)
     text = plan(facts)
-    assert text.count("FileScan") == 1 and text.count("Exchange") == 2
+    assert text.count("FileScan") == 2 and text.count("Exchange") == 6
+    assert text.count("REPARTITION_BY_COL") == 2
+    lines = text.split("\n")
+    counted = [n for n, line in enumerate(lines) if "partial_sum(n#" in line and "segment_type" in line]
+    first = next(n for n, line in enumerate(lines) if "Generate" in line)
+    assert len(counted) >= 2 and counted[0] < first
+    between = "\n".join(lines[counted[0] + 1 : first])
+    assert "Exchange" not in between
 
 
 def test_scalar_page_statistics_gather_no_lists(e):

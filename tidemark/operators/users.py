@@ -19,6 +19,7 @@ AGE = dimensions.AGE_DISTRIBUTION
 DEVICE = dimensions.DEVICE_DISTRIBUTION
 KINDS = [SUMMARY, ELEMENT, AGE, DEVICE]
 TOP = 3
+DIMENSIONS = ["user_gender", "traffic_source", "device_type", "user_age"]
 SEGMENT = ["segment_type", "segment_value", "sdk_key"]
 
 
@@ -52,25 +53,50 @@ def segments_long(events: DataFrame, keep: list[str]) -> DataFrame:
 def segment_facts(clicks: DataFrame, keys: list[str], kinds: list[str]) -> DataFrame:
     """Clicks and distinct clickers per key, segment, kind and item.
 
-    ``clicks`` carries ``keys`` as columns. Grouping by clicker first turns the
-    distinct count into a plain count and keeps a busy clicker, segment or site
-    from loading one task: both groupings combine before their shuffle.
+    ``clicks`` carries ``keys`` as columns. Elements are many per clicker and the
+    other kinds few, so that the two are counted apart.
     """
-    if len(kinds) == 1:
-        [(only, item)] = _items(kinds)
-        split, by_kind = clicks.withColumn("item", item).where(F.col("item").isNotNull()), []
+    plain = [kind for kind in kinds if kind != ELEMENT]
+    parts = []
+    if plain:
+        parts.append(_facts(clicks, keys, plain, []))
+    if ELEMENT in kinds:
+        [(_, element)] = _items([ELEMENT])
+        named = clicks.withColumn("item", element).where(F.col("item").isNotNull())
+        parts.append(_facts(named, keys, [ELEMENT], ["item"]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _facts(clicks: DataFrame, keys: list[str], kinds: list[str], item: list[str]) -> DataFrame:
+    """The facts of some kinds, as three steps that each combine before a shuffle.
+
+    Clicks first collapse to one row per clicker and set of dimensions, so a busy
+    clicker becomes a few rows. These are brought together per clicker, and only
+    then spread over segments and kinds: the many rows that makes are counted
+    where they are and never shuffled. Counting per clicker first turns distinct
+    clickers into a plain count.
+    """
+    clicker = [*keys, "sdk_key", "client_id", *item]
+    together = (
+        clicks.groupBy(*clicker, *DIMENSIONS).agg(F.count("*").alias("n")).repartition(*clicker)
+    )
+    if item:
+        split, by_kind = together, []
+    elif len(kinds) == 1:
+        [(_, only)] = _items(kinds)
+        split, by_kind = together.withColumn("item", only).where(F.col("item").isNotNull()), []
     else:
-        split, by_kind = _exploded(clicks, _items(kinds), "kind", "item"), ["kind"]
+        split, by_kind = _exploded(together, _items(kinds), "kind", "item"), ["kind"]
     counted = [*keys, "sdk_key", "client_id", *by_kind, "item"]
     per_clicker = (
-        segments_long(split, counted)
+        segments_long(split, [*counted, "n"])
         .groupBy(*counted, "segment_type", "segment_value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     facts = per_clicker.groupBy(*keys, *SEGMENT, *by_kind, "item").agg(
         F.sum("n").alias("clicks"), F.count("*").alias("users")
     )
-    return facts if by_kind else facts.withColumn("kind", F.lit(only))
+    return facts if by_kind else facts.withColumn("kind", F.lit(kinds[0]))
 
 
 def minute_clicks(events: DataFrame, closed_end: bool = False) -> DataFrame:
