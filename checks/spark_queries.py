@@ -89,8 +89,8 @@ def weekly_pages(e: DataFrame, next_pages: str = "first") -> DataFrame:
     return pages.weekly_page_stats(daily_pages(e, next_pages), WEEK_ANCHOR, next_pages)
 
 
-def hot_sliced(e: DataFrame) -> DataFrame:
-    """Page statistics with every session of two views or more cut into slices."""
+def pages_in_pieces(e: DataFrame) -> DataFrame:
+    """Page statistics with every session of two events or more cut into pieces."""
     return pages.minutes_page_stats(e, skew.measured_hot_sessions(e, quota=1)).drop("next_pages")
 
 
@@ -293,7 +293,7 @@ def all_queries() -> dict[str, Query]:
             )
         ),
         "page_transitions": e(lambda d: pages.page_transitions(d, skew.measured_hot_sessions(d))),
-        "page_stats_sliced_sessions": e(hot_sliced),
+        "page_stats_sliced_sessions": e(pages_in_pieces),
         # 2.9 functions
         "fn_ten_minutes": e(lambda d: clicks_by(d, times.ten_minutes(ts()), "date_time")),
         "fn_hour": e(lambda d: clicks_by(d, times.hour(ts()), "date_time")),

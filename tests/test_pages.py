@@ -168,21 +168,49 @@ def test_moves_and_exits_make_up_the_views(spark):
     assert stats.where("page_exits > page_views").count() == 0
 
 
-@pytest.mark.parametrize("quota", [1, 3, 40])
-def test_slicing_hot_sessions_changes_nothing(spark, quota):
-    """One session with most of the views, some at the same moment, beside small ones."""
+@pytest.mark.parametrize("quota", [1, 3, 10, 40])
+def test_cutting_hot_sessions_changes_nothing(spark, quota):
+    """One session with most of the views, many at the same moment, beside small ones."""
     made = [
-        event(f"10:0{i % 10}:{(i * 7) % 60:02d}.{i % 3}", page_path=f"/{i * i % 11}") for i in range(300)
+        event(f"10:0{i % 10}:{(i * 7) % 60:02d}.{i % 3}", page_path=f"/{i * i % 11}") for i in range(200)
     ]
+    made += [event("10:03:11.5", page_path=f"/{i * i % 13}") for i in range(120)]
+    made += [event("10:03:11.7", page_path=f"/{i % 5}") for i in range(60)]
+    made += [event("10:00:00", page_path=f"/{i % 5}") for i in range(30)]
     made += [event(f"10:0{i}", session_id=f"t{i % 3}", page_path=f"/{i}") for i in range(9)]
     made += [event(f"10:1{i}", page_path=f"/{i}") for i in range(9)]
     e = events(spark, *made)
-    hot = pages.hot_sessions(e, quota)
-    assert hot.count() >= 1
+    hot = skew.measured_hot_sessions(e, quota)
+    moments = hot.selectExpr("max(size(moments))").first()[0]
+    assert moments >= (2 if quota == 40 else 3)
     columns = ("event_id", "date_time", "session_id", "page_path", "next_page")
     assert rows(pages.next_page(e, hot), *columns) == rows(pages.next_page(e), *columns)
 
 
+def test_pieces_of_a_hot_session_stay_below_it(spark):
+    """A moment with most of a session's views is cut by event id."""
+    made = [event("10:05:00", page_path=f"/{i % 5}") for i in range(1000)]
+    e = events(spark, *made, event("10:01"), event("10:07"))
+    hot = skew.measured_hot_sessions(e, 100)
+    sizes = (
+        pages.page_views(e)
+        .join(hot, pages.SESSION)
+        .groupBy(pages._piece())
+        .count()
+        .agg({"count": "max"})
+        .first()[0]
+    )
+    assert sizes <= 100
+
+
+def test_ids_may_lie_anywhere(spark):
+    ids = [(i * 0x9E3779B97F4A7C15) % 2**64 - 2**63 for i in range(400)]
+    e = events(spark, *[event("10:05:00", page_path=f"/{i % 7}", event_id=n) for i, n in enumerate(ids)])
+    hot = skew.measured_hot_sessions(e, 50)
+    columns = ("event_id", "next_page")
+    assert rows(pages.next_page(e, hot), *columns) == rows(pages.next_page(e), *columns)
+
+
 def test_hot_sessions_are_broadcast_only_when_counted_to_fit(spark):
     e = events(spark, *[event(f"10:0{i}", session_id=f"s{i % 4}") for i in range(8)])
 

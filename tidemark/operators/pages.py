@@ -14,6 +14,7 @@ from tidemark.functions import numbers, times
 
 RUN_SECONDS = 600
 SLICES_PER_QUOTA = 4
+SESSION = ["date_time", "session_id"]
 # Columns a mean time on page is taken from.
 TIME = ("time_whole", "time_rest", "time_n")
 
@@ -45,44 +46,104 @@ def hot_sessions(events: DataFrame, quota: int) -> DataFrame:
     )
 
 
+def hot_moments(events: DataFrame, sessions: DataFrame, quota: int) -> DataFrame:
+    """Single timestamps that alone hold more than ``quota`` events of a hot session,
+    and the width of the ``event_id`` ranges to cut each into. No time slice can
+    divide these. At most (events / quota) rows."""
+    parts = F.ceil(F.col("n") / F.lit(quota)) * SLICES_PER_QUOTA
+    # As doubles: ids may lie further apart than a long can say.
+    spread = F.col("last_id").cast("double") - F.col("first_id").cast("double") + 1
+    return (
+        events.select(
+            times.ten_minutes(F.col("timestamp")).alias("date_time"),
+            "session_id",
+            "timestamp",
+            "event_id",
+        )
+        .join(sessions, SESSION, "left_semi")
+        .groupBy(*SESSION, "timestamp")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("event_id").alias("first_id"),
+            F.max("event_id").alias("last_id"),
+        )
+        .where(F.col("n") > quota)
+        .select(
+            *SESSION,
+            F.col("timestamp").alias("at"),
+            "first_id",
+            F.greatest(spread / parts, F.lit(1.0)).alias("width"),
+        )
+    )
+
+
+def with_moments(sessions: DataFrame, moments: DataFrame) -> DataFrame:
+    """Hot sessions, each with the ordered list of its hot moments."""
+    per_session = moments.groupBy(*SESSION).agg(
+        F.sort_array(F.collect_list(F.struct("at", "first_id", "width"))).alias("moments")
+    )
+    return sessions.join(per_session, SESSION, "left")
+
+
+def _piece() -> Column:
+    """The part of its session a view is sorted in. Pieces follow each other in the
+    order of the session: time slices, in these what lies between hot moments, and
+    in these ranges of ``event_id``. Views of other sessions are all in one piece."""
+    ts, moments = F.col("timestamp"), F.col("moments")
+    offset = (F.minute(ts) % 10) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
+    passed = F.coalesce(F.size(F.filter(moments, lambda m: m["at"] < ts)), F.lit(0))
+    moment = F.get(moments, passed)
+    distance = F.col("event_id").cast("double") - moment["first_id"].cast("double")
+    part = F.when(moment["at"] == ts, F.floor(distance / moment["width"]))
+    return F.struct(
+        F.coalesce(F.floor(offset * F.col("slices") / RUN_SECONDS), F.lit(0).cast("long")).alias("slice"),
+        F.when(moments.isNotNull(), passed).otherwise(0).alias("passed"),
+        F.when(moments.isNotNull(), F.coalesce(part, F.lit(-1).cast("long")))
+        .otherwise(F.lit(0).cast("long"))
+        .alias("part"),
+    )
+
+
 def next_page(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Every page view with the page that follows it in its run and session.
 
-    ``hot`` (from ``hot_sessions``) lists sessions too big for one task. Each is
-    cut into time slices that are sorted apart; the last view of a slice then
-    takes the first page of the session's next slice. The result is the same
-    with or without ``hot``.
+    ``hot`` lists sessions too big for one task (``hot_sessions``, with their hot
+    moments). Each is cut into pieces that are sorted apart; the last view of a
+    piece then takes the first page of the session's next piece. The result is the
+    same with or without ``hot``.
     """
     views = page_views(events)
     in_order = [F.col("timestamp"), F.col("event_id")]
     if hot is None:
-        session = Window.partitionBy("date_time", "session_id").orderBy(*in_order)
+        session = Window.partitionBy(*SESSION).orderBy(*in_order)
         return views.withColumn("next_page", F.lead("page_path", 1).over(session))
 
-    ts = F.col("timestamp")
-    offset = (F.minute(ts) % 10) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
-    sliced = (
-        views.join(hot, ["date_time", "session_id"], "left")
-        .withColumn(
-            "slice", F.coalesce(F.floor(offset * F.col("slices") / RUN_SECONDS), F.lit(0).cast("long"))
-        )
-        .repartition("date_time", "session_id", "slice")
+    pieces = (
+        views.join(hot, SESSION, "left")
+        .withColumns({"is_hot": F.col("slices").isNotNull(), "piece": _piece()})
+        .repartition(*SESSION, "piece")
     )
-    piece = Window.partitionBy("date_time", "session_id", "slice").orderBy(*in_order)
-    ordered = sliced.withColumns(
+    # ``is_hot`` adds nothing to the partitioning; it lets the filter for piece ends
+    # pass below the window, so that only hot sessions are sorted a second time.
+    piece = Window.partitionBy("is_hot", *SESSION, "piece").orderBy(*in_order)
+    ordered = pieces.withColumns(
         {
             "next_page": F.lead("page_path", 1).over(piece),
-            "slice_head": F.first("page_path").over(piece),
+            "piece_head": F.first("page_path").over(piece),
         }
     )
-    open_end = F.col("slices").isNotNull() & F.col("next_page").isNull()
-    # One row per non-empty slice of a hot session.
-    slice_tails = Window.partitionBy("date_time", "session_id").orderBy("slice")
-    joined_up = ordered.where(open_end).withColumn("next_page", F.lead("slice_head", 1).over(slice_tails))
+    last_of_piece = F.col("next_page").isNull()
+    # One row per non-empty piece of a hot session.
+    piece_ends = Window.partitionBy(*SESSION).orderBy("piece")
+    joined_up = (
+        ordered.where(F.col("is_hot"))
+        .where(last_of_piece)
+        .withColumn("next_page", F.lead("piece_head", 1).over(piece_ends))
+    )
     return (
-        ordered.where(~open_end)
+        ordered.where(~(F.col("is_hot") & last_of_piece))
         .unionByName(joined_up)
-        .drop("slices", "slice", "slice_head")
+        .drop("slices", "moments", "is_hot", "piece", "piece_head")
     )
 
 

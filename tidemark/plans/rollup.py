@@ -16,7 +16,7 @@ from tidemark.plans.periods import Period, complete_weeks, run_period
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.events import events_before, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import written
 from tidemark.sources.store import RollupStore
 
 LOWER = {"hourly": "minutes", "daily": "hourly", "weekly": "daily"}
@@ -165,16 +165,10 @@ class Rollups:
         else:
             keys = ["date"]
             facts = self._day_facts(period, users.KINDS)
-        staged = self._stage(facts)
+        staged = written(facts, "segment-facts", "kind")
         for family in shared:
             self.store.write(f"{grain}_{family}", users.FAMILY_FACTS[family][1](staged, keys), period)
 
-    def _stage(self, facts: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "segment-facts")
-        facts.write.partitionBy("kind").parquet(path)
-        schema = facts.drop("kind").schema.add("kind", "string")
-        return self.spark.read.schema(schema).parquet(path)
-
     def backfill(self, days: Period) -> None:
         """Every grain over whole days, lower grains first, one bulk job per table.
 

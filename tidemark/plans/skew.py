@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import pages
+from tidemark.sources.scratch import written
 
 SESSION_QUOTA = 1_000_000
 BROADCAST_ROWS = 200_000
@@ -14,13 +15,20 @@ BROADCAST_ROWS = 200_000
 def measured_hot_sessions(
     events: DataFrame, quota: int = SESSION_QUOTA, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame | None:
-    """Sessions to slice, or None where every session fits a task.
+    """Sessions to cut into pieces, or None where every session fits a task.
 
-    One narrow counting pass over the page views. The list is broadcast only when
-    it was counted to fit; a longer one is joined by shuffle.
+    One narrow counting pass over the events, and a second one over the hot sessions
+    where there are any. What they find is written out, so that the plans that use
+    it do not count again. It is broadcast only when it was counted to fit; a longer
+    list is joined by shuffle.
     """
-    hot = pages.hot_sessions(events, quota)
+    hot = written(pages.hot_sessions(events, quota), "hot-sessions")
     found = hot.limit(broadcast_rows + 1).count()
     if found == 0:
         return None
-    return F.broadcast(hot) if found <= broadcast_rows else hot
+    small = F.broadcast(hot) if found <= broadcast_rows else hot
+    moments = written(pages.hot_moments(events, small, quota), "hot-moments")
+    # A session's list of moments is part of its row, so both counts matter.
+    found = max(found, moments.limit(broadcast_rows + 1).count())
+    listed = written(pages.with_moments(hot, moments), "hot-list")
+    return F.broadcast(listed) if found <= broadcast_rows else listed

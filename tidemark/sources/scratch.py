@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the scratch root; never one used before."""
     return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """The same rows from a table in the scratch folder, partitioned by ``by``. What
+    reads them does not compute them again, also not after the loss of an executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
