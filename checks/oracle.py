@@ -319,7 +319,8 @@ GROUP BY ALL""",
     )
     day_run = 'CAST(CAST("timestamp" AS DATE) AS TIMESTAMP)'
     exact = minutes_metrics(day_run, "x1", 'CAST("timestamp" AS DATE)', '"date"')
-    complete_weeks = """SELECT * FROM w1 WHERE "date" + 6 <= (SELECT max(CAST("timestamp" AS DATE)) FROM ev)"""
+    complete_weeks = """SELECT * FROM w1
+WHERE "date" + 6 <= (SELECT max(CAST("timestamp" AS DATE)) FROM ev)"""
     closed_day = (
         f"timezone('Asia/Seoul', timezone('UTC', \"timestamp\")) <= CAST({SEOUL} AS TIMESTAMP)"
         " + INTERVAL 86399 SECONDS"

@@ -195,7 +195,9 @@ def backfilled(table: str, grains: list[str]) -> Query:
         jobs = Rollups(spark, e, new_store(spark))
         days = data_days(e)
         for grain in grains:
-            jobs.run(f"{grain}_metrics", complete_weeks(days) if grain == "weekly" else days, "10m")
+            period = complete_weeks(days) if grain == "weekly" else days
+            if period:
+                jobs.run(f"{grain}_metrics", period, "10m")
         return jobs.store.read(table)
 
     return query

@@ -69,5 +69,6 @@ if __name__ == "__main__":
         except Exception as e:  # noqa: BLE001
             problem, n = f"{type(e).__name__}: {str(e)[:600]}", 0
         failed += bool(problem)
-        print(f"{'ok  ' if not problem else 'FAIL'} {name} {n} rows {time.time() - started:.2f}s {problem}", flush=True)
+        mark = "FAIL" if problem else "ok  "
+        print(f"{mark} {name} {n} rows {time.time() - started:.2f}s {problem}", flush=True)
     print("failed:", failed)

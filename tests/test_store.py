@@ -74,9 +74,8 @@ def test_a_period_that_turns_out_empty_loses_its_old_rows(spark, store, name):
 
 
 def folders(store, name="minutes_metrics"):
-    return sorted(
-        {r[0].split(name + "/")[1].rsplit("/", 1)[0] for r in store.spark.read.parquet(store.path(name)).select("_metadata.file_path").collect()}
-    )
+    files = store.spark.read.parquet(store.path(name)).select("_metadata.file_path").collect()
+    return sorted({f[0].split(name + "/")[1].rsplit("/", 1)[0] for f in files})
 
 
 def test_narrow_runs_cut_into_wider_folders(spark, store):

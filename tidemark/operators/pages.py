@@ -95,8 +95,9 @@ def _piece() -> Column:
     moment = F.get(moments, passed)
     distance = F.col("event_id").cast("double") - moment["first_id"].cast("double")
     part = F.when(moment["at"] == ts, F.floor(distance / moment["width"]))
+    time_slice = F.floor(offset * F.col("slices") / RUN_SECONDS)
     return F.struct(
-        F.coalesce(F.floor(offset * F.col("slices") / RUN_SECONDS), F.lit(0).cast("long")).alias("slice"),
+        F.coalesce(time_slice, F.lit(0).cast("long")).alias("slice"),
         F.when(moments.isNotNull(), passed).otherwise(0).alias("passed"),
         F.when(moments.isNotNull(), F.coalesce(part, F.lit(-1).cast("long")))
         .otherwise(F.lit(0).cast("long"))

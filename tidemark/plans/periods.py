@@ -89,7 +89,12 @@ def week(text: str | None = None, now: datetime | None = None) -> Period:
 def run_period(grain: str, text: str | None = None, now: datetime | None = None) -> Period:
     """The period of one run. Minute and hourly runs may also be given a wider
     span: an hour or a day for minutes, a day for hourly."""
-    forms = {"minutes": [ten_minutes, hour, day], "hourly": [hour, day], "daily": [day], "weekly": [week]}
+    forms = {
+        "minutes": [ten_minutes, hour, day],
+        "hourly": [hour, day],
+        "daily": [day],
+        "weekly": [week],
+    }
     if text is None:
         return forms[grain][0](None, now)
     by_length = {16: ten_minutes, 13: hour, 10: week if grain == "weekly" else day}

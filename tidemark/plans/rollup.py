@@ -138,8 +138,8 @@ class Rollups:
             return run_period(grain, None, now.astimezone(ZoneInfo(zone)).replace(tzinfo=None))
 
         base = latest(self.options.base_zone)
-        users_from_events = grain == "daily"
-        self.run_grain(grain, base, None, latest(self.options.report_zone) if users_from_events else base)
+        report = latest(self.options.report_zone) if grain == "daily" else base
+        self.run_grain(grain, base, None, report)
 
     def run_grain(
         self,

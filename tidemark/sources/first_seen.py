@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.visitors import first_seen
 
 VISITOR = ["client_id", "sdk_key"]
-SCHEMA = "client_id string, sdk_key string, first_seen timestamp_ntz, replaced timestamp_ntz, run string"
+SCHEMA = (
+    "client_id string, sdk_key string, first_seen timestamp_ntz, replaced timestamp_ntz, run string"
+)
 
 
 class FirstSeenLog:

@@ -86,9 +86,10 @@ def _span_of(at: Column, period: Period) -> Column:
 
     def in_whole(step: timedelta) -> Column:
         last = period.end if _up(period.end, step) == period.end else _up(period.end, step) - step
-        return times.half_open(at.cast("timestamp_ntz"), _up(period.start, step), last)
+        return times.half_open(at, _up(period.start, step), last)
 
-    return F.when(in_whole(DAY), WHOLE_DAY).when(in_whole(HOUR), _hour_span(at)).otherwise(_ten_span(at))
+    by_hour = F.when(in_whole(HOUR), _hour_span(at)).otherwise(_ten_span(at))
+    return F.when(in_whole(DAY), WHOLE_DAY).otherwise(by_hour)
 
 
 def _hour_span(at: Column) -> Column:
@@ -129,25 +130,34 @@ class RollupStore:
         table = TABLES[name]
         folders = folders_of(table, period)
         wider = self._existing(name, [f for folder in folders for f in folder.wider()])
-        outside = ~times.half_open(F.col(table.time_column).cast("timestamp_ntz"), period.start, period.end)
-        # Rows closed runs put past their end can only be told apart by folder.
-        span = _ten_span(F.col("run")) if "run" in df.columns else _span_of(_placing(table, df), period)
+        time_key = F.col(table.time_column).cast("timestamp_ntz")
+        outside = ~times.half_open(time_key, period.start, period.end)
+        if "run" in df.columns:
+            # Rows closed runs put past their end can only be told apart by folder.
+            span = _ten_span(F.col("run"))
+        else:
+            span = _span_of(time_key, period)
         self._replace(table, df, span, folders, wider, lambda old: old.where(outside))
 
     def write_days(self, name: str, df: DataFrame, days: list[str]) -> None:
         """Replace whole days, which need not follow each other."""
-        self._replace(TABLES[name], df, F.lit(WHOLE_DAY), [Folder(d, WHOLE_DAY) for d in days], [], None)
+        folders = [Folder(d, WHOLE_DAY) for d in days]
+        self._replace(TABLES[name], df, F.lit(WHOLE_DAY), folders, [], None)
 
-    def write_buckets(self, name: str, df: DataFrame, buckets: DataFrame, days: list[str], count: int) -> None:
+    def write_buckets(
+        self, name: str, df: DataFrame, buckets: DataFrame, days: list[str], count: int
+    ) -> None:
         """Replace single ten-minute buckets, given as column ``bucket``, that lie on
         ``days``. Each gets a folder; other buckets keep their rows."""
         spans = [WHOLE_DAY, *(f"{h:02d}" for h in range(24))]
         wider = self._existing(name, [Folder(d, span) for d in days for span in spans])
         touched = buckets.withColumnRenamed("bucket", "date_time")
+
+        def keep(old: DataFrame) -> DataFrame:
+            return old.join(touched, "date_time", "left_anti")
+
         span = _ten_span(F.col("date_time"))
-        self._replace(
-            TABLES[name], df, span, [], wider, lambda old: old.join(touched, "date_time", "left_anti"), count
-        )
+        self._replace(TABLES[name], df, span, [], wider, keep, count)
 
     def _replace(self, table, df, span, folders, wider, keep, count=None) -> None:
         """Put rows in place, then drop the folders that were to get some but did not.
