@@ -267,6 +267,14 @@ def roll_distribution(name: str, lower: str, period: str, key: str) -> str:
   GROUP BY p, segment_type, segment_value, dist_type, dist_value, sdk_key)"""
 
 
+# Ten-minute runs closed at both ends: a click at a run's end counts in it as well.
+CLOSED_RUNS = [
+    f"""clicks AS (
+  SELECT *, {B10} AS date_time, {B10} AS run FROM ev WHERE event_name = 'auto_click'
+  UNION ALL SELECT *, {B10}, {B10} - INTERVAL 10 MINUTES FROM ev
+  WHERE event_name = 'auto_click' AND "timestamp" = {B10})""",
+    f"seg AS ({segmented('clicks')})",
+]
 MIN = clicks(B10, "date_time")
 DAY = clicks(SEOUL, '"date"')
 HOUR = "date_trunc('hour', date_time)"
@@ -283,6 +291,10 @@ def rows(ctes: list[str], name: str) -> str:
     return with_(ctes, f"SELECT * FROM {name}")
 
 
+def rows_without_run(ctes: list[str], name: str) -> str:
+    return with_(ctes, f"SELECT * EXCLUDE (run) FROM {name}")
+
+
 def events_where(columns: str, where: str) -> str:
     return with_([], f"SELECT {columns} FROM ev WHERE {where}")
 
@@ -419,11 +431,28 @@ FROM ev GROUP BY ALL""",
         "minutes_click_summary": rows(M3, "m3"),
         "minutes_top_elements": rows(M4, "m4"),
         "minutes_user_distribution": rows(M5, "m5"),
+        "minutes_click_summary_closed": rows_without_run(
+            [*CLOSED_RUNS, summary("c3", "run, date_time")], "c3"
+        ),
+        "minutes_top_elements_closed": rows_without_run(
+            [*CLOSED_RUNS, *top("c4", "run, date_time")], "c4"
+        ),
+        "minutes_user_distribution_closed": rows_without_run(
+            [*CLOSED_RUNS, distribution("c5", "run, date_time")], "c5"
+        ),
         "hourly_metrics": rows(H1, "h1"),
         "hourly_page_stats": page_rows(H2, "h2", "date_time"),
         "hourly_page_stats_next": page_lists(H2, "h2", "date_time"),
         "hourly_page_stats_merged": merged(HOUR, "date_time"),
         "hourly_click_summary": rows([*M3, roll_summary("h3", "m3", HOUR, "date_time")], "h3"),
+        "hourly_click_summary_closed": rows(
+            [
+                *CLOSED_RUNS,
+                summary("c3", "run, date_time"),
+                roll_summary("h3", "c3", HOUR, "date_time"),
+            ],
+            "h3",
+        ),
         "hourly_top_elements": rows([*M4, *roll_top("h4", "m4", HOUR, "date_time")], "h4"),
         "hourly_user_distribution": rows(
             [*M5, roll_distribution("h5", "m5", HOUR, "date_time")], "h5"

@@ -325,6 +325,11 @@ def all_queries() -> dict[str, Query]:
         "minutes_click_summary": e(users.minutes_click_summary),
         "minutes_top_elements": e(users.minutes_top_elements),
         "minutes_user_distribution": e(users.minutes_user_distribution),
+        "minutes_click_summary_closed": e(lambda d: users.minutes_click_summary(d, closed_end=True)),
+        "minutes_top_elements_closed": e(lambda d: users.minutes_top_elements(d, closed_end=True)),
+        "minutes_user_distribution_closed": e(
+            lambda d: users.minutes_user_distribution(d, closed_end=True)
+        ),
         "hourly_metrics": e(hourly_metrics),
         "hourly_page_stats": e(lambda d: hourly_pages(d).drop("next_pages")),
         "hourly_page_stats_next": e(lambda d: lists_as_text(hourly_pages(d), "date_time")),
@@ -332,6 +337,9 @@ def all_queries() -> dict[str, Query]:
         "hourly_click_summary": e(
             lambda d: users.hourly_click_summary(users.minutes_click_summary(d))
         ),
+        "hourly_click_summary_closed": e(
+            lambda d: users.hourly_click_summary(users.minutes_click_summary(d, closed_end=True))
+        ),
         "hourly_top_elements": e(lambda d: users.hourly_top_elements(users.minutes_top_elements(d))),
         "hourly_user_distribution": e(
             lambda d: users.hourly_user_distribution(users.minutes_user_distribution(d))

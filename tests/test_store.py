@@ -10,6 +10,7 @@ from tidemark.plans import periods
 from tidemark.plans.periods import Period
 from tidemark.plans.rollup import Options, Rollups
 from tidemark.schema import TABLES
+from tidemark.sources import scratch
 from tidemark.sources.adapter import sample_events
 from tidemark.sources.events import limit_events, read_events
 from tidemark.sources.first_seen import FirstSeenLog
@@ -176,6 +177,14 @@ def test_bulk_is_the_sum_of_single_runs(spark, tmp_path):
         assert bulk.store.read(name).count() > 0
 
 
+def test_nothing_big_is_left_in_the_scratch_folder(spark, store, tmp_path, monkeypatch):
+    scratch_dir = tmp_path / "scratch"
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(scratch_dir))
+    rollups(spark, store, event("10:01")).run_grain("daily", periods.day("2024-01-01"))
+    assert store.read("daily_click_summary").count() == 4
+    assert list((scratch_dir / "tidemark").glob("segment-facts-*")) == []
+
+
 def test_backfill_writes_complete_weeks_only(spark, store):
     made = [event(f"2024-01-{d:02d} 10:00") for d in range(1, 18)]
     rollups(spark, store, *made).backfill(Period(datetime(2024, 1, 1), datetime(2024, 1, 18)))

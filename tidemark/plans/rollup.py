@@ -16,7 +16,7 @@ from tidemark.plans.periods import Period, complete_weeks, run_period
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.events import events_before, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
-from tidemark.sources.scratch import written
+from tidemark.sources.scratch import staged
 from tidemark.sources.store import RollupStore
 
 LOWER = {"hourly": "minutes", "daily": "hourly", "weekly": "daily"}
@@ -165,9 +165,10 @@ class Rollups:
         else:
             keys = ["date"]
             facts = self._day_facts(period, users.KINDS)
-        staged = written(facts, "segment-facts", "kind")
-        for family in shared:
-            self.store.write(f"{grain}_{family}", users.FAMILY_FACTS[family][1](staged, keys), period)
+        with staged(facts, "segment-facts", by="kind") as rows:
+            for family in shared:
+                _, rows_of = users.FAMILY_FACTS[family]
+                self.store.write(f"{grain}_{family}", rows_of(rows, keys), period)
 
     def backfill(self, days: Period) -> None:
         """Every grain over whole days, lower grains first, one bulk job per table.

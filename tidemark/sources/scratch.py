@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,10 +27,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """The same rows from a table in the scratch folder, partitioned by ``by``. What
-    reads them does not compute them again, also not after the loss of an executor."""
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a table in the scratch folder. What reads them does not
+    compute them again, also not after the loss of an executor."""
+    return _through(df, scratch_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str, by: str) -> Iterator[DataFrame]:
+    """As ``written``, partitioned by ``by``, for the length of a with block."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    try:
+        yield _through(df, path, by)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def _through(df: DataFrame, path: str, *by: str) -> DataFrame:
     df.write.partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
