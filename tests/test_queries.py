@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle, spark_queries
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = spark_queries.all_queries(), oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +26,10 @@ def test_query_agrees_with_sql(spark, con, name):
     assert n > 0
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 90
