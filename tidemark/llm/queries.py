@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import queries_text
+from tidemark.llm import queries_corpus, queries_files, queries_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_mixing": queries_corpus.op1_mixing,
+        "op2_token_files": queries_files.op2_token_files,
         "op5_personal_data": queries_text.op5_personal_data,
         "op7_decontamination": queries_text.op7_decontamination,
+        "op9_archives": queries_files.op9_archives,
         "op10_secrets": queries_text.op10_secrets,
     }
 
