@@ -73,7 +73,7 @@ def split_quotas(quotas: Sequence[int], shards: int, seed: int) -> np.ndarray:
             continue
         middle = (low + high) // 2
         draw = np.random.default_rng([seed, low, high])
-        left = draw.multivariate_hypergeometric(held, int(room[low:middle].sum()), "marginals")
+        left = draw.multivariate_hypergeometric(held, int(room[low:middle].sum()), method="marginals")
         nodes += [(low, middle, left), (middle, high, held - left)]
     return out
 
