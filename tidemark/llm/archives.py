@@ -41,9 +41,10 @@ ARC_FIELDS = {
 }
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVED = "archive string, place long, record binary"
+NAMED = "page_id long, url string, payload_bytes long, payload_digest string"
 PARSED = (
-    "page_id long, url string, ip string, date string, content_type string, "
-    "payload_bytes long, payload_digest string, block_digest string, head binary, packed binary"
+    NAMED + ", ip string, date string, content_type string, block_digest string, "
+    "head binary, packed binary"
 )
 RECORDS = (
     "record_id string, warc_type string, url string, page_id long, payload_bytes long, "
@@ -121,11 +122,15 @@ def arc_opening(version: int, name: str, date: str) -> bytes:
     return arc_record(version, f"filedesc://{name}.arc", "0.0.0.0", date, "text/plain", body)
 
 
-def write_arc(pages: DataFrame, path: str, version: int, date: str = "20000101000000") -> None:
+def write_arc(
+    pages: DataFrame, path: str, versions: tuple[int, ...] = (1,), date: str = "20000101000000"
+) -> None:
     """Writes pages (page_id, url, html) as ARC files: each body is the response that a
-    server would have sent, with the page's id in a header."""
+    server would have sent, with the page's id in a header. Tasks have ``versions`` in turn."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        version = versions[TaskContext.get().partitionId() % len(versions)]
+
         def records() -> Iterator[bytes]:
             for batch in batches:
                 for page_id, url, html in zip(*batch.columns, strict=True):
@@ -202,40 +207,54 @@ def split_http(body: bytes) -> tuple[bytes, bytes, dict[str, str]]:
     return body[:stop], body[stop:], {k.strip().lower(): v.strip() for k, v in named}
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all ARC files under ``path`` with their digests; bodies are deflated."""
+def read_arc(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
+    """Records of all ARC files under ``path`` with their digests; bodies are deflated.
+    Without ``bodies``, only what identifies a payload."""
+    kinds = _ARC_ROWS if bodies else _ARC_NAMES
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, content in _contents(batches):
             for some in _hundreds(parse_arc(content, name)):
-                rows = []
-                for fields, body in some:
-                    head, payload, named = split_http(body)
-                    rows.append(
-                        {
-                            "page_id": int(named["x-page-id"]) if "x-page-id" in named else None,
-                            "url": fields["URL"],
-                            "ip": fields["IP-address"],
-                            "date": fields["Archive-date"],
-                            "content_type": fields["Content-type"],
-                            "payload_bytes": len(payload),
-                            "payload_digest": sha1_base32(payload),
-                            "block_digest": sha1_base32(body),
-                            "head": head,
-                            "packed": zlib.compress(payload, 1),
-                        }
-                    )
-                yield pa.RecordBatch.from_pylist(rows, _ARC_ROWS)
+                rows = [_arc_row(fields, body, bodies) for fields, body in some]
+                yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    return _read(spark, path).mapInArrow(each, PARSED)
+    return _read(spark, path).mapInArrow(each, PARSED if bodies else NAMED)
 
 
+def _arc_row(fields: dict[str, str], body: bytes, bodies: bool) -> dict:
+    head, payload, named = split_http(body)
+    row = {
+        "page_id": int(named["x-page-id"]) if "x-page-id" in named else None,
+        "url": fields["URL"],
+        "payload_bytes": len(payload),
+        "payload_digest": sha1_base32(payload),
+    }
+    if bodies:
+        row |= {
+            "ip": fields["IP-address"],
+            "date": fields["Archive-date"],
+            "content_type": fields["Content-type"],
+            "block_digest": sha1_base32(body),
+            "head": head,
+            "packed": zlib.compress(payload, 1),
+        }
+    return row
+
+
+_ARC_NAMES = pa.schema(
+    [
+        ("page_id", pa.int64()),
+        ("url", pa.string()),
+        ("payload_bytes", pa.int64()),
+        ("payload_digest", pa.string()),
+    ]
+)
 _ARC_ROWS = pa.schema(
-    [("page_id", pa.int64())]
-    + [(n, pa.string()) for n in ("url", "ip", "date", "content_type")]
-    + [("payload_bytes", pa.int64())]
-    + [(n, pa.string()) for n in ("payload_digest", "block_digest")]
-    + [(n, pa.binary()) for n in ("head", "packed")]
+    [
+        *_ARC_NAMES,
+        *((n, pa.string()) for n in ("ip", "date", "content_type", "block_digest")),
+        *((n, pa.binary()) for n in ("head", "packed")),
+    ]
 )
 
 
@@ -253,15 +272,16 @@ def _hundreds(rows: Iterator) -> Iterator[list]:
 # WARC
 
 
-def with_first(records: DataFrame, least: int = 0) -> DataFrame:
+def with_first(records: DataFrame, named: DataFrame, least: int = 0) -> DataFrame:
     """Adds ``first``: the smallest page_id among the records of the same payload, null for
-    payloads of fewer than ``least`` bytes.
+    payloads of fewer than ``least`` bytes. ``named`` has the same records without bodies.
 
     A payload that a third of all records share is spread over SALTS groups: each finds
     its own smallest, the few results meet, and the answer goes back to every group."""
-    salted = records.withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALTS)))
+    salt = F.pmod(F.hash("page_id", "url"), F.lit(SALTS))
     groups = (
-        salted.where(F.col("payload_bytes") >= least)
+        named.withColumn("salt", salt)
+        .where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest", "salt")
         .agg(F.min("page_id").alias("first"))
     )
@@ -269,6 +289,7 @@ def with_first(records: DataFrame, least: int = 0) -> DataFrame:
         F.min("first").alias("first"), F.collect_list("salt").alias("salts")
     )
     spread = met.select("payload_digest", "first", F.explode("salts").alias("salt"))
+    salted = records.withColumn("salt", salt)
     return salted.join(spread, ["payload_digest", "salt"], "left").drop("salt")
 
 
@@ -403,4 +424,5 @@ def _warc_row(fields: dict[str, str], block: bytes, name: str) -> dict:
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0) -> None:
     """All ARC files under one path, of either version, as WARC files under another."""
-    write_warc(with_first(read_arc(spark, arc_path), least), warc_path)
+    records, named = read_arc(spark, arc_path), read_arc(spark, arc_path, bodies=False)
+    write_warc(with_first(records, named, least), warc_path)

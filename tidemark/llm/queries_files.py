@@ -32,12 +32,9 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with an even hash go through ARC files of version 1, the others 2."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = scratch_path(spark, "archives")
-    odd = F.pmod(F.hash("page_id", "url"), F.lit(2))
-    for version in (1, 2):
-        archives.write_arc(pages.where(odd == version - 1), f"{path}/arc/version={version}", version)
+    archives.write_arc(pages, f"{path}/arc", versions=(1, 2))
     archives.convert(spark, f"{path}/arc", f"{path}/warc")
     return archives.read_warc(spark, f"{path}/warc").select(
         "page_id",
