@@ -18,12 +18,13 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +32,10 @@ from tokenizers import Tokenizer
 
 MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
-SHARD_IDS = 1 << 24
-CACHE_CHUNKS = 1 << 20
+SHARD_IDS = 1 << 23
+# What a worker process remembers from task to task, some 200 bytes each.
+CACHE_CHUNKS, CACHE_PARTS = 400_000, 800_000
+SLICE_BYTES = 8 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
@@ -43,9 +46,7 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 # Chunks of printable ASCII and Latin-1 letters: lower-casing and splitting them needs no
 # Unicode tables, so their parts can be looked up one by one.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
-)
+_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -56,6 +57,30 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class Table:
+    """Numbered runs of ids, looked up by name; number 0 is the empty run."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def find(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+
+    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.starts) - 1
+        self.number.update(zip(names, range(first, first + len(names)), strict=True))
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def sizes(self, numbers: np.ndarray) -> np.ndarray:
+        return self.starts[numbers + 1] - self.starts[numbers]
+
+    def runs(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of all these runs, one after another."""
+        return self.ids[ranges(self.starts[numbers], self.sizes(numbers))]
+
+
 class ChunkEncoder:
     """Ids of texts, by their white-space separated chunks; each distinct chunk is encoded
     once while the memory of them lasts. No token spans white space, so the ids of a text
@@ -64,45 +89,53 @@ class ChunkEncoder:
     def __init__(self, tokenizer: Tokenizer, by_parts: bool) -> None:
         self.tokenizer, self.by_parts = tokenizer, by_parts
         self.letters = byte_letters()
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunks: dict[bytes, int] = {}
-        self.parts: dict[str, array] = {}
-        self.ids, self.starts = array("I"), array("q", [0])
-
-    def _part(self, part: str) -> array:
-        if (ids := self.parts.get(part)) is None:
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)])
-            self.parts[part] = ids
-        return ids
-
-    def _learn(self, chunk: bytes) -> int:
-        text = chunk.decode("utf-8", "surrogatepass")
-        if self.by_parts and "<|" not in text and _PLAIN.fullmatch(text):
-            for part in _PARTS.findall(text.lower()):
-                self.ids.extend(self._part(part))
-        else:
-            self.ids.extend(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self.starts.append(len(self.ids))
-        self.chunks[chunk] = n = len(self.starts) - 2
-        return n
-
-    def encode(self, text: str | None) -> np.ndarray:
-        chunks = text.encode("utf-8", "surrogatepass").split() if text else []
-        numbers = list(map(self.chunks.get, chunks, repeat(-1)))
-        if -1 in numbers:
-            get, learn = self.chunks.get, self._learn
-            numbers = [learn(c) if (n := get(c, -1)) < 0 else n for c in chunks]
-        if not chunks:
-            return np.zeros(0, "<u4")
-        at, starts = np.array(numbers, np.int64), np.frombuffer(self.starts, np.int64)
-        low = starts[at]
-        ids = np.frombuffer(self.ids, np.uint32)[ranges(low, starts[at + 1] - low)]
-        if len(self.chunks) > CACHE_CHUNKS:
-            self.forget()
-        return ids.astype("<u4")
+        self.chunks, self.parts = Table(), Table()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each has."""
+        if len(self.chunks.number) > CACHE_CHUNKS:
+            self.chunks = Table()
+        if len(self.parts.number) > CACHE_PARTS:
+            self.parts = Table()
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        n_chunks = pc.list_value_length(lists).to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        numbers = self.chunks.find(names)
+        if len(new := np.flatnonzero(numbers < 0)):
+            self._learn([names[i] for i in new])
+            numbers = self.chunks.find(names)
+        each = numbers[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+        total = np.concatenate([[0], np.cumsum(self.chunks.sizes(each))])
+        ends = np.cumsum(n_chunks)
+        return self.chunks.runs(each), total[ends] - total[ends - n_chunks]
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain, others = [], []
+        for c in chunks:
+            easy = self.by_parts and "<|" not in c and _PLAIN.fullmatch(c)
+            (plain if easy else others).append(c)
+        if others:
+            runs = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in others]
+            self._add(self.chunks, others, runs)
+        if plain:
+            parts = _PARTS.findall("\n".join(plain).lower())
+            ends = np.array([p == "\n" for p in parts])
+            numbers = self.parts.find(parts)
+            missing = dict.fromkeys(parts[i] for i in np.flatnonzero((numbers < 0) & ~ends))
+            self._add(self.parts, list(missing), [self._spelled(p) for p in missing])
+            numbers = np.maximum(self.parts.find(parts), 0)  # a line's end is the empty run
+            sizes = np.bincount(np.cumsum(ends) - ends, self.parts.sizes(numbers), len(plain))
+            self.chunks.add(plain, self.parts.runs(numbers), sizes.astype(np.int64))
+
+    def _spelled(self, part: str) -> list[int]:
+        spelled = part.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+
+    @staticmethod
+    def _add(table: Table, names: list[str], runs: list[list[int]]) -> None:
+        ids = np.fromiter(chain.from_iterable(runs), np.uint32)
+        table.add(names, ids, np.array([len(r) for r in runs], np.int64))
 
 
 def ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -116,10 +149,23 @@ def _word_bpe(tokenizer: Tokenizer) -> bool:
     samples = ["Hello", "don't", "I'LLl'd", "x-1.25,00!?", "naïve", "ÀÉÿß", "a\"b'c", "''s's"]
     encode = tokenizer.encode
     return all(
-        probe.encode(s).tolist() == encode(s, add_special_tokens=False).ids for s in samples
+        probe.encode(pa.array([s]))[0].tolist() == encode(s, add_special_tokens=False).ids
+        for s in samples
     )
 
 
+def kept_encoder(vocabulary: str) -> ChunkEncoder:
+    """The encoder of this process. What travels by value has no module of its own in a
+    worker, so it is kept on the library's, for the tasks that come after."""
+    of = zlib.crc32(vocabulary.encode())
+    kept = getattr(tokenizers, "_tidemark_encoder", None)
+    if kept is None or kept[0] != of:
+        tokenizer = Tokenizer.from_str(vocabulary)
+        kept = (of, ChunkEncoder(tokenizer, _word_bpe(tokenizer)))
+        tokenizers._tidemark_encoder = kept
+    return kept[1]
+
+
 STAGED = "doc_id long, n_ids long, packed binary"
 
 
@@ -128,17 +174,21 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     vocabulary = open(tokenizer_path, encoding="utf-8").read()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(vocabulary)
-        encoder = ChunkEncoder(tokenizer, _word_bpe(tokenizer))
+        encoder = kept_encoder(vocabulary)
         for batch in batches:
-            for some in _slices(batch, 1000):
-                counts, packed = [], []
-                for text in some.column(1):
-                    ids = np.append(encoder.encode(text.as_py()), np.uint32(end_id)).astype("<u4")
-                    counts.append(len(ids))
-                    packed.append(_pack(ids))
+            for some in _slices(batch, SLICE_BYTES):
+                ids, counts = encoder.encode(some.column(1))
+                last = np.cumsum(counts)
+                packed = [
+                    _pack(np.append(ids[high - n : high], np.uint32(end_id)))
+                    for high, n in zip(last.tolist(), counts.tolist(), strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
+                    [
+                        some.column(0),
+                        pa.array(counts + 1, pa.int64()),
+                        pa.array(packed, pa.binary()),
+                    ],
                     ["doc_id", "n_ids", "packed"],
                 )
 
@@ -146,9 +196,17 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     return source.mapInArrow(each, STAGED)
 
 
-def _slices(batch: pa.RecordBatch, n: int) -> Iterator[pa.RecordBatch]:
-    for i in range(0, batch.num_rows, n):
-        yield batch.slice(i, n)
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``most`` bytes of text; a longer text by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+    first, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > first and held + size > most:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += size
+    if first < batch.num_rows:
+        yield batch.slice(first)
 
 
 def _pack(ids: np.ndarray) -> bytes:
