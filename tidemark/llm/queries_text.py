@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, pii, secrets
+from tidemark.llm import decontamination, pii, secret_scan
 from tidemark.llm.common import read, span_digest
 
 
@@ -20,4 +20,4 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return span_digest(secrets.find_secrets(docs), "secrets", secrets.BASE)
+    return span_digest(secret_scan.find_secrets(docs), "secrets", secret_scan.BASE)
