@@ -15,8 +15,11 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_mixing": queries_corpus.op1_mixing,
         "op2_token_files": queries_files.op2_token_files,
+        "op3_neighbours": queries_corpus.op3_neighbours,
         "op5_personal_data": queries_text.op5_personal_data,
+        "op6_near_duplicates": queries_corpus.op6_near_duplicates,
         "op7_decontamination": queries_text.op7_decontamination,
+        "op8_toxicity": queries_corpus.op8_toxicity,
         "op9_archives": queries_files.op9_archives,
         "op10_secrets": queries_text.op10_secrets,
     }
