@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """Python tasks of jobs run within get smaller batches than the session's."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, most_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def n_words(text: Column) -> Column:
     """Words in a text, 0 for none or null. One pass: each word becomes one letter,
     then the white space goes."""

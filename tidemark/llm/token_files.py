@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from tidemark.llm.common import arrow_batches
+
 MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
-CACHE_CHUNKS, CACHE_PARTS = 400_000, 800_000
-SLICE_BYTES = 8 << 20
+CACHE_CHUNKS, CACHE_PARTS = 200_000, 500_000
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
@@ -321,6 +323,13 @@ def write_token_files(
 
     Null and empty texts are the end id alone. Rows that repeat a doc_id stand together,
     in the order of their ids' bytes. Texts are tokenized once, into ``stage_path``."""
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        _write_token_files(docs, path, tokenizer_path, end_id, stage_path)
+
+
+def _write_token_files(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, stage_path: str
+) -> None:
     spark = docs.sparkSession
     tokenized(docs, tokenizer_path, end_id).write.option("compression", "none").parquet(stage_path)
     staged = spark.read.schema(STAGED).parquet(stage_path)
