@@ -16,6 +16,7 @@ def all_queries() -> dict[str, Query]:
         "op1_mixing": queries_corpus.op1_mixing,
         "op2_token_files": queries_files.op2_token_files,
         "op3_neighbours": queries_corpus.op3_neighbours,
+        "op4_language_model": queries_corpus.op4_language_model,
         "op5_personal_data": queries_text.op5_personal_data,
         "op6_near_duplicates": queries_corpus.op6_near_duplicates,
         "op7_decontamination": queries_text.op7_decontamination,

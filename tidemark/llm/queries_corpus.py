@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, mixing, neighbours, toxicity
+from tidemark.llm import katz, minhash, mixing, neighbours, toxicity
 from tidemark.llm.common import read
 
 
@@ -24,3 +24,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return toxicity.toxicity_report(docs, labels)
+
+
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(read(spark, sf_dir, "documents").select("doc_id", "text"))
