@@ -1,17 +1,54 @@
-"""The corpus pipeline: documents in, token ids out. Stages are added as they are built."""
+"""The corpus pipeline: documents in, token ids out.
+
+Each stage takes what the one before kept and is written as Parquet before the next reads it.
+Toxic documents go, then all but one of each group of near copies, then documents that share
+a passage with a benchmark item; the rest is mixed to target weights and encoded.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import decontamination, minhash, mixing, queries_files, toxicity
 from tidemark.llm.common import read
+from tidemark.sources.scratch import written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.8 or more."""
+    return minhash.without_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs).shuffled()
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return queries_files.encoded(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("tokens", encode_tokens),
+]
 
-STAGES: list = []
+# Learned scores and the tokenizer are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -259,3 +259,28 @@ def _same_id(named: DataFrame, groups: DataFrame) -> DataFrame:
     several = several.where("low != high").select("doc_id")
     rows = named.join(several, "doc_id").select("doc_id", "digest").distinct()
     return rows.join(groups, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with the columns
+    the documents had. Of rows that repeat a kept doc_id, the first by text stays; rows
+    without an id all stay."""
+    # Columns travel as one, so that none can clash with those made here.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+    )
+    gone = near_duplicates(docs.select("doc_id", "text"), k, percent).where("not kept")
+    kept = rows.join(gone.select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = (
+        docs.where("doc_id is not null")
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select("doc_id")
+    )
+    several = kept.join(repeated, "doc_id").groupBy("doc_id").agg(
+        F.min_by("row", F.struct("row.text", F.xxhash64("row"))).alias("row")
+    )
+    once = kept.join(repeated, "doc_id", "left_anti")
+    return once.select("row.*").union(several.select("row.*"))

@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scratch import written
 
-SHARD_NODES = 8192
+SHARD_NODES = 5000
 QUERY_BLOCK = 1024
 DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 48, 96, 1.2
-BUILD_BLOCK = 256
+BUILD_BLOCK, PRUNE_BLOCK = 256, 256
 SALTS = 32
 
 
@@ -113,7 +113,17 @@ def robust_prune(
 ) -> np.ndarray:
     """For each node, up to ``degree`` of its proposed neighbours (-1: none), nearest first;
     one goes when a kept one is nearer to it by ``alpha`` than the node is."""
-    n, absent = len(nodes), len(points)
+    out = np.full((len(nodes), degree), len(points), np.int64)
+    for low in range(0, len(nodes), PRUNE_BLOCK):
+        some = slice(low, low + PRUNE_BLOCK)
+        _prune(points, nodes[some], proposed[some], alpha, out[some])
+    return out
+
+
+def _prune(
+    points: np.ndarray, nodes: np.ndarray, proposed: np.ndarray, alpha: float, out: np.ndarray
+) -> None:
+    n = len(nodes)
     ordered = np.sort(proposed, axis=1)
     bad = (ordered < 0) | (ordered == nodes[:, None])
     bad[:, 1:] |= ordered[:, 1:] == ordered[:, :-1]
@@ -121,57 +131,81 @@ def robust_prune(
     far = np.where(bad, np.inf, _squares(points, points[nodes], safe))
     order = np.argsort(far, axis=1, kind="stable")
     safe, far = np.take_along_axis(safe, order, 1), np.take_along_axis(far, order, 1)
-    near = points[safe]
-    out = np.full((n, degree), absent, np.int64)
+    near = points[safe] - points[nodes][:, None, :]
+    square = np.einsum("ijk,ijk->ij", near, near)
+    between = square[:, :, None] + square[:, None, :] - 2 * near @ near.transpose(0, 2, 1)
     left, count = np.isfinite(far), np.zeros(n, np.int64)
     rows = np.flatnonzero(left.any(axis=1))
     while len(rows):
         first = left[rows].argmax(axis=1)
         out[rows, count[rows]] = safe[rows, first]
         count[rows] += 1
-        step = near[rows] - near[rows, first][:, None, :]
-        between = np.einsum("ijk,ijk->ij", step, step)
         # Distances here are squared, and so is the factor.
-        left[rows] &= alpha * alpha * between > far[rows]
+        left[rows] &= alpha * alpha * between[rows, first] > far[rows]
         left[rows, first] = False
-        rows = rows[left[rows].any(axis=1) & (count[rows] < degree)]
-    return out
-
-
-def _proposals(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Values grouped by row, as a table filled up with -1."""
-    order = np.argsort(rows, kind="stable")
-    rows, values = rows[order], values[order]
-    which, first, count = np.unique(rows, return_index=True, return_counts=True)
-    table = np.full((len(which), max(count, default=0)), -1, np.int64)
-    table[np.repeat(np.arange(len(which)), count), np.arange(len(rows)) - np.repeat(first, count)] = values
-    return which, table
+        rows = rows[left[rows].any(axis=1) & (count[rows] < out.shape[1])]
+
+
+class Graph:
+    """Neighbours of every node, in a table with room to spare; a row that would overflow
+    is pruned back to the degree."""
+
+    def __init__(self, points: np.ndarray, degree: int, seed: int) -> None:
+        n, self.degree, self.points = len(points), degree, points
+        self.edges = np.full((n, degree + max(1, degree // 2)), n, np.int64)
+        drawn = np.sort(np.random.default_rng(seed).integers(0, n, (n, degree)), axis=1)
+        drawn[:, 1:][drawn[:, 1:] == drawn[:, :-1]] = n
+        self.edges[:, :degree] = np.sort(drawn, axis=1)
+
+    def own(self, nodes: np.ndarray) -> np.ndarray:
+        held = self.edges[nodes]
+        return np.where(held == len(self.points), -1, held)
+
+    def choose(self, nodes: np.ndarray, proposed: np.ndarray, alpha: float) -> None:
+        kept = robust_prune(self.points, nodes, proposed, self.degree, alpha)
+        self.edges[nodes] = len(self.points)
+        self.edges[nodes, : self.degree] = kept
+
+    def add(self, source: np.ndarray, target: np.ndarray, alpha: float) -> None:
+        """An edge from each source to its target, unless there is one."""
+        width = self.edges.shape[1]
+        new = ~(self.edges[source] == target[:, None]).any(axis=1)
+        source, target = source[new], target[new]
+        order = np.argsort(source, kind="stable")
+        source, target = source[order], target[order]
+        nodes, first, new = np.unique(source, return_index=True, return_counts=True)
+        held = (self.edges[nodes] < len(self.points)).sum(axis=1)
+        at = np.repeat(held, new) + np.arange(len(source)) - np.repeat(first, new)
+        fits = np.repeat(held + new <= width, new)
+        self.edges[source[fits], at[fits]] = target[fits]
+        full = held + new > width
+        # Hubs are pruned in runs, so that no row of proposals is longer than two rows.
+        for low in range(0, int(new[full].max(initial=0)), width):
+            some = full & (new > low)
+            taken = np.minimum(new[some] - low, width)
+            table = np.full((len(taken), width), -1, np.int64)
+            row = np.repeat(np.arange(len(taken)), taken)
+            column = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+            table[row, column] = target[first[some][row] + low + column]
+            both = np.concatenate([self.own(nodes[some]), table], axis=1)
+            self.choose(nodes[some], both, alpha)
 
 
 def build_graph(points: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
-    """Edges (degree of them for every node; the number of nodes stands for none) and the
-    node to start from, the one nearest to the mean."""
-    n, draw = len(points), np.random.default_rng(seed)
-    degree = min(DEGREE, max(1, n - 1))
+    """Edges (the number of nodes stands for none) and the node to start from, the one
+    nearest to the mean."""
+    n, draw = len(points), np.random.default_rng([seed, 1])
     start = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
-    edges = draw.integers(0, n, (n, degree))
+    graph = Graph(points, min(DEGREE, max(1, n - 1)), seed)
     for alpha in (1.0, ALPHA):
         order = draw.permutation(n)
         for low in range(0, n, BUILD_BLOCK):
             block = order[low : low + BUILD_BLOCK]
-            found, _ = beam_search(points, edges, start, points[block], BEAM)
-            own = np.where(edges[block] == n, -1, edges[block])
-            edges[block] = robust_prune(points, block, np.concatenate([found, own], 1), degree, alpha)
-            source, place = (edges[block] < n).nonzero()
-            target = edges[block][source, place]
-            back, table = _proposals(target, block[source], n)
-            # Hubs are pruned in runs, so that a table holds no more than twice the degree.
-            for k in range(0, table.shape[1], degree):
-                some = (table[:, k : k + degree] >= 0).any(axis=1)
-                own = np.where(edges[back[some]] == n, -1, edges[back[some]])
-                both = np.concatenate([own, table[some, k : k + degree]], axis=1)
-                edges[back[some]] = robust_prune(points, back[some], both, degree, alpha)
-    return edges, start
+            found, _ = beam_search(points, graph.edges, start, points[block], BEAM)
+            graph.choose(block, np.concatenate([found, graph.own(block)], axis=1), alpha)
+            row, place = (graph.edges[block] < n).nonzero()
+            graph.add(graph.edges[block][row, place], block[row], alpha)
+    return graph.edges, start
 
 
 def _longer(vectors: np.ndarray) -> np.ndarray:
