@@ -4,12 +4,11 @@
    of a densified one-permutation sketch. Texts of the same set are one node from here on.
 2. Nodes with a band in common meet in a bucket. Each bucket is a star: every member is
    compared with the bucket's smallest node only, so a bucket of m nodes gives m pairs.
-3. Pairs are confirmed on the full sets. First each node's most frequent centre, then the
-   other centres of nodes that are still apart from them.
-4. A bucket whose members are not all in one component may hide a link between two members
-   that both miss the centre. Such buckets get further stars with other centres, until the
-   pairs left over are no more than the nodes, and then all of these are compared. So every
-   pair that meets in some bucket is either compared or already connected.
+3. Pairs are confirmed on the full sets, and links joined to components.
+4. A bucket whose members are still in several components may hide a link between two members
+   that both miss the centre. Such buckets are compared whole, in pairs of bounded blocks
+   that give only links, not pairs. So every two nodes that meet in some bucket are either
+   compared or already connected.
 
 A pair of similarity 0.8 meets in no bucket with probability (1 - 0.8^8)^64 < 1e-5.
 
@@ -43,7 +42,8 @@ BANDS, ROWS = 64, 8
 SALTS = 8
 # Nodes whose ids are sent to every executor, 8 bytes each; more are joined by shuffle.
 MOST_SENT = 1_000_000
-STAR_ROUNDS = 8
+# Nodes in a block of a bucket that is compared whole, and shingles looked at at a time.
+BLOCK, COLUMNS = 512, 4096
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
@@ -151,75 +151,90 @@ def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str) -> Dat
     return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    both = _labelled(_labelled(pairs, "a", labels, "la"), "b", labels, "lb")
-    return both.where("la != lb").select("a", "b").distinct()
-
-
 def _links(members: DataFrame, texts: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
     """Components of the nodes, from all links that buckets can show."""
-
-    def extended(links: DataFrame, pairs: DataFrame) -> DataFrame:
-        return written(links.union(confirmed(pairs, texts, k, percent)), "links")
-
-    stars = (
-        members.where("node != centre")
-        .groupBy(F.col("node").alias("a"), F.col("centre").alias("b"))
-        .agg(F.count("*").alias("votes"))
+    stars = members.where("node != centre").select(
+        F.col("node").alias("a"), F.col("centre").alias("b")
     )
-    stars = written(stars, "stars")
-    best = stars.groupBy("a").agg(F.max(F.struct("votes", -F.col("b"))).alias("best"))
-    first = best.select("a", (-F.col("best.col2")).alias("b"))
-    links = extended(known, first)
-    labels = components(links)
-    others = stars.select("a", "b").join(first, ["a", "b"], "left_anti")
-    links = extended(links, _apart(others, labels))
+    stars = written(stars.distinct(), "stars")
+    links = written(known.union(confirmed(stars, texts, k, percent)), "links")
     labels = components(links)
-    for round_ in range(STAR_ROUNDS + 1):
-        open_ = written(_unresolved(members, labels), "open")
-        per_part = open_.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        left, nodes = (
-            per_part.groupBy("bucket")
-            .agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("same"))
-            .agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.sum("m"))
-            .first()
-        )
-        if not left:
-            break
-        if left <= 8 * nodes or round_ == STAR_ROUNDS:
-            links = extended(links, _all_apart(open_))
-            labels = components(links)
-            break
-        links = extended(links, _apart(_star(open_, round_), labels))
-        labels = components(links)
-    return labels
+    open_ = _unresolved(members, labels)
+    hidden = written(_compared(open_, texts, k, percent), "links")
+    return components(links.union(hidden)) if hidden.head(1) else labels
 
 
 def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, label) of buckets in which two nodes other than the centre, which all
-    have been compared with, are in different components."""
+    """(bucket, node, label, size) of buckets in which two nodes other than the centre, which
+    all have been compared with, are in different components; size counts such nodes."""
     rows = _labelled(members.where("node != centre"), "node", labels, "label")
-    mixed = (
+    apart = (
         rows.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
         .where("low != high")
     )
-    return rows.join(mixed.select("bucket"), "bucket").select("bucket", "node", "label").distinct()
+    return rows.join(apart.select("bucket", "size"), "bucket").select(
+        "bucket", "node", "label", "size"
+    )
 
 
-def _star(open_: DataFrame, round_: int) -> DataFrame:
-    """Each member with a centre that depends on the bucket and the round."""
-    order = F.struct(F.xxhash64("bucket", "node", F.lit(round_)), "node")
-    centre = open_.groupBy("bucket").agg(F.min(order).alias("centre"))
-    return open_.join(centre.select("bucket", F.col("centre.node").alias("b")), "bucket").select(
-        F.col("node").alias("a"), "b"
-    ).where("a != b")
+def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links between different components within a bucket. A bucket is cut into blocks of
+    about BLOCK nodes; a task gets two blocks of one bucket and gives only the links."""
+
+    def each(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        same = key[1].as_py() == key[2].as_py()
+        left = np.array(table["block"]) == key[1].as_py()
+        node, label = (np.array(table[c], np.int64) for c in ("node", "label"))
+        bodies = [zlib.decompress(t.as_py()) for t in table["packed"]]
+        common, size = _overlaps(bodies, left, left if same else ~left, k)
+        a, b = np.flatnonzero(left), np.flatnonzero(left if same else ~left)
+        union = size[a][:, None] + size[b][None, :] - common
+        linked = (100 * common >= percent * union) & (label[a][:, None] != label[b][None, :])
+        row, column = linked.nonzero()
+        return pa.table({"a": pa.array(node[a][row]), "b": pa.array(node[b][column])})
+
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cut = open_.distinct().select(
+        "bucket", "node", "label", F.pmod(F.hash("node"), blocks).alias("block"), blocks.alias("n")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    meeting = cut.select("bucket", "node", "label", "block", other).withColumns(
+        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
+    )
+    return (
+        meeting.join(texts, "node")
+        .groupBy("bucket", "i", "j")
+        .applyInArrow(each, "a long, b long")
+        .distinct()
+    )
 
 
-def _all_apart(open_: DataFrame) -> DataFrame:
-    left = open_.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = open_.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return left.join(right, "bucket").where("a < b and la != lb").select("a", "b").distinct()
+def _overlaps(
+    bodies: list[bytes], left: np.ndarray, right: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in common of every left and every right text, and all texts' sizes."""
+    found = [shingle_sets(bodies[first:last], k) for first, last in slices(bodies)]
+    firsts = [first for first, _ in slices(bodies)]
+    doc = np.concatenate([d + first for first, (d, _) in zip(firsts, found, strict=True)])
+    value = np.concatenate([v for _, v in found])
+    _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    row = doc[shared]
+    a, b = np.cumsum(left) - 1, np.cumsum(right) - 1
+    total = np.zeros((left.sum(), right.sum()), np.float32)
+    width = int(column.max(initial=-1)) + 1
+    for low in range(0, width, COLUMNS):
+        some = (column >= low) & (column < low + COLUMNS)
+        sides = []
+        for side, number in ((left, a), (right, b)):
+            mine = some & side[row]
+            table = np.zeros((side.sum(), COLUMNS), np.float32)
+            table[number[row[mine]], column[mine] - low] = 1
+            sides.append(table)
+        total += sides[0] @ sides[1].T
+    return np.rint(total).astype(np.int64), np.bincount(doc, minlength=len(bodies))
 
 
 def near_duplicates(
