@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import dimensions, numbers, times
 from tidemark.operators import metrics, pages, users, visitors
 from tidemark.plans import skew
-from tidemark.plans.periods import DAY, Period, complete_weeks
+from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, Period
 from tidemark.plans.rollup import Rollups
 from tidemark.sources.adapter import as_clickstream, sample_events
-from tidemark.sources.events import limit_events
+from tidemark.schema import TABLES
+from tidemark.sources.events import as_events, limit_events
+from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path
 from tidemark.sources.store import RollupStore
 from tidemark.streaming import clicks as click_stream
@@ -25,7 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The first Monday of the generated data; weeks count from it.
 WEEK_ANCHOR = date(2024, 1, 1)
 FORTNIGHT = Period(datetime(2024, 1, 8), datetime(2024, 1, 22))
-LAST_DAY = Period(datetime(2024, 1, 30), datetime(2024, 1, 31))
 REPORT_DAY = Period(datetime(2024, 1, 15), datetime(2024, 1, 16))
 RAW_EVENTS = (
     "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -101,6 +102,12 @@ def clicks_by(e: DataFrame, key: Column, name: str) -> DataFrame:
     return e.groupBy(key.alias(name)).agg(F.count("*").alias("events"))
 
 
+def new_vs_existing(e: DataFrame) -> DataFrame:
+    """The run of the last day in the data."""
+    end = data_days(e).end
+    return visitors.new_and_existing(e, end - DAY, end)
+
+
 def first_seen(e: DataFrame) -> DataFrame:
     return visitors.first_seen(e)
 
@@ -189,47 +196,105 @@ def sink_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("daily_metrics")
 
 
-def backfilled(table: str, grains: list[str]) -> Query:
+def sink_narrow_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Click summaries written wrong, then replaced by runs as short as ten minutes."""
+    e = sample_events(spark, sf_dir)
+    store, days, name = new_store(spark), data_days(e), "minutes_click_summary"
+    rows = users.minutes_click_summary(e)
+    store.write(name, rows.withColumn("total_clicks", F.lit(-1).cast("long")), days)
+    noon = days.start + DAY / 2
+    cuts = [days.start, noon, noon + TEN_MINUTES, noon + 2 * HOUR + TEN_MINUTES, days.end]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        run = Period(start, end)
+        store.write(name, rows.where(times.half_open(F.col("date_time"), start, end)), run)
+    return store.read(name)
+
+
+def backfilled(table: str) -> Query:
+    """A table after a backfill of its family over all days, through every grain."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         e = sample_events(spark, sf_dir)
         jobs = Rollups(spark, e, new_store(spark))
-        days = data_days(e)
-        for grain in grains:
-            period = complete_weeks(days) if grain == "weekly" else days
-            if period:
-                jobs.run(f"{grain}_metrics", period, "10m")
-        return jobs.store.read(table)
+        jobs.backfill(data_days(e), [TABLES[table].family])
+        rows = jobs.store.read(table)
+        return rows.drop("next_pages")
 
     return query
 
 
-def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = spark.readStream.schema(RAW_EVENTS).option("pathGlobFilter", "events.parquet")
-    return as_clickstream(files.parquet(sf_dir))
+def without_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page statistics of the twelve columns alone, ordered in a session by time."""
+    e = sample_events(spark, sf_dir).drop("event_id")
+    return minutes_pages(as_events(e)).drop("next_pages")
+
+
+# Streams. Raw events come as several files, one batch each.
+
+
+def raw_files(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
+    """The raw events as files that each hold some of every bucket."""
+    path = scratch_path(spark, "raw-events")
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw.repartition(files, "event_id").write.parquet(path)
+    return path
+
+
+def raw_stream(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", 1)
+    return as_clickstream(files.parquet(path))
 
 
 def streamed_minutes(family: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        store = minute_stream.drain(spark, raw_stream(spark, sf_dir), (family,))
+        events = raw_stream(spark, raw_files(spark, sf_dir))
+        store = minute_stream.drain(spark, events, (family,))
         rows = store.read(f"minutes_{family}")
         return rows.drop("next_pages")
 
     return query
 
 
+def new_stream(spark: SparkSession) -> tuple[minute_stream.MinuteStream, str]:
+    root = scratch_path(spark, "stream")
+    log = FirstSeenLog(spark, f"{root}/seen")
+    store = RollupStore(spark, f"{root}/tables")
+    return minute_stream.MinuteStream(spark, f"{root}/events", log, store, ("metrics",)), root
+
+
+def stream_into_backfilled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store has buckets up to noon of a middle day from a backfill; the stream sees only
+    the events from then on, in one batch of far more buckets than the day has left."""
+    e = sample_events(spark, sf_dir)
+    days = data_days(e)
+    noon = days.start + (days.end - days.start) // DAY // 2 * DAY + DAY / 2
+    stream, root = new_stream(spark)
+    before = e.where(times.half_open(ts(), days.start, noon))
+    jobs = Rollups(spark, before, stream.store, seen_log=stream.seen_log)
+    jobs.run("minutes_metrics", Period(days.start, noon), "10m")
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw.where(F.col("ts") >= times.at(noon)).coalesce(1).write.parquet(f"{root}/raw")
+    query = stream.start(raw_stream(spark, f"{root}/raw"), f"{root}/checkpoint", availableNow=True)
+    query.awaitTermination()
+    return stream.store.read("minutes_metrics")
+
+
+def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own, one after the other, into one store."""
+    stream, root = new_stream(spark)
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for i in range(2):
+        part = f"{root}/raw-{i}"
+        raw.where(F.col("event_id") % 2 == i).coalesce(1).write.parquet(part)
+        query = stream.start(raw_stream(spark, part), f"{root}/checkpoint-{i}", availableNow=True)
+        query.awaitTermination()
+    return stream.store.read("minutes_metrics")
+
+
 def stream_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = click_stream.clicks_per_ten_minutes(raw_stream(spark, sf_dir))
-    root = scratch_path(spark, "clicks")
-    (
-        counts.writeStream.format("parquet")
-        .option("path", f"{root}/rows")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(counts.schema).parquet(f"{root}/rows")
+    """One batch, so that nothing is late."""
+    events = raw_stream(spark, raw_files(spark, sf_dir, 1))
+    return click_stream.drain(events, scratch_path(spark, "clicks"))
 
 
 def all_queries() -> dict[str, Query]:
@@ -263,9 +328,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "segments_long": e(segments_long),
         # 2.4 joins
-        "new_vs_existing_join": e(
-            lambda d: visitors.new_and_existing(d, LAST_DAY.start, LAST_DAY.end)
-        ),
+        "new_vs_existing_join": e(new_vs_existing),
         "first_seen": e(first_seen),
         # 2.5 aggregates
         "agg_count": e(lambda d: d.groupBy("sdk_key", "event_name").agg(F.count("*").alias("n"))),
@@ -366,15 +429,21 @@ def all_queries() -> dict[str, Query]:
         "weekly_user_distribution": e(
             lambda d: users.weekly_user_distribution(users.daily_user_distribution(d), WEEK_ANCHOR)
         ),
-        "backfill_daily_metrics": backfilled("daily_metrics", ["minutes", "hourly", "daily"]),
-        "backfill_weekly_metrics": backfilled(
-            "weekly_metrics", ["minutes", "hourly", "daily", "weekly"]
-        ),
+        "backfill_daily_metrics": backfilled("daily_metrics"),
+        "backfill_weekly_metrics": backfilled("weekly_metrics"),
+        "backfill_weekly_page_stats": backfilled("weekly_page_stats"),
+        "backfill_weekly_click_summary": backfilled("weekly_click_summary"),
+        "backfill_weekly_top_elements": backfilled("weekly_top_elements"),
+        "backfill_weekly_user_distribution": backfilled("weekly_user_distribution"),
+        "sink_narrow_runs": sink_narrow_runs,
+        "minutes_page_stats_no_event_id": without_event_ids,
         # 2.12 streaming
         "stream_minutes_metrics": streamed_minutes("metrics"),
         "stream_minutes_page_stats": streamed_minutes("page_stats"),
         "stream_minutes_click_summary": streamed_minutes("click_summary"),
         "stream_minutes_top_elements": streamed_minutes("top_elements"),
         "stream_minutes_user_distribution": streamed_minutes("user_distribution"),
+        "stream_into_backfilled_store": stream_into_backfilled_store,
+        "stream_restarted": stream_restarted,
         "stream_clicks_10m": stream_clicks,
     }

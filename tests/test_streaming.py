@@ -3,6 +3,7 @@ import pytest
 from tests.crafted import at, event, events, rows
 from tidemark.operators import metrics, pages, users, visitors
 from tidemark.plans import periods
+from tidemark.plans.rollup import Options
 from tidemark.schema import EVENTS, TABLES
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.store import RollupStore
@@ -83,18 +84,43 @@ def test_buckets_of_a_day_written_whole_are_replaced_one_by_one(spark, stream):
         assert rows(stream.store.read(f"minutes_{family}"), *columns) == want
 
 
-def test_a_backlog_is_written_as_whole_days(spark, stream, monkeypatch):
-    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 1)
-    first, second = events(spark, *BATCHES[0]), events(spark, *BATCHES[1])
-    stream.process(first, 0)
-    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 24)
-    stream.process(second, 1)
-    monkeypatch.setattr(minutes, "WHOLE_DAY_FROM", 1)
-    stream.process(second, 1)
+@pytest.mark.parametrize("buckets", [24, 25, 60])
+def test_rows_no_stream_saw_outlive_a_backlog(spark, stream, buckets):
+    """However many buckets of a day a batch touches, the others keep their rows."""
+    day = periods.day("2024-01-01")
+    morning = events(spark, *[event(f"00:{m:02d}") for m in (0, 10, 20, 30)])
+    for family in minutes.FAMILIES:
+        stream.store.write(f"minutes_{family}", batch_rows(morning, family), day)
+    stream.seen_log.update(morning, "base")
+    times = [f"{10 + i // 6:02d}:{i % 6}5" for i in range(buckets)]
+    batch = events(spark, *[event(t, client_id="n") for t in times])
+    stream.process(batch, 0)
     for family in minutes.FAMILIES:
         columns = TABLES[f"minutes_{family}"].columns
-        want = rows(batch_rows(first.union(second), family), *columns)
-        assert rows(stream.store.read(f"minutes_{family}"), *columns) == want
+        want = rows(batch_rows(morning.union(batch), family), *columns)
+        assert rows(stream.store.read(f"minutes_{family}"), *columns) == want, family
+
+
+def test_a_new_checkpoint_keeps_earlier_events(spark, tmp_path, stream):
+    for i, batch in enumerate(BATCHES[:2]):
+        source = feed(spark, str(tmp_path / f"in{i}"), [batch])
+        stream.start(source, str(tmp_path / f"checkpoint{i}"), availableNow=True).awaitTermination()
+    everything = events(spark, *BATCHES[0], *BATCHES[1])
+    columns = TABLES["minutes_metrics"].columns
+    want = rows(batch_rows(everything, "metrics"), *columns)
+    assert rows(stream.store.read("minutes_metrics"), *columns) == want
+
+
+def test_a_stream_buckets_in_the_zone_of_its_store(spark, tmp_path):
+    store = RollupStore(spark, str(tmp_path / "tables"))
+    log = FirstSeenLog(spark, str(tmp_path / "seen"))
+    options = Options(base_zone="Asia/Seoul")
+    stream = minutes.MinuteStream(spark, str(tmp_path / "events"), log, store, options=options)
+    stream.process(events(spark, event("15:00"), event("23:59")), 0)
+    got = [str(r["date_time"]) for r in store.read("minutes_metrics").orderBy("date_time").collect()]
+    assert got == ["2024-01-02 00:00:00", "2024-01-02 08:50:00"]
+    with pytest.raises(ValueError):
+        minutes.MinuteStream(spark, "", log, store, options=Options(closed_end=True))
 
 
 def test_an_empty_batch_is_nothing(spark, stream):

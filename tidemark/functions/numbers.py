@@ -31,26 +31,26 @@ def avg_positive_whole(x: Column) -> Column:
     return F.coalesce(F.avg(F.when(x > 0, x)).cast("long"), F.lit(0).cast("long"))
 
 
-# Fixed values of the repeatable mean: the unit of the whole part, and the size
-# from which a value is left to the fractional part altogether.
+# Fixed values of the repeatable mean: the unit of the whole part, and the size from
+# which a value does not fit 38 digits beside a million million others of its size.
 UNIT = 1024.0
-WHOLE_LIMIT = 1e12
+WHOLE_LIMIT = 1e22
 
 
 def mean_sums(x: Column, whole: str, rest: str, count: str) -> list[Column]:
     """Aggregates from which ``mean_of`` takes a mean that does not depend on the
     order rows are added in, so that a retried task or another partitioning gives
     the same digits. A sum of doubles loses low digits differently in every order;
-    here whole 1024ths add up as integers, and only what is left as doubles. Values
-    of 1e12 and more, which are no times on a page, add up as plain doubles."""
+    here whole 1024ths add up as decimals, and only what is left as doubles. Beyond
+    WHOLE_LIMIT, NaN and infinity included, there are plain doubles only."""
     units = x * F.lit(UNIT)
-    full = F.when(F.abs(x) < WHOLE_LIMIT, F.floor(units)).otherwise(F.lit(0).cast("long"))
+    full = F.when(F.abs(x) < WHOLE_LIMIT, units - units % 1).otherwise(F.lit(0.0))
     return [
-        F.sum(F.when(x.isNotNull(), full)).alias(whole),
+        F.sum(F.when(x.isNotNull(), full).cast("decimal(28,0)")).alias(whole),
         F.sum(units - full).alias(rest),
         F.count(x).alias(count),
     ]
 
 
 def mean_of(whole: Column, rest: Column, count: Column) -> Column:
-    return F.try_divide((whole + rest) / F.lit(UNIT), count)
+    return F.try_divide((whole.cast("double") + rest) / F.lit(UNIT), count)

@@ -55,8 +55,9 @@ def _summed(rows: DataFrame, key: str) -> DataFrame:
             F.sum("is_new").alias("new_visitors"),
             F.sum(F.when(lasting, F.col("seconds") * F.col("n"))).alias("seconds"),
             F.sum(F.when(lasting, F.col("n"))).alias("n"),
+            F.sum("n").alias("events"),
         )
-        .where(F.col("visitors") > 0)
+        .where(F.col("events") > 0)
         .select(
             key,
             "clicks",
@@ -81,7 +82,7 @@ def _bucket_is_run(
         key,
         "sdk_key",
         "clicks",
-        long(1).alias("visitor"),
+        F.col("client_id").isNotNull().cast("long").alias("visitor"),
         long(0).alias("is_new"),
         times.seconds_between(F.col("first_at"), F.col("last_at")).alias("seconds"),
         "n",
@@ -130,7 +131,7 @@ def minutes_metrics(events: DataFrame, seen: DataFrame, run_grain: str = "10m")
         "date_time",
         "sdk_key",
         "clicks",
-        F.lit(1).cast("long").alias("visitor"),
+        F.col("client_id").isNotNull().cast("long").alias("visitor"),
         F.coalesce("arrived", F.lit(0).cast("long")).alias("is_new"),
         times.seconds_between(F.col("run_first"), F.col("run_last")).alias("seconds"),
         "n",

@@ -94,7 +94,7 @@ def _facts(clicks: DataFrame, keys: list[str], kinds: list[str], item: list[str]
         .agg(F.sum("n").alias("n"))
     )
     facts = per_clicker.groupBy(*keys, *SEGMENT, *by_kind, "item").agg(
-        F.sum("n").alias("clicks"), F.count("*").alias("users")
+        F.sum("n").alias("clicks"), F.count("client_id").alias("users")
     )
     return facts if by_kind else facts.withColumn("kind", F.lit(kinds[0]))
 

@@ -9,8 +9,10 @@ from tidemark.functions import times
 
 
 def first_seen(events: DataFrame) -> DataFrame:
-    """One row per (client_id, sdk_key). Partial minima combine before the shuffle."""
-    return events.groupBy("client_id", "sdk_key").agg(F.min("timestamp").alias("first_seen"))
+    """One row per (client_id, sdk_key). Partial minima combine before the shuffle. Events
+    without a client are nobody's visit."""
+    known = events.where(F.col("client_id").isNotNull())
+    return known.groupBy("client_id", "sdk_key").agg(F.min("timestamp").alias("first_seen"))
 
 
 def past_visitors(events: DataFrame, start) -> DataFrame:
@@ -34,8 +36,10 @@ def new_and_existing(events: DataFrame, start, end) -> DataFrame:
         present.join(past, ["client_id", "sdk_key"], "left")
         .groupBy("date_time", "sdk_key")
         .agg(
-            F.count("*").alias("visitors"),
-            F.count_if(F.col("seen_before").isNull()).alias("new_visitors"),
+            F.count("client_id").alias("visitors"),
+            F.count_if(F.col("client_id").isNotNull() & F.col("seen_before").isNull()).alias(
+                "new_visitors"
+            ),
             F.count_if(F.col("seen_before").isNotNull()).alias("existing_visitors"),
         )
     )

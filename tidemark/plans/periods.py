@@ -39,6 +39,20 @@ class Period:
         return Period(move(self.start), move(self.end))
 
 
+# The unit the periods of a table's grain are made of.
+UNITS = {"minutes": TEN_MINUTES, "hourly": HOUR, "daily": DAY, "weekly": DAY}
+
+
+def require_whole(period: Period, grain: str) -> None:
+    """A period that is not whole units of its grain would replace parts of rows."""
+    for moment in (period.start, period.end):
+        midnight = datetime.combine(moment.date(), time())
+        if (moment - midnight) % UNITS[grain]:
+            raise ValueError(f"{moment} is not on a boundary of {grain} tables")
+    if grain == "weekly" and (period.end - period.start) % WEEK:
+        raise ValueError(f"{period.start} to {period.end} is not whole weeks")
+
+
 def _parse(text: str, form: str) -> datetime:
     try:
         return datetime.strptime(text, form)

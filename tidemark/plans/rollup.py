@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
@@ -12,7 +13,15 @@ from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.operators.visitors import first_seen
 from tidemark.plans import skew
-from tidemark.plans.periods import Period, complete_weeks, run_period
+from tidemark.plans.periods import (
+    DAY,
+    HOUR,
+    TEN_MINUTES,
+    Period,
+    complete_weeks,
+    require_whole,
+    run_period,
+)
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.events import events_before, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
@@ -53,7 +62,8 @@ class Rollups:
 
     def _base_events(self, period: Period) -> DataFrame:
         o = self.options
-        stored = limit_events(self.events, period.in_zone(o.base_zone, o.source_zone))
+        span = period.in_zone(o.base_zone, o.source_zone)
+        stored = limit_events(self.events, span, o.source_zone)
         return rebase(stored, o.source_zone, o.base_zone)
 
     def _click_events(self, period: Period) -> DataFrame:
@@ -64,7 +74,8 @@ class Rollups:
 
     def _report_events(self, period: Period) -> DataFrame:
         o = self.options
-        return limit_events(self.events, period.in_zone(o.report_zone, o.source_zone))
+        span = period.in_zone(o.report_zone, o.source_zone)
+        return limit_events(self.events, span, o.source_zone)
 
     def _seen(self, period: Period) -> DataFrame:
         """First times within the period; earlier ones do not make anybody new."""
@@ -73,20 +84,28 @@ class Rollups:
             seen = self.seen_log.read(self._base_events(period))
         else:
             end = period.in_zone(o.base_zone, o.source_zone).end
-            history = rebase(events_before(self.events, end), o.source_zone, o.base_zone)
+            history = events_before(self.events, end, o.source_zone)
+            history = rebase(history, o.source_zone, o.base_zone)
             seen = first_seen(history)
         return seen.where(seen.first_seen >= times.at(period.start))
 
     def _run_grain(self, period: Period) -> str:
-        return {600: "10m", 3600: "1h"}.get(int((period.end - period.start).total_seconds()), "1d")
+        """A single run is ten minutes, an hour or a day; other spans must say which
+        runs they are made of."""
+        span = period.end - period.start
+        grain = {TEN_MINUTES: "10m", HOUR: "1h", DAY: "1d"}.get(span)
+        if grain is None:
+            raise ValueError(f"{span} is no single run; give run_grain")
+        return grain
 
     def compute(self, name: str, period: Period, run_grain: str | None = None) -> DataFrame:
         """The rows of one table for one period. Lazy, but for page statistics a
         counting pass looks for hot sessions first."""
         table = TABLES[name]
+        require_whole(period, table.grain)
         o = self.options
         if table.grain == "minutes":
-            return self._minutes(table.family, period, run_grain or self._run_grain(period))
+            return self._minutes(table.family, period, run_grain)
         if table.grain == "daily" and table.family not in ("metrics", "page_stats"):
             kinds, rows_of = users.FAMILY_FACTS[table.family]
             return rows_of(self._day_facts(period, kinds), ["date"])
@@ -97,9 +116,10 @@ class Rollups:
             extra["anchor"] = period.start.date()
         return getattr(module, name)(lower, **extra)
 
-    def _minutes(self, family: str, period: Period, run_grain: str) -> DataFrame:
+    def _minutes(self, family: str, period: Period, run_grain: str | None) -> DataFrame:
         if family == "metrics":
-            return metrics.minutes_metrics(self._base_events(period), self._seen(period), run_grain)
+            runs = run_grain or self._run_grain(period)
+            return metrics.minutes_metrics(self._base_events(period), self._seen(period), runs)
         if family == "page_stats":
             events = self._base_events(period)
             hot = skew.measured_hot_sessions(events, self.options.session_quota)
@@ -124,6 +144,7 @@ class Rollups:
 
     def run(self, name: str, period: Period, run_grain: str | None = None) -> None:
         """Compute one table for one period and replace that period in the store."""
+        require_whole(period, TABLES[name].grain)
         if name == "minutes_metrics" and self.seen_log is not None:
             run_id = f"{period.start:%Y%m%dT%H%M}-{period.end:%Y%m%dT%H%M}"
             self.seen_log.update(self._base_events(period), run_id)
@@ -147,14 +168,18 @@ class Rollups:
         period: Period,
         run_grain: str | None = None,
         segment_period: Period | None = None,
+        families: Iterable[str] = tuple(FAMILIES),
     ) -> None:
-        """All five tables of a grain. The three per-segment tables that read events
-        share one pass over the clicks, written once and read three times; their
-        period may be given apart from that of the others."""
+        """All five tables of a grain, or those of some families. The three per-segment
+        tables that read events are made from facts written once; their period may be given
+        apart from that of the others."""
         for family in ("metrics", "page_stats"):
-            self.run(f"{grain}_{family}", period, run_grain)
+            if family in families:
+                self.run(f"{grain}_{family}", period, run_grain)
         period = segment_period or period
-        shared = [f for f in FAMILIES if f not in ("metrics", "page_stats")]
+        shared = [f for f in families if f not in ("metrics", "page_stats")]
+        if not shared:
+            return
         if grain not in ("minutes", "daily"):
             for family in shared:
                 self.run(f"{grain}_{family}", period)
@@ -170,15 +195,15 @@ class Rollups:
                 _, rows_of = users.FAMILY_FACTS[family]
                 self.store.write(f"{grain}_{family}", rows_of(rows, keys), period)
 
-    def backfill(self, days: Period) -> None:
+    def backfill(self, days: Period, families: Iterable[str] = tuple(FAMILIES)) -> None:
         """Every grain over whole days, lower grains first, one bulk job per table.
 
         Minutes are ten-minute runs whatever the range. Weeks count from the first
         day, and only complete ones are written.
         """
-        self.run_grain("minutes", days, "10m")
-        self.run_grain("hourly", days)
-        self.run_grain("daily", days)
+        self.run_grain("minutes", days, "10m", families=families)
+        self.run_grain("hourly", days, families=families)
+        self.run_grain("daily", days, families=families)
         weeks = complete_weeks(days)
         if weeks:
-            self.run_grain("weekly", weeks)
+            self.run_grain("weekly", weeks, families=families)

@@ -17,15 +17,20 @@ def measured_hot_sessions(
 ) -> DataFrame | None:
     """Sessions to cut into pieces, or None where every session fits a task.
 
-    One narrow counting pass over the events, and a second one over the hot sessions
-    where there are any. What they find is written out, so that the plans that use
-    it do not count again. It is broadcast only when it was counted to fit; a longer
-    list is joined by shuffle.
+    No more events than the quota cannot hold a hot session, so these are not counted by
+    session. Otherwise there is one narrow counting pass over the events, and a second one
+    over the hot sessions where there are any. What they find is written out, so that the
+    plans that use it do not count again. It is broadcast only when it was counted to fit;
+    a longer list is joined by shuffle. ``quota`` and ``broadcast_rows`` only change the
+    plan, never the result.
     """
-    hot = written(pages.hot_sessions(events, quota), "hot-sessions")
-    found = hot.limit(broadcast_rows + 1).count()
-    if found == 0:
+    if events.limit(quota + 1).count() <= quota:
+        return None
+    counted = pages.hot_sessions(events, quota)
+    if counted.isEmpty():
         return None
+    hot = written(counted, "hot-sessions")
+    found = hot.limit(broadcast_rows + 1).count()
     small = F.broadcast(hot) if found <= broadcast_rows else hot
     moments = written(pages.hot_moments(events, small, quota), "hot-moments")
     # A session's list of moments is part of its row, so both counts matter.

@@ -24,6 +24,9 @@ EVENTS = T.StructType(
     ]
 )
 
+# What the watermarked click counts give.
+CLICKS = "date_time timestamp_ntz, sdk_key string, clicks long"
+
 NEXT_PAGES = T.ArrayType(T.StructType().add("to", T.StringType()).add("count", T.LongType()))
 
 _SEGMENT = [("segment_type", T.StringType()), ("segment_value", T.StringType())]

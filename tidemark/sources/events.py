@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
@@ -17,24 +20,53 @@ def read_events(spark: SparkSession, path: str, period: Period | None = None) ->
     return events if period is None else limit_events(events, period)
 
 
-def limit_events(events: DataFrame, period: Period) -> DataFrame:
+def limit_events(events: DataFrame, period: Period, zone: str = "UTC") -> DataFrame:
     """Half-open range on ``timestamp``, and on ``dt`` where the table has it so
-    that whole partitions are skipped."""
-    events = events.where(times.half_open(F.col("timestamp"), period.start, period.end))
+    that whole partitions are skipped. The period is wall-clock time of ``zone``."""
+    ts = F.col("timestamp")
+    if _is_instant(events):
+        limit = (ts >= _instant(period.start, zone)) & (ts < _instant(period.end, zone))
+    else:
+        limit = times.half_open(ts, period.start, period.end)
+    events = events.where(limit)
     if "dt" in events.columns:
         first, last = period.days()
         events = events.where(F.col("dt").between(F.lit(first), F.lit(last)))
-    return events.select(*EVENTS.fieldNames())
+    return as_events(events, zone)
 
 
-def events_before(events: DataFrame, end) -> DataFrame:
+def events_before(events: DataFrame, end: datetime, zone: str = "UTC") -> DataFrame:
     """History up to ``end``, which is left out."""
-    events = events.where(F.col("timestamp") < times.at(end))
+    last = _instant(end, zone) if _is_instant(events) else times.at(end)
+    events = events.where(F.col("timestamp") < last)
     if "dt" in events.columns:
         events = events.where(F.col("dt") <= F.lit(end.date()))
+    return as_events(events, zone)
+
+
+def as_events(events: DataFrame, zone: str = "UTC") -> DataFrame:
+    """The columns of ``EVENTS``. Instants become wall-clock time of ``zone``, whatever
+    the session's zone. Events without ``event_id`` get a hash of their other columns:
+    views at one moment are then ordered by it, the same way every time."""
+    others = [c for c in EVENTS.fieldNames() if c != "event_id"]
+    if "event_id" not in events.columns:
+        events = events.withColumn("event_id", F.xxhash64(*others))
+    if _is_instant(events):
+        micros = F.unix_micros("timestamp")
+        second = F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
+        utc = F.lit("1970-01-01").cast("timestamp_ntz") + second
+        events = events.withColumn("timestamp", times.in_zone(utc, "UTC", zone))
     return events.select(*EVENTS.fieldNames())
 
 
+def _is_instant(events: DataFrame) -> bool:
+    return events.schema["timestamp"].dataType.typeName() == "timestamp"
+
+
+def _instant(moment: datetime, zone: str) -> Column:
+    return F.lit(moment.replace(tzinfo=ZoneInfo(zone)))
+
+
 def rebase(events: DataFrame, source_zone: str, base_zone: str) -> DataFrame:
     """Events with ``timestamp`` moved from the zone it is stored in to the zone
     the rollups bucket in. Limit the period before this, so the scan sees it."""

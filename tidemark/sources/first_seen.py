@@ -31,6 +31,11 @@ class FirstSeenLog:
         folder.getFileSystem(sc._jsc.hadoopConfiguration()).mkdirs(folder)
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
+    def _drop(self, run: str) -> None:
+        sc = self.spark.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(f"{self.path}/run={run}")
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
     def read(self, visitors: DataFrame | None = None, but_run: str | None = None) -> DataFrame:
         """(client_id, sdk_key, first_seen), of the given visitors only if given."""
         entries = self._entries()
@@ -41,6 +46,8 @@ class FirstSeenLog:
         return entries.groupBy(*VISITOR).agg(F.min("first_seen").alias("first_seen"))
 
     def update(self, events: DataFrame, run: str) -> None:
+        # A run that now finds nobody would leave its former folder in place.
+        self._drop(run)
         seen = first_seen(events)
         known = self.read(seen, but_run=run).withColumnRenamed("first_seen", "replaced")
         earlier = F.col("replaced").isNull() | (F.col("first_seen") < F.col("replaced"))

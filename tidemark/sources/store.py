@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
-from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, WEEK, Period
+from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, WEEK, Period, require_whole
 from tidemark.schema import TABLES, Table
 
 WHOLE_DAY = "day"
@@ -128,6 +128,7 @@ class RollupStore:
         not stored.
         """
         table = TABLES[name]
+        require_whole(period, table.grain)
         folders = folders_of(table, period)
         wider = self._existing(name, [f for folder in folders for f in folder.wider()])
         time_key = F.col(table.time_column).cast("timestamp_ntz")
@@ -139,11 +140,6 @@ class RollupStore:
             span = _span_of(time_key, period)
         self._replace(table, df, span, folders, wider, lambda old: old.where(outside))
 
-    def write_days(self, name: str, df: DataFrame, days: list[str]) -> None:
-        """Replace whole days, which need not follow each other."""
-        folders = [Folder(d, WHOLE_DAY) for d in days]
-        self._replace(TABLES[name], df, F.lit(WHOLE_DAY), folders, [], None)
-
     def write_buckets(
         self, name: str, df: DataFrame, buckets: DataFrame, days: list[str], count: int
     ) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dimensions
+from tidemark.schema import CLICKS
 
 
 def clicks_per_ten_minutes(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -19,3 +20,28 @@ def clicks_per_ten_minutes(events: DataFrame, delay: str = "10 minutes") -> Data
         .agg(F.count_if(dimensions.is_click()).alias("clicks"))
         .select(F.col("window.start").cast("timestamp_ntz").alias("date_time"), "sdk_key", "clicks")
     )
+
+
+def drain(events: DataFrame, folder: str, delay: str = "10 minutes") -> DataFrame:
+    """Counts of all that is available now, then the stream is at its end: the buckets the
+    watermark has not passed are read from the query's state and added. Events later than
+    ``delay`` are dropped where the source hands rows out over several batches."""
+    spark = events.sparkSession
+    (
+        clicks_per_ten_minutes(events, delay)
+        .writeStream.format("parquet")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    closed = spark.read.schema(CLICKS).parquet(f"{folder}/rows")
+    state = spark.read.format("statestore").load(f"{folder}/checkpoint")
+    still_open = state.select(
+        F.col("key.window.start").cast("timestamp_ntz").alias("date_time"),
+        F.col("key.sdk_key").alias("sdk_key"),
+        F.col("value.count").alias("clicks"),
+    )
+    return closed.unionByName(still_open)

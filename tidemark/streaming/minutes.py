@@ -16,14 +16,14 @@ from pyspark.sql.types import StructType
 from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.plans import skew
+from tidemark.plans.rollup import Options
 from tidemark.schema import EVENTS
+from tidemark.sources.events import as_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import scratch_path, written
 from tidemark.sources.store import RollupStore
 
 STORED = StructType(list(EVENTS.fields)).add("dt", "date").add("batch", "string")
-# Buckets per touched day from which whole days are computed and written at once.
-WHOLE_DAY_FROM = 24
 FAMILIES = ("metrics", "page_stats", "click_summary", "top_elements", "user_distribution")
 
 
@@ -36,8 +36,14 @@ class MinuteStream:
         store: RollupStore,
         families: tuple[str, ...] = FAMILIES,
         session_quota: int = skew.SESSION_QUOTA,
+        options: Options = Options(),
     ):
+        """``options`` are those of the batch store beside it: the zones events are stored
+        and bucketed in. Runs closed at both ends are not for streams."""
+        if options.closed_end:
+            raise ValueError("a stream has no closed runs")
         self.spark = spark
+        self.options = options
         self.events_path = events_path
         self.seen_log = seen_log
         self.store = store
@@ -50,10 +56,11 @@ class MinuteStream:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch. Every write replaces what an earlier try of the same
         batch wrote, so a repeated batch changes nothing."""
-        tag = f"b{batch_id}"
+        tag = f"{self._stream_id()}-b{batch_id}"
+        o = self.options
+        events = rebase(as_events(batch, o.source_zone), o.source_zone, o.base_zone)
         (
-            batch.select(*EVENTS.fieldNames())
-            .withColumns({"dt": times.day(F.col("timestamp")), "batch": F.lit(tag)})
+            events.withColumns({"dt": times.day(F.col("timestamp")), "batch": F.lit(tag)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch")
@@ -61,7 +68,7 @@ class MinuteStream:
         )
         added = self.stored_events().where(F.col("batch") == tag)
         self.seen_log.update(added, tag)
-        touched = self._touched(added, tag)
+        touched = written(self._touched(added, tag), "touched")
         # One row per day touched.
         per_day = touched.groupBy(times.day(F.col("bucket")).alias("day")).count().collect()
         if not per_day:
@@ -69,10 +76,6 @@ class MinuteStream:
         days = [str(row.day) for row in per_day]
         buckets = sum(row["count"] for row in per_day)
         events = self.stored_events().where(F.col("dt").isin(days)).select(*EVENTS.fieldNames())
-        if buckets > len(days) * WHOLE_DAY_FROM:
-            for family in self.families:
-                self.store.write_days(f"minutes_{family}", self._rows(family, events), days)
-            return
         bucket = times.ten_minutes(F.col("timestamp"))
         events = (
             events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi").drop("bucket")
@@ -81,6 +84,12 @@ class MinuteStream:
             rows = self._rows(family, events)
             self.store.write_buckets(f"minutes_{family}", rows, touched, days, buckets)
 
+    def _stream_id(self) -> str:
+        """The id Spark keeps with the checkpoint: the same after a restart, another one for
+        a new checkpoint, whose batches count from 0 again."""
+        own = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        return (own or "s").replace("-", "")
+
     def _touched(self, added: DataFrame, tag: str) -> DataFrame:
         """Buckets with new events, and those a late first event reaches: the
         visitor no longer is new in the bucket that held their former first one."""
