@@ -36,8 +36,8 @@ MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
-CACHE_CHUNKS, CACHE_PARTS = 200_000, 500_000
-SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
+CACHE_CHUNKS, CACHE_PARTS = 100_000, 300_000
+SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
@@ -193,6 +193,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     ],
                     ["doc_id", "n_ids", "packed"],
                 )
+            pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, STAGED)
@@ -358,6 +359,7 @@ def _write_token_files(
                 if size >= RECORD_IDS:
                     yield record()
                     doc_ids, held, size = [], [], 0
+            pa.default_memory_pool().release_unused()
         if held:
             yield record()
 
