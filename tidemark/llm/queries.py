@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import queries_corpus, queries_files, queries_text
+from tidemark.llm import queries_corpus, queries_files, queries_text, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,4 +27,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return sql.all_sql()
