@@ -306,6 +306,15 @@ def counted(key: str, name: str) -> str:
 FORTNIGHT = "\"timestamp\" >= TIMESTAMP '2024-01-08' AND \"timestamp\" < TIMESTAMP '2024-01-22'"
 
 
+def moves(period: str, key: str) -> str:
+    """Transitions of a longer period, straight from the page views."""
+    return with_(
+        [PV],
+        f"""SELECT {period} AS {key}, page_path, sdk_key, next_page, count(*) AS to_count
+FROM pv GROUP BY ALL""",
+    )
+
+
 def all_sql() -> dict[str, str]:
     session = [
         f"""run AS (SELECT *, {B10} AS date_time FROM ev)""",
@@ -402,6 +411,9 @@ FROM sessions GROUP BY ALL""",
             """SELECT date_time, page_path, sdk_key, next_page, count(*) AS to_count
 FROM pv GROUP BY ALL""",
         ),
+        "hourly_page_transitions": moves("date_trunc('hour', date_time)", "date_time"),
+        "daily_page_transitions": moves("CAST(date_time AS DATE)", '"date"'),
+        "weekly_page_transitions": moves(week("CAST(date_time AS DATE)"), '"date"'),
         "page_stats_sliced_sessions": m2,
         "fn_ten_minutes": counted(B10, "date_time"),
         "fn_hour": counted("date_trunc('hour', \"timestamp\")", "date_time"),

@@ -98,6 +98,15 @@ def pages_in_pieces(e: DataFrame) -> DataFrame:
 # Scans, filters, functions and single aggregates.
 
 
+def transitions(e: DataFrame) -> DataFrame:
+    return pages.page_transitions(e, skew.measured_hot_sessions(e))
+
+
+def weekly_transitions(e: DataFrame) -> DataFrame:
+    daily = pages.daily_page_transitions(pages.hourly_page_transitions(transitions(e)))
+    return pages.weekly_page_transitions(daily, WEEK_ANCHOR)
+
+
 def clicks_by(e: DataFrame, key: Column, name: str) -> DataFrame:
     return e.groupBy(key.alias(name)).agg(F.count("*").alias("events"))
 
@@ -357,6 +366,11 @@ def all_queries() -> dict[str, Query]:
                 "event_id", "date_time", "page_path", "is_exit"
             )
         ),
+        "hourly_page_transitions": e(lambda d: pages.hourly_page_transitions(transitions(d))),
+        "daily_page_transitions": e(
+            lambda d: pages.daily_page_transitions(pages.hourly_page_transitions(transitions(d)))
+        ),
+        "weekly_page_transitions": e(weekly_transitions),
         "page_transitions": e(lambda d: pages.page_transitions(d, skew.measured_hot_sessions(d))),
         "page_stats_sliced_sessions": e(pages_in_pieces),
         # 2.9 functions

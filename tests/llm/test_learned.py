@@ -34,7 +34,8 @@ def toxic_rows(n=400):
     return rows, labels + [(1, None, None), (None, 0, 1), (777_777, 0, 1), (20_000, None, None)]
 
 
-def test_toxicity_of_held_out_documents(spark):
+def test_toxicity_of_held_out_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TREES", 5)
     rows, labels = toxic_rows()
     docs = spark.createDataFrame(rows, DOCS)
     got = toxicity.toxicity_report(docs, spark.createDataFrame(labels, LABELS)).collect()
@@ -47,7 +48,8 @@ def test_toxicity_of_held_out_documents(spark):
     assert len(held) > 50 and right / len(held) > 0.95
 
 
-def test_held_out_labels_teach_nothing(spark):
+def test_held_out_labels_teach_nothing(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TREES", 2)
     rows, labels = toxic_rows(150)
     docs = spark.createDataFrame(rows, DOCS)
     turned = [(d, q, t if t is None or crc(d) % 5 else 1 - t) for d, q, t in labels]

@@ -97,3 +97,34 @@ def test_a_run_that_finds_nobody_takes_its_visitors_back(spark, tmp_path):
 def test_few_events_are_not_counted_by_session(spark, monkeypatch):
     monkeypatch.setattr(pages, "hot_sessions", lambda *_: pytest.fail("counted"))
     assert skew.measured_hot_sessions(events(spark, event("10:01")), 1) is None
+
+
+def test_spans_and_order_across_a_clock_change(spark, tmp_path):
+    """New York, 3 November 2024: 05:30 and 06:30 UTC are both 01:30."""
+    e = events(
+        spark,
+        event("2024-11-03 05:30", page_path="a"),
+        event("2024-11-03 06:30", page_path="b"),
+        event("2024-11-03 05:31", page_path="c"),
+        event("2024-11-03 06:31", page_path="d"),
+    )
+    options = Options(base_zone="America/New_York")
+    jobs = Rollups(spark, e, RollupStore(spark, str(tmp_path)), options)
+    day = periods.day("2024-11-03")
+    jobs.run("minutes_metrics", day, "1d")
+    assert rows(jobs.store.read("minutes_metrics"), "avg_session_seconds") == [(3660,)]
+    moved = jobs._base_events(day)
+    order = dict(rows(pages.next_page(moved), "page_path", "next_page"))
+    assert order == {"a": "c", "c": "b", "b": "d", "d": None}
+    hot = skew.measured_hot_sessions(moved, 1)
+    assert hot is not None and dict(rows(pages.next_page(moved, hot), "page_path", "next_page")) == order
+
+
+def test_reads_list_only_their_own_days(spark, tmp_path):
+    store = RollupStore(spark, str(tmp_path))
+    jobs = Rollups(spark, events(spark, event("10:01"), event("2024-01-09 10:01")), store)
+    for day in ("2024-01-01", "2024-01-09"):
+        jobs.run("minutes_click_summary", periods.day(day))
+    files = store.read("minutes_click_summary", periods.hour("2024-01-09T10")).inputFiles()
+    assert files and all("dt=2024-01-09" in f for f in files)
+    assert store.read("minutes_click_summary", periods.day("2024-02-01")).count() == 0

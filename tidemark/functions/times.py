@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Event time in the zone it is stored in, which spans and order are taken from where
+# ``timestamp`` has been moved to another zone, whose clock may be put back.
+INSTANT = "instant"
+
 
 def ten_minutes(ts: Column) -> Column:
     return F.window(ts, "10 minutes").start
@@ -40,6 +44,10 @@ def week_of(day_col: Column, anchor: date) -> Column:
     return F.date_add(start, (F.floor(F.date_diff(day_col, start) / F.lit(7)) * 7).cast("int"))
 
 
+def instant(events: DataFrame) -> Column:
+    return F.col(INSTANT if INSTANT in events.columns else "timestamp")
+
+
 def epoch_second(ts: Column) -> Column:
     days = F.unix_date(ts.cast("date")).cast("long")
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)

@@ -24,8 +24,8 @@ def _visits(events: DataFrame, keys: dict[str, Column]) -> DataFrame:
     ).agg(
         F.count_if(dimensions.is_click()).alias("clicks"),
         F.count("*").alias("n"),
-        F.min("timestamp").alias("first_at"),
-        F.max("timestamp").alias("last_at"),
+        F.min(times.instant(events)).alias("first_at"),
+        F.max(times.instant(events)).alias("last_at"),
     )
 
 

@@ -23,6 +23,7 @@ def page_views(events: DataFrame) -> DataFrame:
     return events.where(F.col("page_path") != "").select(
         times.ten_minutes(F.col("timestamp")).alias("date_time"),
         "timestamp",
+        times.instant(events).alias("instant"),
         "event_id",
         "session_id",
         "sdk_key",
@@ -87,8 +88,9 @@ def with_moments(sessions: DataFrame, moments: DataFrame) -> DataFrame:
 
 def _piece() -> Column:
     """The part of its session a view is sorted in. Pieces follow each other in the
-    order of the session: time slices, in these what lies between hot moments, and
-    in these ranges of ``event_id``. Views of other sessions are all in one piece."""
+    order of the session: where the clock was put back, its two turns; time slices, in
+    these what lies between hot moments, and in these ranges of ``event_id``. Views of
+    other sessions are all in one piece."""
     ts, moments = F.col("timestamp"), F.col("moments")
     offset = (F.minute(ts) % 10) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
     passed = F.coalesce(F.size(F.filter(moments, lambda m: m["at"] < ts)), F.lit(0))
@@ -96,7 +98,9 @@ def _piece() -> Column:
     distance = F.col("event_id").cast("double") - moment["first_id"].cast("double")
     part = F.when(moment["at"] == ts, F.floor(distance / moment["width"]))
     time_slice = F.floor(offset * F.col("slices") / RUN_SECONDS)
+    turn = F.floor(times.epoch_second(F.col("instant")) / RUN_SECONDS)
     return F.struct(
+        F.when(F.col("slices").isNotNull(), turn).otherwise(F.lit(0).cast("long")).alias("turn"),
         F.coalesce(time_slice, F.lit(0).cast("long")).alias("slice"),
         F.when(moments.isNotNull(), passed).otherwise(0).alias("passed"),
         F.when(moments.isNotNull(), F.coalesce(part, F.lit(-1).cast("long")))
@@ -114,10 +118,11 @@ def next_page(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     same with or without ``hot``.
     """
     views = page_views(events)
-    in_order = [F.col("timestamp"), F.col("event_id")]
+    in_order = [F.col("instant"), F.col("event_id")]
     if hot is None:
         session = Window.partitionBy(*SESSION).orderBy(*in_order)
-        return views.withColumn("next_page", F.lead("page_path", 1).over(session))
+        found = views.withColumn("next_page", F.lead("page_path", 1).over(session))
+        return found.drop("instant")
 
     pieces = (
         views.join(hot, SESSION, "left")
@@ -144,7 +149,7 @@ def next_page(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return (
         ordered.where(~(F.col("is_hot") & last_of_piece))
         .unionByName(joined_up)
-        .drop("slices", "moments", "is_hot", "piece", "piece_head")
+        .drop("instant", "slices", "moments", "is_hot", "piece", "piece_head")
     )
 
 
@@ -176,6 +181,26 @@ def page_transitions(events: DataFrame, hot: DataFrame | None = None) -> DataFra
     )
 
 
+def roll_transitions(lower: DataFrame, key: str, period: Column) -> DataFrame:
+    """Transitions of a longer period, from those of shorter ones or of ten minutes. Stored
+    in this form a page's targets are rows, however many; lists are made when read."""
+    return lower.groupBy(period.alias(key), "page_path", "sdk_key", "next_page").agg(
+        F.sum("to_count").alias("to_count")
+    )
+
+
+def hourly_page_transitions(minutes: DataFrame) -> DataFrame:
+    return roll_transitions(minutes, "date_time", times.hour(F.col("date_time")))
+
+
+def daily_page_transitions(hourly: DataFrame) -> DataFrame:
+    return roll_transitions(hourly, "date", times.day(F.col("date_time")))
+
+
+def weekly_page_transitions(daily: DataFrame, anchor) -> DataFrame:
+    return roll_transitions(daily, "date", times.week_of(F.col("date"), anchor))
+
+
 def _next_pages(to: Column, count: Column) -> Column:
     """Aligned (to, count) list of the non-NULL targets, biggest first, then by name."""
     ranked = F.sort_array(
@@ -248,30 +273,32 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
         return _finish(grouped, key)
     if next_pages != "merge":
         raise ValueError(f"next_pages must be 'first' or 'merge', not {next_pages!r}")
-    by_period = lower.withColumn("period", period)
-    views = by_period.select(
-        "period",
-        "page_path",
-        "sdk_key",
+    # One row with the sums and one for each target, made from a lower row in one pass.
+    whole = F.struct(
         F.lit(None).cast("string").alias("to"),
         F.lit(None).cast("long").alias("to_count"),
-        "page_views",
-        "page_exits",
-        "avg_time_on_page_seconds",
+        F.col("page_views"),
+        F.col("page_exits"),
+        F.col("avg_time_on_page_seconds"),
     )
-    moves = by_period.select(
-        "period", "page_path", "sdk_key", F.explode("next_pages").alias("move")
-    ).select(
-        "period",
+    targets = F.transform(
+        "next_pages",
+        lambda move: F.struct(
+            move["to"].alias("to"),
+            move["count"].alias("to_count"),
+            F.lit(None).cast("long").alias("page_views"),
+            F.lit(None).cast("long").alias("page_exits"),
+            F.lit(None).cast("double").alias("avg_time_on_page_seconds"),
+        ),
+    )
+    parts = lower.select(
+        period.alias("period"),
         "page_path",
         "sdk_key",
-        F.col("move.to").alias("to"),
-        F.col("move.count").alias("to_count"),
+        F.inline(F.concat(F.array(whole), targets)),
     )
     per_target = (
-        views.unionByName(moves, allowMissingColumns=True)
-        .groupBy("period", "page_path", "sdk_key", "to")
-        .agg(
+        parts.groupBy("period", "page_path", "sdk_key", "to").agg(
             F.sum("to_count").alias("to_count"),
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),

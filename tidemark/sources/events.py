@@ -69,8 +69,9 @@ def _instant(moment: datetime, zone: str) -> Column:
 
 def rebase(events: DataFrame, source_zone: str, base_zone: str) -> DataFrame:
     """Events with ``timestamp`` moved from the zone it is stored in to the zone
-    the rollups bucket in. Limit the period before this, so the scan sees it."""
+    the rollups bucket in. Limit the period before this, so the scan sees it. The
+    stored time stays as ``instant``."""
     if source_zone == base_zone:
         return events
     moved = times.in_zone(F.col("timestamp"), source_zone, base_zone)
-    return events.withColumn("timestamp", moved)
+    return events.withColumns({times.INSTANT: F.col("timestamp"), "timestamp": moved})

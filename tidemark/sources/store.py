@@ -111,15 +111,29 @@ class RollupStore:
     def read(self, name: str, period: Period | None = None) -> DataFrame:
         """A table, limited to the rows whose time key lies in ``period``."""
         table = TABLES[name]
-        fs, path = self._fs(self.path(name))
-        fs.mkdirs(path)
-        df = self.spark.read.schema(table.stored_schema).parquet(self.path(name))
+        df = self._stored(table, period)
         if period is not None:
             df = df.where(_covering(table, period))
             if table.time_column == "date_time":
                 df = df.where(times.half_open(F.col("date_time"), period.start, period.end))
         return df.select(*table.columns)
 
+    def _stored(self, table: Table, period: Period | None) -> DataFrame:
+        """The folders of the period's days alone, so that no others are listed."""
+        root = self.path(table.name)
+        fs, path = self._fs(root)
+        fs.mkdirs(path)
+        reader = self.spark.read.schema(table.stored_schema).option("basePath", root)
+        if period is None:
+            return reader.parquet(root)
+        # The day before may hold rows that closed runs put past their end.
+        first, last = (period.start - DAY).date(), period.days()[1]
+        days = (f"dt={first + i * DAY}" for i in range((last - first).days + 1))
+        there = [d for d in days if fs.exists(self._fs(f"{root}/{d}")[1])]
+        if not there:
+            return self.spark.createDataFrame([], table.stored_schema)
+        return reader.parquet(*(f"{root}/{d}" for d in there))
+
     def write(self, name: str, df: DataFrame, period: Period) -> None:
         """Replace the rows of ``period`` with ``df``, matched by column name.
 

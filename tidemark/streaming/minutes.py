@@ -23,7 +23,12 @@ from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path, written
 from tidemark.sources.store import RollupStore
 
-STORED = StructType(list(EVENTS.fields)).add("dt", "date").add("batch", "string")
+STORED = (
+    StructType(list(EVENTS.fields))
+    .add(times.INSTANT, "timestamp_ntz")
+    .add("dt", "date")
+    .add("batch", "string")
+)
 FAMILIES = ("metrics", "page_stats", "click_summary", "top_elements", "user_distribution")
 
 
@@ -50,8 +55,10 @@ class MinuteStream:
         self.families = families
         self.session_quota = session_quota
 
-    def stored_events(self) -> DataFrame:
-        return self.spark.read.schema(STORED).parquet(self.events_path)
+    def stored_events(self, *folders: str) -> DataFrame:
+        """Events in some of the ``dt=``/``batch=`` folders: only these are listed."""
+        reader = self.spark.read.schema(STORED).option("basePath", self.events_path)
+        return reader.parquet(*(f"{self.events_path}/{f}" for f in folders or [""]))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch. Every write replaces what an earlier try of the same
@@ -60,13 +67,15 @@ class MinuteStream:
         o = self.options
         events = rebase(as_events(batch, o.source_zone), o.source_zone, o.base_zone)
         (
-            events.withColumns({"dt": times.day(F.col("timestamp")), "batch": F.lit(tag)})
+            events.withColumn("instant", times.instant(events)).withColumns({"dt": times.day(F.col("timestamp")), "batch": F.lit(tag)})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch")
             .parquet(self.events_path)
         )
-        added = self.stored_events().where(F.col("batch") == tag)
+        if not self._is_there(f"dt=*/batch={tag}"):
+            return
+        added = self.stored_events(f"dt=*/batch={tag}")
         self.seen_log.update(added, tag)
         touched = written(self._touched(added, tag), "touched")
         # One row per day touched.
@@ -75,7 +84,8 @@ class MinuteStream:
             return
         days = [str(row.day) for row in per_day]
         buckets = sum(row["count"] for row in per_day)
-        events = self.stored_events().where(F.col("dt").isin(days)).select(*EVENTS.fieldNames())
+        events = self.stored_events(*(f"dt={d}" for d in days if self._is_there(f"dt={d}")))
+        events = events.select(*EVENTS.fieldNames(), times.INSTANT)
         bucket = times.ten_minutes(F.col("timestamp"))
         events = (
             events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi").drop("bucket")
@@ -84,6 +94,12 @@ class MinuteStream:
             rows = self._rows(family, events)
             self.store.write_buckets(f"minutes_{family}", rows, touched, days, buckets)
 
+    def _is_there(self, folder: str) -> bool:
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.events_path}/{folder}")
+        found = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path)
+        return bool(found and len(found))
+
     def _stream_id(self) -> str:
         """The id Spark keeps with the checkpoint: the same after a restart, another one for
         a new checkpoint, whose batches count from 0 again."""
