@@ -101,6 +101,16 @@ def test_rows_no_stream_saw_outlive_a_backlog(spark, stream, buckets):
         assert rows(stream.store.read(f"minutes_{family}"), *columns) == want, family
 
 
+def test_a_late_first_visit_leaves_rows_no_stream_saw(spark, stream):
+    """Visitor z was new in a backfilled bucket; the stream now sees them earlier."""
+    later = events(spark, event("12:01", client_id="z"))
+    stream.store.write("minutes_click_summary", users.minutes_click_summary(later), periods.day("2024-01-01"))
+    stream.seen_log.update(later, "base")
+    stream.process(events(spark, event("09:01", client_id="z")), 0)
+    kept = stream.store.read("minutes_click_summary").select("date_time").distinct()
+    assert rows(kept, "date_time") == [(at("09:00"),), (at("12:00"),)]
+
+
 def test_a_new_checkpoint_keeps_earlier_events(spark, tmp_path, stream):
     for i, batch in enumerate(BATCHES[:2]):
         source = feed(spark, str(tmp_path / f"in{i}"), [batch])

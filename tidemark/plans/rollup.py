@@ -190,7 +190,7 @@ class Rollups:
         else:
             keys = ["date"]
             facts = self._day_facts(period, users.KINDS)
-        with staged(facts, "segment-facts", by="kind") as rows:
+        with staged(facts, "segment-facts", "kind") as rows:
             for family in shared:
                 _, rows_of = users.FAMILY_FACTS[family]
                 self.store.write(f"{grain}_{family}", rows_of(rows, keys), period)

@@ -34,12 +34,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str, by: str) -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
     """As ``written``, partitioned by ``by``, for the length of a with block."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     try:
-        yield _through(df, path, by)
+        yield _through(df, path, *by)
     finally:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         conf = spark.sparkContext._jsc.hadoopConfiguration()

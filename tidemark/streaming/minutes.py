@@ -20,7 +20,7 @@ from tidemark.plans.rollup import Options
 from tidemark.schema import EVENTS
 from tidemark.sources.events import as_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
-from tidemark.sources.scratch import scratch_path, written
+from tidemark.sources.scratch import scratch_path, staged
 from tidemark.sources.store import RollupStore
 
 STORED = (
@@ -67,7 +67,13 @@ class MinuteStream:
         o = self.options
         events = rebase(as_events(batch, o.source_zone), o.source_zone, o.base_zone)
         (
-            events.withColumn("instant", times.instant(events)).withColumns({"dt": times.day(F.col("timestamp")), "batch": F.lit(tag)})
+            events.withColumns(
+                {
+                    times.INSTANT: times.instant(events),
+                    "dt": times.day(F.col("timestamp")),
+                    "batch": F.lit(tag),
+                }
+            )
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch")
@@ -77,22 +83,26 @@ class MinuteStream:
             return
         added = self.stored_events(f"dt=*/batch={tag}")
         self.seen_log.update(added, tag)
-        touched = written(self._touched(added, tag), "touched")
+        with staged(self._touched(added, tag), "touched") as touched:
+            self._replace(touched)
+
+    def _replace(self, touched: DataFrame) -> None:
+        """Compute touched buckets again from all stored events of their days. A bucket that
+        the stream has no events of is another writer's and stays as it is."""
         # One row per day touched.
-        per_day = touched.groupBy(times.day(F.col("bucket")).alias("day")).count().collect()
-        if not per_day:
+        days = touched.select(times.day(F.col("bucket")).alias("day")).distinct().collect()
+        days = sorted(str(row.day) for row in days)
+        there = [f"dt={d}" for d in days if self._is_there(f"dt={d}")]
+        if not there:
             return
-        days = [str(row.day) for row in per_day]
-        buckets = sum(row["count"] for row in per_day)
-        events = self.stored_events(*(f"dt={d}" for d in days if self._is_there(f"dt={d}")))
-        events = events.select(*EVENTS.fieldNames(), times.INSTANT)
+        events = self.stored_events(*there).select(*EVENTS.fieldNames(), times.INSTANT)
         bucket = times.ten_minutes(F.col("timestamp"))
-        events = (
-            events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi").drop("bucket")
-        )
-        for family in self.families:
-            rows = self._rows(family, events)
-            self.store.write_buckets(f"minutes_{family}", rows, touched, days, buckets)
+        events = events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi")
+        with staged(events.select("bucket").distinct(), "own-buckets") as own:
+            count = own.count()
+            for family in self.families:
+                rows = self._rows(family, events.drop("bucket"))
+                self.store.write_buckets(f"minutes_{family}", rows, own, days, count)
 
     def _is_there(self, folder: str) -> bool:
         sc = self.spark.sparkContext
