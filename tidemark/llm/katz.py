@@ -44,13 +44,16 @@ from tidemark.llm.shingles import mixed, slices, word_hashes
 from tidemark.sources.scratch import scratch_path, written
 
 CUT = 5
-SLICE_TOKENS = 4_000_000
+SLICE_TOKENS = 2_200_000
 BUCKET_TOKENS = 2_000_000
 # Contexts of more than BUCKET_TOKENS / SPLIT tokens are spread; at most SPLIT a bucket.
 SPLIT = 4
 MOST_SPREAD = 1_000_000
 END, BEGIN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
-CODED = "slice long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary, tokens binary"
+CODED = (
+    "slice long, doc_ids array<long>, train array<boolean>, sizes array<long>, words binary, "
+    "tokens binary"
+)
 WORDS = "bucket int, slice long, words binary, counts binary, sums array<long>"
 PAIRS = (
     "bucket int, slice long, contexts binary, runs binary, seconds binary, counts binary, "
@@ -63,11 +66,15 @@ ASKED = (
 
 
 def _pack(values: np.ndarray, kind: str) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values, kind).tobytes(), 1)
+    """Deflated, all first bytes, then all second ones: high bytes are mostly zero."""
+    values = np.ascontiguousarray(values, kind)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zlib.compress(planes.tobytes(), 1)
 
 
 def _unpack(packed: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), kind)
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _rows(kinds: str, rows: list[dict]) -> pa.RecordBatch:
@@ -204,7 +211,7 @@ class Slice:
     def __init__(self, row: dict) -> None:
         self.number = row["slice"]
         self.words = np.frombuffer(row["words"], np.uint64)
-        self.tokens = _unpack(row["tokens"], "<u4").astype(np.int64)
+        self.tokens = _unpack(row["tokens"], "<u4").astype(np.int32)
         self.sizes = np.array(row["sizes"], np.int64)
         self.train = np.repeat(np.array(row["train"], bool), self.sizes)
 
@@ -229,10 +236,13 @@ class Slice:
         """First and second word of the distinct pairs, and each token's pair. The number
         after the last word stands for a document's begin."""
         n = len(self.words) + 1
-        before = np.concatenate([[n - 1], self.tokens[:-1]])
-        before[np.cumsum(self.sizes) - self.sizes] = n - 1
-        pair, of = np.unique(before * n + self.tokens, return_inverse=True)
-        return pair // n, pair % n, of
+        pair = np.empty(len(self.tokens), np.int64)
+        pair[1:] = self.tokens[:-1]
+        pair[np.cumsum(self.sizes) - self.sizes] = n - 1
+        pair *= n
+        pair += self.tokens
+        pair, of = np.unique(pair, return_inverse=True)
+        return pair // n, pair % n, of.astype(np.int32)
 
     def pair_order(
         self, first: np.ndarray, second: np.ndarray, context: np.ndarray, plan: Plan
@@ -261,6 +271,7 @@ def _per_row(work: Callable[[dict], Iterator[pa.RecordBatch]]):
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from work(batch.slice(i, 1).to_pylist()[0])
+            pa.default_memory_pool().release_unused()
 
     return each
 
