@@ -170,7 +170,8 @@ def _spans(matches: Column, between: Column, kind: Kind) -> Column:
 
 def _in_context(text: Column, span: Column) -> Column:
     """The span with a higher score where a word of its kind stands shortly before."""
-    before = F.lower(F.substr(text, F.greatest(span["start"] - NEAR, F.lit(0)) + 1, F.least(span["start"], F.lit(NEAR))))
+    size = F.least(span["start"], F.lit(NEAR))
+    before = F.lower(F.substr(text, span["start"] - size + 1, size))
     near = F.lit(False)
     for i, kind in enumerate(KINDS):
         near = F.when(span["rank"] == i, before.rlike(kind.words)).otherwise(near)
