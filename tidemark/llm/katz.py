@@ -67,7 +67,7 @@ ASKED = (
 
 def _pack(values: np.ndarray, kind: str) -> bytes:
     """Deflated, all first bytes, then all second ones: high bytes are mostly zero."""
-    values = np.ascontiguousarray(values, kind)
+    values = np.ascontiguousarray(values, kind).ravel()
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
     return zlib.compress(planes.tobytes(), 1)
 
