@@ -36,7 +36,7 @@ MOST_LABELLED = 20_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 LEXICON_SIZE, LEAST_DOCUMENTS, LEAST_LOG_ODDS, OPENING = 2000, 5, 2.0, 5
 NEAR = 5
-TREES, DEPTH, STEP = 20, 3, 0.3
+TREES, DEPTH, STEP, LEAF = 20, 3, 0.3, 5
 # Second persons in the languages of the texts: fixed values.
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch euer Sie Ihnen tu te toi ton ta "
@@ -236,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Toxici
         maxIter=TREES,
         maxDepth=DEPTH,
         stepSize=STEP,
+        minInstancesPerNode=LEAF,
         seed=7,
     )
     learner = learner.setRawPredictionCol("_margin").setProbabilityCol("_probability")
