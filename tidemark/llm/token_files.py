@@ -19,7 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
-CACHE_CHUNKS, CACHE_PARTS = 100_000, 300_000
+CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
 SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
@@ -75,6 +75,12 @@ class Table:
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
+    def keep(self, n: int) -> None:
+        """The first n names to come: frequent ones come early."""
+        self.number = dict(islice(self.number.items(), n))
+        self.starts = self.starts[: n + 2].copy()
+        self.ids = self.ids[: self.starts[-1]].copy()
+
     def sizes(self, numbers: np.ndarray) -> np.ndarray:
         return self.starts[numbers + 1] - self.starts[numbers]
 
@@ -95,10 +101,9 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
-        if len(self.chunks.number) > CACHE_CHUNKS:
-            self.chunks = Table()
-        if len(self.parts.number) > CACHE_PARTS:
-            self.parts = Table()
+        for table, most in ((self.chunks, CACHE_CHUNKS), (self.parts, CACHE_PARTS)):
+            if len(table.number) > most:
+                table.keep(most // 2)
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         n_chunks = pc.list_value_length(lists).to_numpy()
         coded = lists.flatten().dictionary_encode()
