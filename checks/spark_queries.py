@@ -264,25 +264,36 @@ def streamed_minutes(family: str) -> Query:
     return query
 
 
-def new_stream(spark: SparkSession) -> tuple[minute_stream.MinuteStream, str]:
+def new_stream(spark: SparkSession, history=None) -> tuple[minute_stream.MinuteStream, str]:
     root = scratch_path(spark, "stream")
     log = FirstSeenLog(spark, f"{root}/seen")
     store = RollupStore(spark, f"{root}/tables")
-    return minute_stream.MinuteStream(spark, f"{root}/events", log, store, ("metrics",)), root
+    stream = minute_stream.MinuteStream(
+        spark, f"{root}/events", log, store, ("metrics",), history=history
+    )
+    return stream, root
 
 
 def stream_into_backfilled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The store has buckets up to noon of a middle day from a backfill; the stream sees only
-    the events from then on, in one batch of far more buckets than the day has left."""
+    """The store has buckets of a backfill up to the middle of one after a middle day's noon,
+    without a tenth of that day's events, which come late: the stream sees these and all events
+    from then on, in one batch of far more buckets than the day has left."""
     e = sample_events(spark, sf_dir)
     days = data_days(e)
-    noon = days.start + (days.end - days.start) // DAY // 2 * DAY + DAY / 2
-    stream, root = new_stream(spark)
-    before = e.where(times.half_open(ts(), days.start, noon))
+    day = days.start + (days.end - days.start) // DAY // 2 * DAY
+    noon = day + DAY / 2
+    cut = noon + TEN_MINUTES / 2
+
+    def late(at: str):
+        return (F.col(at) >= times.at(day)) & (F.col("event_id") % 10 == 0)
+
+    before = e.where((ts() < times.at(cut)) & ~late("timestamp"))
+    stream, root = new_stream(spark, lambda: before)
     jobs = Rollups(spark, before, stream.store, seen_log=stream.seen_log)
-    jobs.run("minutes_metrics", Period(days.start, noon), "10m")
+    jobs.run("minutes_metrics", Period(days.start, noon + TEN_MINUTES), "10m")
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    raw.where(F.col("ts") >= times.at(noon)).coalesce(1).write.parquet(f"{root}/raw")
+    raw = raw.where((F.col("ts") >= times.at(cut)) | late("ts"))
+    raw.coalesce(1).write.parquet(f"{root}/raw")
     query = stream.start(raw_stream(spark, f"{root}/raw"), f"{root}/checkpoint", availableNow=True)
     query.awaitTermination()
     return stream.store.read("minutes_metrics")

@@ -111,6 +111,42 @@ def test_a_late_first_visit_leaves_rows_no_stream_saw(spark, stream):
     assert rows(kept, "date_time") == [(at("09:00"),), (at("12:00"),)]
 
 
+def test_backfilled_buckets_keep_their_events(spark, tmp_path):
+    """A late event in a backfilled bucket, one that both tables have, and a late first visit
+    that ends a backfilled bucket's new visitor."""
+    shared = event("10:04", client_id="b", page_path="/b")
+    past = events(
+        spark,
+        *[event(f"10:0{m}", client_id=f"v{m % 3}", page_path=f"/{m}") for m in range(10)],
+        shared,
+        event("12:01", client_id="z"),
+    )
+    batch = events(spark, event("10:05", client_id="n"), shared, event("09:01", client_id="z"))
+    store = RollupStore(spark, str(tmp_path / "tables"))
+    log = FirstSeenLog(spark, str(tmp_path / "seen"))
+    for family in minutes.FAMILIES:
+        store.write(f"minutes_{family}", batch_rows(past, family), periods.day("2024-01-01"))
+    log.update(past, "base")
+    stream = minutes.MinuteStream(spark, str(tmp_path / "events"), log, store, history=lambda: past)
+    everything = past.union(batch).dropDuplicates(["event_id"])
+    for _ in range(2):  # the second is a retry
+        stream.process(batch, 0)
+        for family in minutes.FAMILIES:
+            columns = TABLES[f"minutes_{family}"].columns
+            assert rows(store.read(f"minutes_{family}"), *columns) == rows(batch_rows(everything, family), *columns)
+
+
+def test_a_backfilled_bucket_is_not_replaced_without_its_events(spark, stream):
+    past = events(spark, *[event(f"10:0{m}") for m in range(10)])
+    for family in minutes.FAMILIES:
+        stream.store.write(f"minutes_{family}", batch_rows(past, family), periods.day("2024-01-01"))
+    stream.seen_log.update(past, "base")
+    with pytest.raises(ValueError):
+        stream.process(events(spark, event("10:05", client_id="n")), 0)
+    columns = TABLES["minutes_metrics"].columns
+    assert rows(stream.store.read("minutes_metrics"), *columns) == rows(batch_rows(past, "metrics"), *columns)
+
+
 def test_a_new_checkpoint_keeps_earlier_events(spark, tmp_path, stream):
     for i, batch in enumerate(BATCHES[:2]):
         source = feed(spark, str(tmp_path / f"in{i}"), [batch])

@@ -4,11 +4,18 @@ Each micro-batch is added to the stored events; then every bucket it touched is
 computed again from the stored events with the batch operators and replaced
 whole. Distinct counts, navigation and first visits are therefore those of the
 batch rollups, also where a bucket's events arrive over several batches or late.
+
+Where a backfill wrote buckets of the same store, the stream takes the backfill's events
+too: a touched bucket is then computed from both, an event that both have counting once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -16,9 +23,10 @@ from pyspark.sql.types import StructType
 from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.plans import skew
+from tidemark.plans.periods import DAY, Period
 from tidemark.plans.rollup import Options
 from tidemark.schema import EVENTS
-from tidemark.sources.events import as_events, rebase
+from tidemark.sources.events import as_events, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path, staged
 from tidemark.sources.store import RollupStore
@@ -42,9 +50,15 @@ class MinuteStream:
         families: tuple[str, ...] = FAMILIES,
         session_quota: int = skew.SESSION_QUOTA,
         options: Options = Options(),
+        history: Callable[[], DataFrame] | None = None,
     ):
         """``options`` are those of the batch store beside it: the zones events are stored
-        and bucketed in. Runs closed at both ends are not for streams."""
+        and bucketed in. Runs closed at both ends are not for streams.
+
+        ``history`` reads the events table that batch jobs fill the same store from, as
+        ``read_events`` does; it is called for each batch, so that files added since are
+        seen. ``seen_log`` must know its visitors. Without it, a batch that would replace
+        a bucket no stream made is refused before anything is written."""
         if options.closed_end:
             raise ValueError("a stream has no closed runs")
         self.spark = spark
@@ -54,6 +68,7 @@ class MinuteStream:
         self.store = store
         self.families = families
         self.session_quota = session_quota
+        self.history = history
 
     def stored_events(self, *folders: str) -> DataFrame:
         """Events in some of the ``dt=``/``batch=`` folders: only these are listed."""
@@ -66,6 +81,9 @@ class MinuteStream:
         tag = f"{self._stream_id()}-b{batch_id}"
         o = self.options
         events = rebase(as_events(batch, o.source_zone), o.source_zone, o.base_zone)
+        # Events of an earlier try are there only if this was checked before they were written.
+        if self.history is None and not self._is_there(f"dt=*/batch={tag}"):
+            self._refuse_others_buckets(events)
         (
             events.withColumns(
                 {
@@ -87,23 +105,70 @@ class MinuteStream:
             self._replace(touched)
 
     def _replace(self, touched: DataFrame) -> None:
-        """Compute touched buckets again from all stored events of their days. A bucket that
-        the stream has no events of is another writer's and stays as it is."""
-        # One row per day touched.
-        days = touched.select(times.day(F.col("bucket")).alias("day")).distinct().collect()
-        days = sorted(str(row.day) for row in days)
-        there = [f"dt={d}" for d in days if self._is_there(f"dt={d}")]
-        if not there:
-            return
-        events = self.stored_events(*there).select(*EVENTS.fieldNames(), times.INSTANT)
+        """Compute touched buckets again from all events of their days, those of the history
+        included. A bucket without any is another writer's and stays as it is."""
+        days = _days(touched)
         bucket = times.ten_minutes(F.col("timestamp"))
+        events = self._events_of(days)
+        if events is None:
+            return
         events = events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi")
+        if self.history is None:
+            self._write(events, days)
+            return
+        past = self._history_of(days).withColumn("bucket", bucket)
+        past = past.join(touched, "bucket", "left_semi")
+        stored = events.select("bucket", _identity().alias("id")).distinct()
+        past = past.withColumn("id", _identity()).join(stored, ["bucket", "id"], "left_anti")
+        with staged(events.unionByName(past.drop("id")), "touched-events") as both:
+            self._write(both, days)
+
+    def _write(self, events: DataFrame, days: list[str]) -> None:
         with staged(events.select("bucket").distinct(), "own-buckets") as own:
             count = own.count()
             for family in self.families:
                 rows = self._rows(family, events.drop("bucket"))
                 self.store.write_buckets(f"minutes_{family}", rows, own, days, count)
 
+    def _events_of(self, days: list[str]) -> DataFrame | None:
+        """The stream's own events of some days; without a history, None if there are none."""
+        there = [f"dt={d}" for d in days if self._is_there(f"dt={d}")]
+        if there:
+            return self.stored_events(*there).select(*EVENTS.fieldNames(), times.INSTANT)
+        if self.history is None:
+            return None
+        return self.spark.createDataFrame([], STORED).drop("dt", "batch")
+
+    def _history_of(self, days: list[str]) -> DataFrame:
+        """The history's events of some days, read by runs of days that follow each other."""
+        o = self.options
+        spans = [run.in_zone(o.base_zone, o.source_zone) for run in _runs(days)]
+        history = self.history()
+        parts = [limit_events(history, span, o.source_zone) for span in spans]
+        events = rebase(reduce(DataFrame.unionByName, parts), o.source_zone, o.base_zone)
+        return events.withColumn(times.INSTANT, times.instant(events))
+
+    def _refuse_others_buckets(self, events: DataFrame) -> None:
+        """Buckets that the store has rows of but the stream no events were made from events
+        not known here: replacing them would lose those."""
+        buckets = events.select(times.ten_minutes(F.col("timestamp")).alias("bucket")).distinct()
+        with staged(buckets, "batch-buckets") as new:
+            days = _days(new)
+            if not days:
+                return
+            own = self._events_of(days)
+            if own is not None:
+                own = own.select(times.ten_minutes(F.col("timestamp")).alias("bucket"))
+                new = new.join(own, "bucket", "left_anti")
+            made = [
+                self.store.read(f"minutes_{family}", run).select(F.col("date_time").alias("bucket"))
+                for family in self.families
+                for run in _runs(days)
+            ]
+            made = reduce(DataFrame.unionByName, made)
+            if row := new.join(made, "bucket", "left_semi").first():
+                raise ValueError(f"{row.bucket} is not of this stream; give its history")
+
     def _is_there(self, folder: str) -> bool:
         sc = self.spark.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.events_path}/{folder}")
@@ -138,6 +203,29 @@ class MinuteStream:
         return writer.trigger(**(trigger or {"processingTime": "10 minutes"})).start()
 
 
+def _days(buckets: DataFrame) -> list[str]:
+    """One row per day."""
+    days = buckets.select(times.day(F.col("bucket")).alias("day")).distinct().collect()
+    return sorted(str(row.day) for row in days)
+
+
+def _runs(days: list[str]) -> list[Period]:
+    """Days that follow each other as one period."""
+    runs: list[Period] = []
+    for day in map(datetime.fromisoformat, days):
+        if runs and runs[-1].end == day:
+            runs[-1] = Period(runs[-1].start, day + DAY)
+        else:
+            runs.append(Period(day, day + DAY))
+    return runs
+
+
+def _identity() -> Column:
+    """What tells an event that stands in both tables."""
+    others = [c for c in EVENTS.fieldNames() if c != "event_id"]
+    return F.coalesce(F.col("event_id"), F.xxhash64(*others))
+
+
 def drain(spark: SparkSession, events: DataFrame, families: tuple[str, ...] = FAMILIES) -> RollupStore:
     """Run a stream over all that is available now, into tables of its own."""
     root = scratch_path(spark, "stream")
