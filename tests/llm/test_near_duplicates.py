@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -68,6 +69,30 @@ def test_components_equal_all_pairs(spark, monkeypatch, block):
     assert got == plain(rows)
 
 
+@pytest.mark.parametrize("density", [0.0, 0.05, 0.3, 1.0])
+def test_a_forest_joins_what_all_links_join(density):
+    draw = np.random.default_rng(5)
+    linked = draw.random((40, 50)) < density
+    left, right = draw.integers(0, 70, 40), draw.integers(0, 70, 50)
+    row, column = minhash._forest(linked, left, right)
+    assert linked[row, column].all()
+    names = {*left.tolist(), *right.tolist()}
+    few = list(zip(left[row].tolist(), right[column].tolist(), strict=True))
+    every = [(int(left[i]), int(right[j])) for i, j in zip(*linked.nonzero(), strict=True)]
+    found = joined(few, names)
+    assert found == joined(every, names) and len(few) == len(names) - len(set(found.values()))
+
+
+def test_a_similar_group_gives_fewer_links_than_nodes(spark):
+    """Forty members of one bucket, all alike, each a component so far."""
+    docs = [(i, zlib.compress(prose(9, 120).encode())) for i in range(40)]
+    texts = spark.createDataFrame(docs, "node long, packed binary")
+    open_ = texts.selectExpr("1L as bucket", "node", "node as label", "40L as size")
+    links = minhash._compared(open_, texts, 4, 80)
+    assert links.count() == 39
+    assert {r["component"] for r in components(links).collect()} == {0}
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = corpus(20)
     docs = spark.createDataFrame(rows, DOCS).withColumn("node", F.lit(1)).withColumn("row", F.lit(2))

@@ -179,8 +179,9 @@ def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """All links between different components within a bucket. A bucket is cut into blocks of
-    about BLOCK nodes; a task gets two blocks of one bucket and gives only the links."""
+    """Links that join all components which links within a bucket join. A bucket is cut into
+    blocks of about BLOCK nodes; a task gets two blocks of one bucket, compares all their pairs
+    and gives a spanning forest of the links, fewer than it has nodes."""
 
     def each(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         same = key[1].as_py() == key[2].as_py()
@@ -190,8 +191,7 @@ def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
         common, size = _overlaps(bodies, left, left if same else ~left, k)
         a, b = np.flatnonzero(left), np.flatnonzero(left if same else ~left)
         union = size[a][:, None] + size[b][None, :] - common
-        linked = (100 * common >= percent * union) & (label[a][:, None] != label[b][None, :])
-        row, column = linked.nonzero()
+        row, column = _forest(100 * common >= percent * union, label[a], label[b])
         return pa.table({"a": pa.array(node[a][row]), "b": pa.array(node[b][column])})
 
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -210,6 +210,25 @@ def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     )
 
 
+def _forest(
+    linked: np.ndarray, left: np.ndarray, right: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of a table of links, rows and columns of those that join labels not yet joined by
+    others; ``left`` and ``right`` are the labels of its rows and columns."""
+    names, of = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b = of[: len(left)], of[len(left) :]
+    root = np.arange(len(names))
+    rows, columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(linked.any(axis=1)):
+        some = np.flatnonzero(linked[i])
+        roots, first = np.unique(root[b[some]], return_index=True)
+        new = roots != root[a[i]]
+        rows.append(np.full(new.sum(), i))
+        columns.append(some[first[new]])
+        root[np.isin(root, roots[new])] = root[a[i]]
+    return np.concatenate(rows), np.concatenate(columns)
+
+
 def _overlaps(
     bodies: list[bytes], left: np.ndarray, right: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
