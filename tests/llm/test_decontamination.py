@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.plain import DOCS, awkward_rows, lower, prose
+from tidemark.llm.decontamination import decontaminate
 from tidemark.llm import decontamination as dc
 from tidemark.llm.suffixes import Shard, TestSuffixes, words
 
@@ -117,3 +118,11 @@ def test_removal_keeps_columns_and_clean_rows(spark):
     assert Counter(r["doc_id"] for r in clean.collect()) == want
     assert dc.decontaminate(docs, items.limit(0)).count() == docs.count()
     assert dc.contamination_report(docs.limit(0), items).count() == 0
+
+
+def test_clashing_columns_pass_through(spark):
+    kept = [(1, "a", "clean words", 7, 8), (2, "b", "some item text", 7, 8)]
+    docs = spark.createDataFrame(kept, "doc_id long, lang string, text string, found long, row long")
+    items = spark.createDataFrame([("i", "item text")], "item_id string, text string")
+    left = decontaminate(docs, items)
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == kept[:1]

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -212,3 +213,9 @@ def test_no_training_documents(spark):
     assert len(got) == docs.count()
     assert {(r["n_known"], r["base_score"], r["score"], r["train_tokens"]) for r in got} == {(0, 0.0, 0.0, 0)}
     assert katz.katz_scores(docs.limit(0)).count() == 0
+
+
+def test_a_long_run_of_letters_is_read_once():
+    started = time.perf_counter()
+    toxicity.features("a" * 1_000_000, toxicity.Lexicon({}, {}))
+    assert time.perf_counter() - started < 5

@@ -59,9 +59,10 @@ def near_boundary():
     return out
 
 
-@pytest.mark.parametrize("block", [512, 16])
-def test_components_equal_all_pairs(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, shingles", [(512, 500_000), (16, 500_000), (512, 1000)])
+def test_components_equal_all_pairs(spark, monkeypatch, block, shingles):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     rows = corpus() + near_boundary() + [(None, prose(9, 120), None, None, None)]
     rows += [(100, prose(9, 120), None, None, None)]  # an id that repeats with another text
     docs = spark.createDataFrame(rows, DOCS)
@@ -87,7 +88,7 @@ def test_a_similar_group_gives_fewer_links_than_nodes(spark):
     """Forty members of one bucket, all alike, each a component so far."""
     docs = [(i, zlib.compress(prose(9, 120).encode())) for i in range(40)]
     texts = spark.createDataFrame(docs, "node long, packed binary")
-    open_ = texts.selectExpr("1L as bucket", "node", "node as label", "40L as size")
+    open_ = texts.selectExpr("1L as bucket", "node", "node as label", "1 as blocks")
     links = minhash._compared(open_, texts, 4, 80)
     assert links.count() == 39
     assert {r["component"] for r in components(links).collect()} == {0}

@@ -1,5 +1,6 @@
 """Personal data and secrets against plain regular expressions."""
 
+import base64
 import hashlib
 import re
 from collections import Counter
@@ -155,3 +156,15 @@ def test_personal_data_runs_no_python(spark):
     plan = span_digest(pii.find_personal_data(frame(spark)[0]), "personal_data", pii.BASE)
     text = plan._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval", text)
+
+
+def test_deeply_nested_token_heads_are_no_tokens():
+    deep = base64.urlsafe_b64encode(b'{"alg":' + b"[" * 100_000).decode().rstrip("=")
+    keywords = secret_scan.keyword_automaton()
+    assert deep.startswith("eyJ") and secret_scan.scan(f"{deep}.abc.def", keywords) == []
+
+
+def test_clashing_columns_pass_through(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.de", 5)], "doc_id long, text string, personal_data_m0 long")
+    [row] = pii.find_personal_data(docs).collect()
+    assert row["personal_data_m0"] == 5 and [s["kind"] for s in row["personal_data"]] == ["email"]

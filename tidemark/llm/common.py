@@ -17,6 +17,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def packed(docs: DataFrame, *apart: str) -> DataFrame:
+    """Rows as the columns of ``apart`` and one struct, ``row``, of all others, so that no
+    column can clash with those an operator makes. ``unpacked`` is the way back."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in apart]
+    return docs.select(F.struct(F.lit(0).alias("none"), *others).alias("row"), *apart)
+
+
+def unpacked(rows: DataFrame, columns: list[str], *apart: str) -> DataFrame:
+    row = F.col("row")
+    return rows.select(*(F.col(c) if c in apart else row[c].alias(c) for c in columns))
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
     """Python tasks of jobs run within get smaller batches than the session's."""

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import packed, unpacked
 from tidemark.llm.suffixes import Shard, TestSuffixes, words
 
 WIDTH = 10
@@ -145,9 +146,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents without a hit, with the columns they had."""
-    out = "_contamination"
-    clean = find_contamination(docs, benchmark, out, width).where(F.col(out)["n_hit"] == 0)
-    return clean.select(*(f"`{c}`" for c in docs.columns))
+    found = find_contamination(packed(docs, "text"), benchmark, "found", width)
+    return unpacked(found.where("found.n_hit = 0"), docs.columns, "text")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

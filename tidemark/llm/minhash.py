@@ -42,8 +42,9 @@ BANDS, ROWS = 64, 8
 SALTS = 8
 # Nodes whose ids are sent to every executor, 8 bytes each; more are joined by shuffle.
 MOST_SENT = 1_000_000
-# Nodes in a block of a bucket that is compared whole, and shingles looked at at a time.
-BLOCK, COLUMNS = 512, 4096
+# Nodes and shingles in a block of a bucket that is compared whole (one node may have more),
+# and shingles looked at at a time.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 4096
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
@@ -79,6 +80,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
                     ],
                     ["doc_id", "n_shingles", "digest", "bands"],
                 )
+            pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, SKETCH)
@@ -93,6 +95,7 @@ def _packed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.binary())], ["node", "packed"]
             )
+            pa.default_memory_pool().release_unused()
 
     wanted = F.broadcast(nodes) if nodes.count() <= MOST_SENT else nodes
     source = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
@@ -119,6 +122,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 union = np.bincount(doc, minlength=n) - common
                 linked[first:last] = (union > 0) & (100 * common >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(linked))
+            del left, right, batch
+            pa.default_memory_pool().release_unused()
 
     both = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("text_a")), "a")
@@ -129,11 +134,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 
 def _members(sketch: DataFrame, groups: DataFrame) -> DataFrame:
-    """(bucket, node, centre) of every bucket with two nodes or more."""
+    """(bucket, node, n_shingles, centre) of every bucket with two nodes or more."""
     nodes = sketch.join(
         groups.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"]
     )
-    met = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
+    met = nodes.select(
+        F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")
+    )
     shared = (
         met.groupBy("bucket")
         .agg(F.min("node").alias("centre"), F.max("node").alias("last"))
@@ -165,22 +172,28 @@ def _links(members: DataFrame, texts: DataFrame, known: DataFrame, k: int, perce
 
 
 def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, label, size) of buckets in which two nodes other than the centre, which
-    all have been compared with, are in different components; size counts such nodes."""
+    """(bucket, node, label, blocks) of buckets in which two nodes other than the centre, which
+    all have been compared with, are in different components; blocks is how many to cut the
+    bucket into."""
+    cuts = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
     rows = _labelled(members.where("node != centre"), "node", labels, "label")
     apart = (
         rows.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+        .agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.ceil(cuts).cast("int").alias("blocks"),
+        )
         .where("low != high")
     )
-    return rows.join(apart.select("bucket", "size"), "bucket").select(
-        "bucket", "node", "label", "size"
+    return rows.join(apart.select("bucket", "blocks"), "bucket").select(
+        "bucket", "node", "label", "blocks"
     )
 
 
 def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links that join all components which links within a bucket join. A bucket is cut into
-    blocks of about BLOCK nodes; a task gets two blocks of one bucket, compares all their pairs
+    blocks of about BLOCK nodes or BLOCK_SHINGLES shingles; a task gets two blocks of one bucket, compares all their pairs
     and gives a spanning forest of the links, fewer than it has nodes."""
 
     def each(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -194,11 +207,9 @@ def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
         row, column = _forest(100 * common >= percent * union, label[a], label[b])
         return pa.table({"a": pa.array(node[a][row]), "b": pa.array(node[b][column])})
 
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = open_.distinct().select(
-        "bucket", "node", "label", F.pmod(F.hash("node"), blocks).alias("block"), blocks.alias("n")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    block = F.pmod(F.hash("node"), F.col("blocks")).alias("block")
+    cut = open_.distinct().select("bucket", "node", "label", block, "blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     meeting = cut.select("bucket", "node", "label", "block", other).withColumns(
         {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
     )

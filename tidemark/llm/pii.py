@@ -194,20 +194,24 @@ def find_personal_data(
         raise ValueError("a threshold above 0.6 would drop confirmed spans")
     columns = [c for c in docs.columns if c != out]
     body = F.col(f"`{text}`")
+    # A name that begins no column of the documents.
+    made = out
+    while any(c.lower().startswith(f"{made}_".lower()) for c in columns):
+        made += "_"
     staged = docs.select(
         *(F.col(f"`{c}`") for c in columns),
-        *(_matches(body, k).alias(f"{out}_m{i}") for i, k in enumerate(KINDS)),
+        *(_matches(body, k).alias(f"{made}_m{i}") for i, k in enumerate(KINDS)),
     )
     staged = staged.select(
         "*",
         *(
-            F.when(F.size(f"{out}_m{i}") > 0, F.split(body, k.pattern, -1)).alias(f"{out}_p{i}")
+            F.when(F.size(f"{made}_m{i}") > 0, F.split(body, k.pattern, -1)).alias(f"{made}_p{i}")
             for i, k in enumerate(KINDS)
         ),
     )
     lists = [
         F.when(
-            F.size(f"{out}_m{i}") > 0, _spans(F.col(f"{out}_m{i}"), F.col(f"{out}_p{i}"), k)
+            F.size(f"{made}_m{i}") > 0, _spans(F.col(f"{made}_m{i}"), F.col(f"{made}_p{i}"), k)
         ).otherwise(F.array().cast(SPAN))
         for i, k in enumerate(KINDS)
     ]

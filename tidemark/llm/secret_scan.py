@@ -48,10 +48,11 @@ def _carries_crc(m: re.Match) -> bool:
 
 
 def _is_jwt(m: re.Match) -> bool:
-    """The first part decodes to a JSON object that names its algorithm."""
+    """The first part decodes to a JSON object that names its algorithm. One nested deeper
+    than the parser goes names none."""
     try:
         head = json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):
         return False
     return isinstance(head, dict) and "alg" in head
 

@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import remainder
+from tidemark.llm.common import packed, remainder, unpacked
 from tidemark.sources.scratch import written
 
 # About so many labelled documents are learned from, chosen by a hash of their id.
 MOST_LABELLED = 20_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-LEXICON_SIZE, LEAST_DOCUMENTS, LEAST_LOG_ODDS, OPENING = 2000, 5, 2.0, 5
+# Defaults of ``fit``: most terms of either kind in the lexicon, and documents a term must mark.
+LEXICON_SIZE, LEAST_DOCUMENTS = 2000, 5
+LEAST_LOG_ODDS, OPENING = 2.0, 5
 NEAR = 5
 TREES, DEPTH, STEP, LEAF = 20, 3, 0.3, 5
 # Second persons in the languages of the texts: fixed values.
@@ -43,7 +45,8 @@ SECOND_PERSON = frozenset(
     "tes vous votre vos tú ti tuyo usted ustedes vosotros su".lower().split()
 )
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_]+[0-9@$!*|]+[^\W\d_]+(?:[0-9@$!*|]+[^\W\d_]+)*")
+# A match starts where a run of letters does and no run is given back, so a text of one long run is read once.
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*|]++[^\W\d_]++)++")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _PLAIN = str.maketrans("0134578@$!|", "oieastbasil")
 FEATURES = (
@@ -132,8 +135,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     return texts.join(F.broadcast(chosen), "doc_id").withColumn("calibrates", fold == CALIBRATION)
 
 
-def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """The LEXICON_SIZE terms of either kind with the highest log odds."""
+def learn_lexicon(
+    sample: DataFrame, size: int = LEXICON_SIZE, least: int = LEAST_DOCUMENTS
+) -> Lexicon:
+    """The ``size`` terms of either kind with the highest log odds, of those in ``least``
+    toxic documents or more."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[tuple[bool, str, int]] = Counter()
@@ -159,32 +165,30 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
             F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"),
         )
-        .where(F.col("bad") >= LEAST_DOCUMENTS)
+        .where(F.col("bad") >= least)
     )
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     found = {}
     for opening in (False, True):
         best = counts.where(F.col("opening") == opening).select("term", odds.alias("odds"))
         best = best.where(F.col("odds") >= LEAST_LOG_ODDS)
-        found[opening] = dict(best.orderBy(F.desc("odds"), "term").limit(LEXICON_SIZE).collect())
+        found[opening] = dict(best.orderBy(F.desc("odds"), "term").limit(size).collect())
     return Lexicon(found[False], found[True])
 
 
 def with_features(docs: DataFrame, lexicon: Lexicon, out: str = "features") -> DataFrame:
-    kept = [c for c in docs.columns if c != out]
-    source = docs.select(*(f"`{c}`" for c in kept))
-    at = kept.index("text")
+    """Adds the values of FEATURES. Texts alone go to Python, a slice of rows at a time, and
+    its memory is given back between them."""
     words, openings = lexicon.words, lexicon.openings
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Lexicon(words, openings)
-        for batch in batches:
-            rows = [features(t.as_py(), known) for t in batch.column(at)]
-            made = pa.array(rows, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, out])
+        for texts in batches:
+            yield pa.array([features(t.as_py(), known) for t in texts], pa.list_(pa.float64()))
+            pa.default_memory_pool().release_unused()
 
-    field = T.StructField(out, T.ArrayType(T.DoubleType()))
-    return source.mapInArrow(each, T.StructType([*source.schema.fields, field]))
+    return docs.withColumn(out, each("text"))
 
 
 @dataclass(frozen=True)
@@ -202,10 +206,10 @@ class ToxicityModel:
         # The other columns travel as one, so that none can clash with those made here.
         row = F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`") for c in others)).alias("_row")
         kept = [F.col("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns if c != out]
-        packed = docs.select(row, "text")
+        rows = docs.select(row, "text")
         if self.trees is None:
-            return packed.select(*kept, F.lit(self.constant).alias(out))
-        raw = _raw(self.trees, with_features(packed, self.lexicon, "_features"))
+            return rows.select(*kept, F.lit(self.constant).alias(out))
+        raw = _raw(self.trees, with_features(rows, self.lexicon, "_features"))
         if self.calibration is not None:
             raw, score = self.calibration.transform(raw), F.col("_calibrated")
         else:
@@ -218,15 +222,22 @@ def _raw(trees: GBTClassificationModel, df: DataFrame) -> DataFrame:
     return scored.withColumn("_raw", vector_to_array("_probability")[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> ToxicityModel:
-    """Learns from the labels of documents that are not held out."""
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    most: int = MOST_LABELLED,
+    lexicon_size: int = LEXICON_SIZE,
+    least_documents: int = LEAST_DOCUMENTS,
+) -> ToxicityModel:
+    """Learns from the labels of documents that are not held out: of ``most`` at most, with
+    a lexicon of ``lexicon_size`` terms of either kind."""
     sample = written(labelled_sample(docs, labels, most), "labelled")
     n, bad = sample.agg(F.count("*"), F.sum("toxic")).first()
     constant = (bad or 0) / n if n else 0.0
     taught = dict(sample.where("not calibrates").groupBy("toxic").count().collect())
     if len(taught) < 2:
         return ToxicityModel(Lexicon({}, {}), None, None, constant)
-    lexicon = learn_lexicon(sample)
+    lexicon = learn_lexicon(sample, lexicon_size, least_documents)
     rows = written(with_features(sample, lexicon, "_features").drop("text"), "features")
     rows = rows.withColumn("toxic", F.col("toxic").cast("double"))
     learner = GBTClassifier(
@@ -265,5 +276,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
 
 def without_toxic(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """The documents that score below 0.5, with the columns they had."""
-    scored = fit(docs, labels, most).score(docs, "_score")
-    return scored.where("_score < 0.5").select(*(f"`{c}`" for c in docs.columns))
+    scored = fit(docs, labels, most).score(packed(docs, "text"), "score")
+    return unpacked(scored.where("score < 0.5"), docs.columns, "text")
