@@ -89,7 +89,7 @@ def test_a_similar_group_gives_fewer_links_than_nodes(spark):
     docs = [(i, zlib.compress(prose(9, 120).encode())) for i in range(40)]
     texts = spark.createDataFrame(docs, "node long, packed binary")
     open_ = texts.selectExpr("1L as bucket", "node", "node as label", "1 as blocks")
-    links = minhash._compared(open_, texts, 4, 80)
+    links = minhash.compared_in_blocks(open_, texts, 4, 80)
     assert links.count() == 39
     assert {r["component"] for r in components(links).collect()} == {0}
 

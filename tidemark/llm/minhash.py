@@ -86,7 +86,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
     return source.mapInArrow(each, SKETCH)
 
 
-def _packed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The deflated texts of the nodes, from the documents."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,7 @@ def _members(sketch: DataFrame, groups: DataFrame) -> DataFrame:
     return salted.join(shared.select("bucket", "centre", salts), ["bucket", "salt"]).drop("salt")
 
 
-def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
+def labelled(rows: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
     """Rows with the component of a node; one without links is its own."""
     found = labels.select(F.col("node").alias(column), F.col("component").alias(name))
     return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
@@ -167,7 +167,7 @@ def _links(members: DataFrame, texts: DataFrame, known: DataFrame, k: int, perce
     links = written(known.union(confirmed(stars, texts, k, percent)), "links")
     labels = components(links)
     open_ = _unresolved(members, labels)
-    hidden = written(_compared(open_, texts, k, percent), "links")
+    hidden = written(compared_in_blocks(open_, texts, k, percent), "links")
     return components(links.union(hidden)) if hidden.head(1) else labels
 
 
@@ -176,7 +176,7 @@ def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     all have been compared with, are in different components; blocks is how many to cut the
     bucket into."""
     cuts = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
-    rows = _labelled(members.where("node != centre"), "node", labels, "label")
+    rows = labelled(members.where("node != centre"), "node", labels, "label")
     apart = (
         rows.groupBy("bucket")
         .agg(
@@ -191,7 +191,7 @@ def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _compared(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def compared_in_blocks(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links that join all components which links within a bucket join. A bucket is cut into
     blocks of about BLOCK nodes or BLOCK_SHINGLES shingles; a task gets two blocks of one bucket, compares all their pairs
     and gives a spanning forest of the links, fewer than it has nodes."""
@@ -282,9 +282,9 @@ def near_duplicates(
         named.groupBy("digest").agg(F.min("doc_id").alias("rep")), f"{name}-groups"
     )
     members = written(_members(sketch, groups), f"{name}-members")
-    texts = written(_packed(docs, members.select("node").distinct()), f"{name}-texts")
-    labels = _links(members, texts, _same_id(named, groups), k, percent)
-    classes = _labelled(groups, "rep", labels, "component_id")
+    texts = written(packed_texts(docs, members.select("node").distinct()), f"{name}-texts")
+    labels = _links(members, texts, same_id_links(named, groups), k, percent)
+    classes = labelled(groups, "rep", labels, "component_id")
     found = narrow.join(classes.select("digest", "component_id"), "digest", "left")
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
@@ -297,7 +297,7 @@ def near_duplicates(
     )
 
 
-def _same_id(named: DataFrame, groups: DataFrame) -> DataFrame:
+def same_id_links(named: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between the sets that one doc_id has, where it repeats with several texts."""
     of = F.xxhash64("digest")
     several = named.groupBy("doc_id").agg(F.min(of).alias("low"), F.max(of).alias("high"))

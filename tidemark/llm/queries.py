@@ -23,6 +23,7 @@ def all_queries() -> dict[str, Query]:
         "op8_toxicity": queries_corpus.op8_toxicity,
         "op9_archives": queries_files.op9_archives,
         "op10_secrets": queries_text.op10_secrets,
+        "op11_similar_documents": queries_corpus.op11_similar_documents,
     }
 
 

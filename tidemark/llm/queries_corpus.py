@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import katz, minhash, mixing, neighbours, toxicity
+from tidemark.llm import katz, minhash, mixing, neighbours, prefix_join, toxicity
 from tidemark.llm.common import read
 
 
@@ -28,3 +28,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_scores(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op11_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return prefix_join.similar_documents(docs, k=3, percent=90)

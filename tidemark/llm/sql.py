@@ -4,26 +4,30 @@ from __future__ import annotations
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-NEAR_DUPLICATES = rf"""
+
+def similar(k: int, percent: int, more: str = "") -> str:
+    """Components of documents by the Jaccard similarity of their k-word shingles."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(
-    range(1, greatest(len(ws) - 2, 2)), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+    range(1, greatest(len(ws) - {k - 2}, 2)), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) END AS sh
   FROM w),
 u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
 links AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
 reach AS (
   SELECT doc_id AS x, doc_id AS y FROM documents
   UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
 c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
-SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id,
-  doc_id = component_id AS kept
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id{more}
 FROM s JOIN c USING (doc_id)"""
 
+
 DECONTAMINATION = rf"""
 WITH p AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word),
 i AS (
@@ -74,7 +78,8 @@ FROM firsts"""
 
 def all_sql() -> dict[str, str]:
     return {
-        "op6_near_duplicates": NEAR_DUPLICATES,
+        "op6_near_duplicates": similar(4, 80, ", doc_id = component_id AS kept"),
         "op7_decontamination": DECONTAMINATION,
         "op9_archives": ARCHIVES,
+        "op11_similar_documents": similar(3, 90),
     }
