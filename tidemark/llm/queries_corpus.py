@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import katz, minhash, mixing, neighbours, prefix_join, toxicity
+from tidemark.llm import katz, merkle, minhash, mixing, neighbours, prefix_join, toxicity
 from tidemark.llm.common import read
 
 
@@ -33,3 +33,7 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return prefix_join.similar_documents(docs, k=3, percent=90)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(read(spark, sf_dir, "documents"))
