@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,14 @@ def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+def give_memory_back() -> None:
+    """Hands what freed batches held back to the system: from Arrow's pool, and from the C
+    library, which keeps it otherwise. A worker lives on for the tasks that come after."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def n_words(text: Column) -> Column:
     """Words in a text, 0 for none or null. One pass: each word becomes one letter,
     then the white space goes."""

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import give_memory_back
 from tidemark.llm.components import components
 from tidemark.llm.shingles import (
     band_hashes,
@@ -80,7 +81,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
                     ],
                     ["doc_id", "n_shingles", "digest", "bands"],
                 )
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, SKETCH)
@@ -95,7 +96,7 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.binary())], ["node", "packed"]
             )
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     wanted = F.broadcast(nodes) if nodes.count() <= MOST_SENT else nodes
     source = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
@@ -123,7 +124,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 linked[first:last] = (union > 0) & (100 * common >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(linked))
             del left, right, batch
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     both = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("text_a")), "a")

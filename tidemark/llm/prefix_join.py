@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import give_memory_back
 from tidemark.llm.components import components
 from tidemark.llm.minhash import (
     BLOCK,
@@ -79,7 +80,7 @@ def frequent_shingles(
                 if size >= COUNTED:
                     yield often(kept)
                     kept, size = [np.zeros(0, np.uint64)], 0
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
         yield often(kept)
 
     counts = docs.select("text").mapInArrow(each, "token long, n long")
@@ -140,7 +141,7 @@ def prefixed(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     columns, ["doc_id", "n_shingles", "digest", "prefix_id", "prefix"]
                 )
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, SETS)

@@ -24,6 +24,7 @@ def all_queries() -> dict[str, Query]:
         "op9_archives": queries_files.op9_archives,
         "op10_secrets": queries_text.op10_secrets,
         "op11_similar_documents": queries_corpus.op11_similar_documents,
+        "op12_spelling": queries_corpus.op12_spelling,
         "op13_manifest": queries_corpus.op13_manifest,
     }
 

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import katz, merkle, minhash, mixing, neighbours, prefix_join, toxicity
+from tidemark.llm import (
+    katz,
+    merkle,
+    minhash,
+    mixing,
+    neighbours,
+    prefix_join,
+    spelling,
+    toxicity,
+)
 from tidemark.llm.common import read
 
 
@@ -35,5 +44,9 @@ def op11_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.similar_documents(docs, k=3, percent=90)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(read(spark, sf_dir, "documents"))

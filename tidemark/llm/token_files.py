@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import arrow_batches
+from tidemark.llm.common import arrow_batches, give_memory_back
 
 MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
@@ -198,7 +198,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     ],
                     ["doc_id", "n_ids", "packed"],
                 )
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, STAGED)
@@ -364,7 +364,7 @@ def _write_token_files(
                 if size >= RECORD_IDS:
                     yield record()
                     doc_ids, held, size = [], [], 0
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
         if held:
             yield record()
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import packed, remainder, unpacked
+from tidemark.llm.common import give_memory_back, packed, remainder, unpacked
 from tidemark.sources.scratch import written
 
 # About so many labelled documents are learned from, chosen by a hash of their id.
@@ -186,7 +186,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, out: str = "features") -> D
         known = Lexicon(words, openings)
         for texts in batches:
             yield pa.array([features(t.as_py(), known) for t in texts], pa.list_(pa.float64()))
-            pa.default_memory_pool().release_unused()
+            give_memory_back()
 
     return docs.withColumn(out, each("text"))
 
