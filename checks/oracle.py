@@ -101,6 +101,9 @@ PV = f"""pv AS (
       AS next_page
   FROM ev WHERE page_path <> '')"""
 
+# Without event_id, views at one moment follow each other by what else they hold.
+PV_NO_ID = PV.replace("event_id)", "page_path, sdk_key, time_on_page_seconds NULLS FIRST)")
+
 
 def mean(x: str) -> str:
     """A mean whose last digits do not depend on the order rows are added in: whole
@@ -502,7 +505,7 @@ FROM ev GROUP BY ALL""",
             [*D5, roll_distribution("w5", "d5", WEEK, '"date"')], f"SELECT * FROM w5 {complete}"
         ),
         "sink_narrow_runs": rows(M3, "m3"),
-        "minutes_page_stats_no_event_id": m2,
+        "minutes_page_stats_no_event_id": page_rows([PV_NO_ID, *M2[1:]], "m2", "date_time"),
         "stream_minutes_metrics": rows(M1, "m1"),
         "stream_minutes_page_stats": m2,
         "stream_minutes_click_summary": rows(M3, "m3"),

@@ -8,6 +8,7 @@ from tests.crafted import at, event, events, rows
 from tidemark.functions import numbers
 from tidemark.operators import pages
 from tidemark.plans import skew
+from tidemark.sources.events import as_events
 from tidemark.sources.adapter import sample_events
 
 MOVES = ("date_time", "page_path", "next_page")
@@ -211,6 +212,16 @@ def test_ids_may_lie_anywhere(spark):
     assert rows(pages.next_page(e, hot), *columns) == rows(pages.next_page(e), *columns)
 
 
+def test_a_hot_moment_without_ids_is_cut_by_page(spark):
+    made = [event("10:05:00", page_path=f"/{i % 7}", sdk_key=f"s{i % 2}") for i in range(400)]
+    made += [event("10:04", page_path="/x"), event("10:06", page_path="/y")]
+    e = as_events(events(spark, *made).drop("event_id"))
+    hot = skew.measured_hot_sessions(e, 50)
+    columns = ("date_time", "page_path", "sdk_key", "page_views", "page_exits", "next_pages")
+    got = rows(pages.minutes_page_stats(e.repartition(5), hot), *columns)
+    assert got == rows(pages.minutes_page_stats(e), *columns)
+
+
 def test_hot_sessions_are_broadcast_only_when_counted_to_fit(spark):
     e = events(spark, *[event(f"10:0{i}", session_id=f"s{i % 4}") for i in range(8)])
 

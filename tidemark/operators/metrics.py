@@ -70,15 +70,51 @@ def _summed(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def minute_visits(events: DataFrame) -> DataFrame:
+    """One row per ten minutes, site and visitor: what the metrics of a bucket need to know,
+    and the first time of day in ``seen_at``. Rows of the same key add up (``merged_visits``)."""
+    return events.groupBy(
+        times.ten_minutes(F.col("timestamp")).alias("date_time"), "sdk_key", "client_id"
+    ).agg(
+        F.count_if(dimensions.is_click()).alias("clicks"),
+        F.count("*").alias("n"),
+        F.min(times.instant(events)).alias("first_at"),
+        F.max(times.instant(events)).alias("last_at"),
+        F.min("timestamp").alias("seen_at"),
+    )
+
+
+def merged_visits(parts: DataFrame) -> DataFrame:
+    """Visits of the same bucket, site and visitor from several lots of events as one."""
+    return parts.groupBy("date_time", "sdk_key", "client_id").agg(
+        F.sum("clicks").alias("clicks"),
+        F.sum("n").alias("n"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.min("seen_at").alias("seen_at"),
+    )
+
+
+def metrics_of_visits(visits: DataFrame, seen: DataFrame) -> DataFrame:
+    """Ten-minute metrics from visits, one row per bucket, site and visitor."""
+    return _of_visits(visits, seen, "date_time", times.ten_minutes)
+
+
 def _bucket_is_run(
     events: DataFrame, seen: DataFrame, key: str, bucket: Callable[[Column], Column]
+) -> DataFrame:
+    return _of_visits(_visits(events, {key: bucket(F.col("timestamp"))}), seen, key, bucket)
+
+
+def _of_visits(
+    visits: DataFrame, seen: DataFrame, key: str, bucket: Callable[[Column], Column]
 ) -> DataFrame:
     """Where bucket and run are the same span, a visitor is new in exactly one
     bucket: the one holding their first event. So new visitors are counted from
     ``seen`` alone, and no event row is joined to history.
     """
     long = lambda v: F.lit(v).cast("long")
-    visits = _visits(events, {key: bucket(F.col("timestamp"))}).select(
+    rows = visits.select(
         key,
         "sdk_key",
         "clicks",
@@ -96,7 +132,7 @@ def _bucket_is_run(
         long(0).alias("seconds"),
         long(0).alias("n"),
     )
-    return _summed(visits.unionByName(arrivals), key)
+    return _summed(rows.unionByName(arrivals), key)
 
 
 def minutes_metrics(events: DataFrame, seen: DataFrame, run_grain: str = "10m") -> DataFrame:

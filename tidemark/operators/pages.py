@@ -89,8 +89,8 @@ def with_moments(sessions: DataFrame, moments: DataFrame) -> DataFrame:
 def _piece() -> Column:
     """The part of its session a view is sorted in. Pieces follow each other in the
     order of the session: where the clock was put back, its two turns; time slices, in
-    these what lies between hot moments, and in these ranges of ``event_id``. Views of
-    other sessions are all in one piece."""
+    these what lies between hot moments, and in these ranges of ``event_id``, or pages
+    where there is none. Views of other sessions are all in one piece."""
     ts, moments = F.col("timestamp"), F.col("moments")
     offset = (F.minute(ts) % 10) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
     passed = F.coalesce(F.size(F.filter(moments, lambda m: m["at"] < ts)), F.lit(0))
@@ -106,19 +106,25 @@ def _piece() -> Column:
         F.when(moments.isNotNull(), F.coalesce(part, F.lit(-1).cast("long")))
         .otherwise(F.lit(0).cast("long"))
         .alias("part"),
+        F.when((moment["at"] == ts) & F.col("event_id").isNull(), F.col("page_path"))
+        .otherwise(F.lit(""))
+        .alias("page"),
     )
 
 
 def next_page(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Every page view with the page that follows it in its run and session.
 
+    Views at one moment follow each other by ``event_id``; without one, by their page, site
+    and time on page, which is all of a view that counts here.
+
     ``hot`` lists sessions too big for one task (``hot_sessions``, with their hot
     moments). Each is cut into pieces that are sorted apart; the last view of a
     piece then takes the first page of the session's next piece. The result is the
     same with or without ``hot``.
     """
     views = page_views(events)
-    in_order = [F.col("instant"), F.col("event_id")]
+    in_order = [F.col(c) for c in ("instant", "event_id", "page_path", "sdk_key", "time_on_page_seconds")]
     if hot is None:
         session = Window.partitionBy(*SESSION).orderBy(*in_order)
         found = views.withColumn("next_page", F.lead("page_path", 1).over(session))

@@ -50,11 +50,19 @@ def segments_long(events: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, "segment_type", "segment_value")
 
 
+def collapsed(clicks: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per clicker, element and set of dimensions, and their number ``n``: all that
+    ``segment_facts`` needs to know. Rows of the same key add up."""
+    kept = [*keys, "sdk_key", "client_id", "target_text", *DIMENSIONS]
+    n = F.sum("n") if "n" in clicks.columns else F.count("*")
+    return clicks.groupBy(*kept).agg(n.alias("n"))
+
+
 def segment_facts(clicks: DataFrame, keys: list[str], kinds: list[str]) -> DataFrame:
     """Clicks and distinct clickers per key, segment, kind and item.
 
-    ``clicks`` carries ``keys`` as columns. Elements are many per clicker and the
-    other kinds few, so that the two are counted apart.
+    ``clicks`` carries ``keys`` as columns, and ``n`` where a row stands for several clicks.
+    Elements are many per clicker and the other kinds few, so that the two are counted apart.
     """
     plain = [kind for kind in kinds if kind != ELEMENT]
     parts = []
@@ -77,9 +85,8 @@ def _facts(clicks: DataFrame, keys: list[str], kinds: list[str], item: list[str]
     clickers into a plain count.
     """
     clicker = [*keys, "sdk_key", "client_id", *item]
-    together = (
-        clicks.groupBy(*clicker, *DIMENSIONS).agg(F.count("*").alias("n")).repartition(*clicker)
-    )
+    n = F.sum("n") if "n" in clicks.columns else F.count("*")
+    together = clicks.groupBy(*clicker, *DIMENSIONS).agg(n.alias("n")).repartition(*clicker)
     if item:
         split, by_kind = together, []
     elif len(kinds) == 1:

@@ -20,7 +20,7 @@ EVENTS = T.StructType(
         T.StructField("traffic_source", T.StringType()),
         T.StructField("device_type", T.StringType()),
         T.StructField("time_on_page_seconds", T.DoubleType()),
-        T.StructField("event_id", T.LongType(), False),
+        T.StructField("event_id", T.LongType()),
     ]
 )
 

@@ -46,11 +46,10 @@ def events_before(events: DataFrame, end: datetime, zone: str = "UTC") -> DataFr
 
 def as_events(events: DataFrame, zone: str = "UTC") -> DataFrame:
     """The columns of ``EVENTS``. Instants become wall-clock time of ``zone``, whatever
-    the session's zone. Events without ``event_id`` get a hash of their other columns:
-    views at one moment are then ordered by it, the same way every time."""
-    others = [c for c in EVENTS.fieldNames() if c != "event_id"]
+    the session's zone. ``event_id`` is null where there is none: views at one moment are
+    then ordered by what else they hold, the same way every time."""
     if "event_id" not in events.columns:
-        events = events.withColumn("event_id", F.xxhash64(*others))
+        events = events.withColumn("event_id", F.lit(None).cast("long"))
     if _is_instant(events):
         micros = F.unix_micros("timestamp")
         second = F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
@@ -59,6 +58,13 @@ def as_events(events: DataFrame, zone: str = "UTC") -> DataFrame:
     return events.select(*EVENTS.fieldNames())
 
 
+def identity() -> Column:
+    """What tells an event again: its id, else all it holds. Wall-clock times are those of one
+    zone by then, whatever zone it came in."""
+    others = [c for c in EVENTS.fieldNames() if c != "event_id"]
+    return F.coalesce(F.col("event_id"), F.xxhash64(*others))
+
+
 def _is_instant(events: DataFrame) -> bool:
     return events.schema["timestamp"].dataType.typeName() == "timestamp"
 
