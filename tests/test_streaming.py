@@ -28,7 +28,7 @@ def feed(spark, folder, batches):
 def stream(spark, tmp_path):
     store = RollupStore(spark, str(tmp_path / "tables"))
     return minutes.MinuteStream(
-        spark, str(tmp_path / "events"), FirstSeenLog(spark, str(tmp_path / "seen")), store, session_quota=2
+        spark, str(tmp_path / "state"), FirstSeenLog(spark, str(tmp_path / "seen")), store, session_quota=2
     )
 
 

@@ -140,5 +140,16 @@ def complete_weeks(days: Period) -> Period | None:
     return Period(days.start, days.start + weeks * WEEK) if weeks else None
 
 
+def runs_of_days(days: list[str]) -> list[Period]:
+    """Days in order, those that follow each other as one period."""
+    runs: list[Period] = []
+    for day in map(datetime.fromisoformat, days):
+        if runs and runs[-1].end == day:
+            runs[-1] = Period(runs[-1].start, day + DAY)
+        else:
+            runs.append(Period(day, day + DAY))
+    return runs
+
+
 def _now(now: datetime | None) -> datetime:
     return datetime.now() if now is None else now

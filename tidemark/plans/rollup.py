@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,10 +110,15 @@ class Rollups:
             kinds, rows_of = users.FAMILY_FACTS[table.family]
             return rows_of(self._day_facts(period, kinds), ["date"])
         lower = self.store.read(f"{LOWER[table.grain]}_{table.family}", period)
+        return self.rolled(name, lower, period.start.date())
+
+    def rolled(self, name: str, lower: DataFrame, anchor: date) -> DataFrame:
+        """Rows of a table from those of the grain below; weeks count from ``anchor``."""
+        table = TABLES[name]
         module = {"metrics": metrics, "page_stats": pages}.get(table.family, users)
-        extra = {"next_pages": o.next_pages} if table.family == "page_stats" else {}
+        extra = {"next_pages": self.options.next_pages} if table.family == "page_stats" else {}
         if table.grain == "weekly":
-            extra["anchor"] = period.start.date()
+            extra["anchor"] = anchor
         return getattr(module, name)(lower, **extra)
 
     def _minutes(self, family: str, period: Period, run_grain: str | None) -> DataFrame:

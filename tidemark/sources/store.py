@@ -20,6 +20,8 @@ from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, WEEK, Period, require
 from tidemark.schema import TABLES, Table
 
 WHOLE_DAY = "day"
+# So many hours of a day that has no folder yet get one together.
+HOURS_OF_A_DAY = 6
 
 
 @dataclass(frozen=True)
@@ -154,20 +156,45 @@ class RollupStore:
             span = _span_of(time_key, period)
         self._replace(table, df, span, folders, wider, lambda old: old.where(outside))
 
-    def write_buckets(
-        self, name: str, df: DataFrame, buckets: DataFrame, days: list[str], count: int
-    ) -> None:
-        """Replace single ten-minute buckets, given as column ``bucket``, that lie on
-        ``days``. Each gets a folder; other buckets keep their rows."""
-        spans = [WHOLE_DAY, *(f"{h:02d}" for h in range(24))]
-        wider = self._existing(name, [Folder(d, span) for d in days for span in spans])
-        touched = buckets.withColumnRenamed("bucket", "date_time")
+    def write_units(self, name: str, df: DataFrame, units: DataFrame) -> None:
+        """Replace single units of a table's grain (ten minutes, hours, days or weeks by their
+        first day), given as column ``unit``; a unit without rows in ``df`` loses those it had.
+
+        Ten minutes and hours go into the folder of their hour, or of their day where there
+        is one, or where many hours of a day not written yet come at once. The rows a folder
+        keeps stay in it, so a write that fails half-way can be tried again.
+        """
+        table = TABLES[name]
+        if "span" not in table.partitions:
+            dates = units.select(F.col("unit").cast("date").alias("dt")).distinct().collect()
+            self._replace(table, df, F.lit(None), [Folder(str(r.dt)) for r in dates], [], None)
+            return
+        hours: dict[str, set[str]] = {}
+        day = F.col("unit").cast("date").cast("string").alias("dt")
+        for r in units.select(day, _hour_span(F.col("unit")).alias("hour")).distinct().collect():
+            hours.setdefault(r.dt, set()).add(r.hour)
+        there = {dt: self._spans(name, dt) for dt in hours}
+        whole = [
+            dt
+            for dt, touched in hours.items()
+            if WHOLE_DAY in there[dt] or (not there[dt] and len(touched) >= HOURS_OF_A_DAY)
+        ]
+        wider = [
+            Folder(dt, span)
+            for dt, spans in there.items()
+            for span in sorted(spans)
+            if span == WHOLE_DAY or span[:2] in hours[dt]
+        ]
+        replaced = F.broadcast(units.select(F.col("unit").alias(table.time_column)).distinct())
 
         def keep(old: DataFrame) -> DataFrame:
-            return old.join(touched, "date_time", "left_anti")
+            return old.join(replaced, table.time_column, "left_anti")
 
-        span = _ten_span(F.col("date_time"))
-        self._replace(TABLES[name], df, span, [], wider, keep, count)
+        at = F.col(table.time_column)
+        in_whole = at.cast("date").cast("string").isin(whole) if whole else F.lit(False)
+        span = F.when(in_whole, WHOLE_DAY).otherwise(_hour_span(at))
+        folders = sum(1 if dt in whole else len(touched) for dt, touched in hours.items())
+        self._replace(table, df, span, [], wider, keep, max(folders, len(wider)))
 
     def _replace(self, table, df, span, folders, wider, keep, count=None) -> None:
         """Put rows in place, then drop the folders that were to get some but did not.
@@ -244,12 +271,22 @@ class RollupStore:
         """Those of the folders that are there: one listing per day."""
         found = []
         for dt in dict.fromkeys(f.dt for f in folders):
-            fs, pattern = self._fs(f"{self.path(name)}/dt={dt}/span=*")
-            there = {s.getPath().getName() for s in fs.globStatus(pattern) or []}
+            there = self._spans(name, dt)
             mine = dict.fromkeys(f for f in folders if f.dt == dt)
-            found += [f for f in mine if f"span={f.span}" in there]
+            found += [f for f in mine if f.span in there]
         return found
 
+    def _spans(self, name: str, dt: str) -> set[str]:
+        """The spans of a day that have folders: one listing."""
+        fs, pattern = self._fs(f"{self.path(name)}/dt={dt}/span=*")
+        there = (s.getPath().getName() for s in fs.globStatus(pattern) or [])
+        return {folder.removeprefix("span=") for folder in there}
+
+    def has_day(self, name: str, dt: str) -> bool:
+        """Whether a day has a folder; no rows are read."""
+        fs, path = self._fs(f"{self.path(name)}/dt={dt}")
+        return fs.exists(path)
+
     def _files(self, name: str, patterns: list[str]) -> dict[str, set[str]]:
         """Files by folder for the given folder patterns: listings, no Spark job."""
         found: dict[str, set[str]] = {}

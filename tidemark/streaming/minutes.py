@@ -1,56 +1,51 @@
 """Keeps the ten-minute tables current from a stream of events.
 
-Each micro-batch is added to the stored events; then every bucket it touched is
-computed again from the stored events with the batch operators and replaced
-whole. Distinct counts, navigation and first visits are therefore those of the
-batch rollups, also where a bucket's events arrive over several batches or late.
+Each micro-batch is cut to partial results of the buckets it touches, which merge with those of
+the batches before (``state``); touched buckets are then made from their partials and replaced
+whole. Distinct counts, navigation and first visits are therefore those of the batch rollups,
+also where a bucket's events arrive over several batches, late, or twice.
 
 Where a backfill wrote buckets of the same store, the stream takes the backfill's events
-too: a touched bucket is then computed from both, an event that both have counting once.
+too: a touched bucket is then made from both, an event that both have counting once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tidemark.functions import times
-from tidemark.operators import metrics, pages, users
 from tidemark.plans import skew
-from tidemark.plans.periods import DAY, Period
+from tidemark.plans.ledger import Ledger
+from tidemark.plans.periods import TEN_MINUTES, Period, runs_of_days
 from tidemark.plans.rollup import Options
-from tidemark.schema import EVENTS
+from tidemark.schema import EVENTS, FAMILIES
 from tidemark.sources.events import as_events, limit_events, rebase
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path, staged
 from tidemark.sources.store import RollupStore
+from tidemark.streaming.state import BucketState, Tag
 
-STORED = (
-    StructType(list(EVENTS.fields))
-    .add(times.INSTANT, "timestamp_ntz")
-    .add("dt", "date")
-    .add("batch", "string")
-)
-FAMILIES = ("metrics", "page_stats", "click_summary", "top_elements", "user_distribution")
+FAMILIES = tuple(FAMILIES)
+COLUMNS = [*EVENTS.fieldNames(), times.INSTANT]
 
 
 class MinuteStream:
     def __init__(
         self,
         spark: SparkSession,
-        events_path: str,
+        state_path: str,
         seen_log: FirstSeenLog,
         store: RollupStore,
         families: tuple[str, ...] = FAMILIES,
         session_quota: int = skew.SESSION_QUOTA,
         options: Options = Options(),
         history: Callable[[], DataFrame] | None = None,
+        ledger: Ledger | None = None,
     ):
         """``options`` are those of the batch store beside it: the zones events are stored
         and bucketed in. Runs closed at both ends are not for streams.
@@ -58,122 +53,110 @@ class MinuteStream:
         ``history`` reads the events table that batch jobs fill the same store from, as
         ``read_events`` does; it is called for each batch, so that files added since are
         seen. ``seen_log`` must know its visitors. Without it, a batch that would replace
-        a bucket no stream made is refused before anything is written."""
+        a bucket no stream made is refused before anything is written.
+
+        ``ledger`` is told which buckets a batch replaced, for ``Refresh`` to carry them to the
+        hourly, daily and weekly tables."""
         if options.closed_end:
             raise ValueError("a stream has no closed runs")
         self.spark = spark
         self.options = options
-        self.events_path = events_path
+        self.state = BucketState(spark, state_path, families, options.report_zone)
         self.seen_log = seen_log
         self.store = store
         self.families = families
         self.session_quota = session_quota
         self.history = history
-
-    def stored_events(self, *folders: str) -> DataFrame:
-        """Events in some of the ``dt=``/``batch=`` folders: only these are listed."""
-        reader = self.spark.read.schema(STORED).option("basePath", self.events_path)
-        return reader.parquet(*(f"{self.events_path}/{f}" for f in folders or [""]))
+        self.ledger = ledger
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch. Every write replaces what an earlier try of the same
         batch wrote, so a repeated batch changes nothing."""
-        tag = f"{self._stream_id()}-b{batch_id}"
+        tag = Tag(self._stream_id(), batch_id)
+        if self.state.is_merged(tag):
+            return
         o = self.options
         events = rebase(as_events(batch, o.source_zone), o.source_zone, o.base_zone)
-        # Events of an earlier try are there only if this was checked before they were written.
-        if self.history is None and not self._is_there(f"dt=*/batch={tag}"):
-            self._refuse_others_buckets(events)
-        (
-            events.withColumns(
-                {
-                    times.INSTANT: times.instant(events),
-                    "dt": times.day(F.col("timestamp")),
-                    "batch": F.lit(tag),
-                }
-            )
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt", "batch")
-            .parquet(self.events_path)
+        events = events.withColumn(times.INSTANT, times.instant(events)).select(*COLUMNS)
+        with staged(events, "batch") as given:
+            days = _days(given.select(times.ten_minutes(F.col("timestamp")).alias("unit")))
+            with staged(self.state.new_events(given, days, tag), "new-events") as new:
+                self._take(new, tag)
+
+    def _take(self, new: DataFrame, tag: Tag) -> None:
+        added = new.select(times.ten_minutes(F.col("timestamp")).alias("unit")).distinct()
+        # Buckets of an earlier try are there only if this was checked before it wrote any.
+        if self.history is None and not self.state.has_batch(tag):
+            with staged(added, "batch-buckets") as units:
+                self._refuse_others_buckets(units)
+        self.seen_log.update(new, str(tag))
+        # Where a visitor now is seen first, the bucket that held their former first event
+        # no longer has them as a new one.
+        moved = self.seen_log.replaced_by(str(tag)).select(
+            times.ten_minutes(F.col("replaced")).alias("unit")
         )
-        if not self._is_there(f"dt=*/batch={tag}"):
-            return
-        added = self.stored_events(f"dt=*/batch={tag}")
-        self.seen_log.update(added, tag)
-        with staged(self._touched(added, tag), "touched") as touched:
-            self._replace(touched)
-
-    def _replace(self, touched: DataFrame) -> None:
-        """Compute touched buckets again from all events of their days, those of the history
-        included. A bucket without any is another writer's and stays as it is."""
-        days = _days(touched)
+        with staged(added.union(moved).distinct(), "touched") as touched:
+            days = _days(touched)
+            if not days:
+                return
+            if self.history is None:
+                self.state.add(new, None, tag, self.options.source_zone)
+            else:
+                with staged(self._past(new, touched, days, tag), "past") as past:
+                    self.state.add(new, past, tag, self.options.source_zone)
+            self._replace(touched, days, tag)
+
+    def _past(self, new: DataFrame, touched: DataFrame, days: list[str], tag: Tag) -> DataFrame:
+        """The history's events of the touched buckets that the state does not know yet. An
+        earlier try of this batch may have written some: these are found again."""
+        units = F.broadcast(touched)
         bucket = times.ten_minutes(F.col("timestamp"))
-        events = self._events_of(days)
-        if events is None:
-            return
-        events = events.withColumn("bucket", bucket).join(touched, "bucket", "left_semi")
-        if self.history is None:
-            self._write(events, days)
-            return
-        past = self._history_of(days).withColumn("bucket", bucket)
-        past = past.join(touched, "bucket", "left_semi")
-        stored = events.select("bucket", _identity().alias("id")).distinct()
-        past = past.withColumn("id", _identity()).join(stored, ["bucket", "id"], "left_anti")
-        with staged(events.unionByName(past.drop("id")), "touched-events") as both:
-            self._write(both, days)
-
-    def _write(self, events: DataFrame, days: list[str]) -> None:
-        with staged(events.select("bucket").distinct(), "own-buckets") as own:
-            count = own.count()
+        past = self._history_of(days).withColumn("unit", bucket).join(units, "unit", "left_semi").drop("unit")
+        return self.state.unknown_past(past, new, days, tag).select(*COLUMNS)
+
+    def _replace(self, touched: DataFrame, days: list[str], tag: Tag) -> None:
+        """Make the touched buckets from their partials. One without any is another writer's
+        and stays as it is."""
+        own = touched.join(self.state.buckets(days), "unit", "left_semi")
+        with staged(own, "own-buckets") as units:
             for family in self.families:
-                rows = self._rows(family, events.drop("bucket"))
-                self.store.write_buckets(f"minutes_{family}", rows, own, days, count)
-
-    def _events_of(self, days: list[str]) -> DataFrame | None:
-        """The stream's own events of some days; without a history, None if there are none."""
-        there = [f"dt={d}" for d in days if self._is_there(f"dt={d}")]
-        if there:
-            return self.stored_events(*there).select(*EVENTS.fieldNames(), times.INSTANT)
-        if self.history is None:
-            return None
-        return self.spark.createDataFrame([], STORED).drop("dt", "batch")
+                rows = self.state.rows(family, units, days, self.seen_log.read, self._hot)
+                self.store.write_units(f"minutes_{family}", rows, units)
+            if self.ledger is not None:
+                self.ledger.mark(units, str(tag))
+        self.state.merge(days, tag)
+
+    def _hot(self, views: DataFrame) -> DataFrame | None:
+        return skew.measured_hot_sessions(views, self.session_quota)
 
     def _history_of(self, days: list[str]) -> DataFrame:
         """The history's events of some days, read by runs of days that follow each other."""
         o = self.options
-        spans = [run.in_zone(o.base_zone, o.source_zone) for run in _runs(days)]
+        spans = [run.in_zone(o.base_zone, o.source_zone) for run in runs_of_days(days)]
         history = self.history()
         parts = [limit_events(history, span, o.source_zone) for span in spans]
         events = rebase(reduce(DataFrame.unionByName, parts), o.source_zone, o.base_zone)
-        return events.withColumn(times.INSTANT, times.instant(events))
+        return events.withColumn(times.INSTANT, times.instant(events)).select(*COLUMNS)
 
-    def _refuse_others_buckets(self, events: DataFrame) -> None:
+    def _refuse_others_buckets(self, units: DataFrame) -> None:
         """Buckets that the store has rows of but the stream no events were made from events
-        not known here: replacing them would lose those."""
-        buckets = events.select(times.ten_minutes(F.col("timestamp")).alias("bucket")).distinct()
-        with staged(buckets, "batch-buckets") as new:
-            days = _days(new)
-            if not days:
+        not known here: replacing them would lose those. Rows are read only of days that have
+        a folder, and only where the stream does not know a bucket of them."""
+        made = [f"minutes_{family}" for family in self.families]
+        days = [d for d in _days(units) if any(self.store.has_day(name, d) for name in made)]
+        if not days:
+            return
+        unknown = units.where(F.col("unit").cast("date").cast("string").isin(days))
+        unknown = unknown.join(self.state.buckets(days), "unit", "left_anti")
+        with staged(unknown, "unknown-buckets") as rest:
+            first, last = rest.agg(F.min("unit"), F.max("unit")).first()
+            if first is None:
                 return
-            own = self._events_of(days)
-            if own is not None:
-                own = own.select(times.ten_minutes(F.col("timestamp")).alias("bucket"))
-                new = new.join(own, "bucket", "left_anti")
-            made = [
-                self.store.read(f"minutes_{family}", run).select(F.col("date_time").alias("bucket"))
-                for family in self.families
-                for run in _runs(days)
-            ]
-            made = reduce(DataFrame.unionByName, made)
-            if row := new.join(made, "bucket", "left_semi").first():
-                raise ValueError(f"{row.bucket} is not of this stream; give its history")
-
-    def _is_there(self, folder: str) -> bool:
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.events_path}/{folder}")
-        found = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path)
-        return bool(found and len(found))
+            span = Period(first, last + TEN_MINUTES)
+            for name in made:
+                stored = self.store.read(name, span).select(F.col("date_time").alias("unit"))
+                if row := rest.join(stored, "unit", "left_semi").first():
+                    raise ValueError(f"{row.unit} is not of this stream; give its history")
 
     def _stream_id(self) -> str:
         """The id Spark keeps with the checkpoint: the same after a restart, another one for
@@ -181,55 +164,27 @@ class MinuteStream:
         own = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         return (own or "s").replace("-", "")
 
-    def _touched(self, added: DataFrame, tag: str) -> DataFrame:
-        """Buckets with new events, and those a late first event reaches: the
-        visitor no longer is new in the bucket that held their former first one."""
-        own = added.select(times.ten_minutes(F.col("timestamp")).alias("bucket"))
-        moved = self.seen_log.replaced_by(tag).select(
-            times.ten_minutes(F.col("replaced")).alias("bucket")
-        )
-        return own.union(moved).distinct()
-
-    def _rows(self, family: str, events: DataFrame) -> DataFrame:
-        if family == "metrics":
-            return metrics.minutes_metrics(events, self.seen_log.read(events))
-        if family == "page_stats":
-            hot = skew.measured_hot_sessions(events, self.session_quota)
-            return pages.minutes_page_stats(events, hot)
-        return getattr(users, f"minutes_{family}")(events)
-
     def start(self, events: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         writer = events.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"processingTime": "10 minutes"})).start()
 
 
-def _days(buckets: DataFrame) -> list[str]:
+def _days(units: DataFrame) -> list[str]:
     """One row per day."""
-    days = buckets.select(times.day(F.col("bucket")).alias("day")).distinct().collect()
+    days = units.select(times.day(F.col("unit")).alias("day")).distinct().collect()
     return sorted(str(row.day) for row in days)
 
 
-def _runs(days: list[str]) -> list[Period]:
-    """Days that follow each other as one period."""
-    runs: list[Period] = []
-    for day in map(datetime.fromisoformat, days):
-        if runs and runs[-1].end == day:
-            runs[-1] = Period(runs[-1].start, day + DAY)
-        else:
-            runs.append(Period(day, day + DAY))
-    return runs
-
-
-def _identity() -> Column:
-    """What tells an event that stands in both tables."""
-    others = [c for c in EVENTS.fieldNames() if c != "event_id"]
-    return F.coalesce(F.col("event_id"), F.xxhash64(*others))
-
-
-def drain(spark: SparkSession, events: DataFrame, families: tuple[str, ...] = FAMILIES) -> RollupStore:
+def drain(
+    spark: SparkSession,
+    events: DataFrame,
+    families: tuple[str, ...] = FAMILIES,
+    ledger: Ledger | None = None,
+) -> RollupStore:
     """Run a stream over all that is available now, into tables of its own."""
     root = scratch_path(spark, "stream")
     store = RollupStore(spark, f"{root}/tables")
-    stream = MinuteStream(spark, f"{root}/events", FirstSeenLog(spark, f"{root}/seen"), store, families)
+    log = FirstSeenLog(spark, f"{root}/seen")
+    stream = MinuteStream(spark, f"{root}/state", log, store, families, ledger=ledger)
     stream.start(events, f"{root}/checkpoint", availableNow=True).awaitTermination()
     return store
