@@ -6,13 +6,16 @@
 2. Texts of the same set are one node, nodes of the same prefix and size one group.
 3. Groups meet in buckets, one for each shingle that several nodes have in their prefix and
    each run of sizes that may match; buckets that hold the same groups are one. Each bucket is
-   a star: groups are paired with its smallest one and filtered by size and by what the places
-   of the shared shingle leave to be shared.
+   a star: groups are paired with its smallest one. Pairs are filtered by size, by what the places
+   of the shared shingle leave to be shared, and by the number of shingles that the prefixes
+   share: all that two sets share is in both prefixes, or after the one that ends first.
 4. Pairs of groups that pass are expanded: every member is compared with the smallest member of
    the other group, and with that of its own, on the full sets. Links are joined to components.
 5. A bucket whose members are still in several components may hide a link that misses the
-   centre. It is compared whole, in pairs of bounded blocks that give a forest of its links. So
-   any two nodes that meet are either compared, or ruled out by the filter, or connected.
+   centre. Its members are compared by their prefixes, in pairs of bounded blocks; those that
+   may match one of another component are compared on the full sets, in such blocks again,
+   which give a forest of their links. So any two nodes that meet are either compared, or ruled
+   out by a filter, or connected.
 
 The order only decides how many nodes meet, never which are linked: shingles that parts of the
 corpus show often come last, by their count in all documents; the others by their hash.
@@ -38,6 +41,7 @@ from tidemark.llm.components import components
 from tidemark.llm.minhash import (
     BLOCK,
     BLOCK_SHINGLES,
+    COLUMNS,
     compared_in_blocks,
     confirmed,
     labelled,
@@ -236,20 +240,24 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     single = groups.where("n = 1").select("group", F.col("group").alias("node"))
     used = buckets.select("group").distinct()
     members = written(own.union(single).join(used, "group"), "prefix-used")
-    texts = written(packed_texts(docs, members.select("node")), "prefix-texts")
 
     stars = buckets.where("group != centre.group").where(_may_match(percent))
-    across = stars.select("group", F.col("centre.group").alias("b")).distinct()
+    across = written(
+        _filtered(stars.select("group", F.col("centre.group").alias("b")).distinct(), groups, percent),
+        "prefix-across",
+    )
     pairs = own.where("node != group").select(F.col("node").alias("a"), F.col("group").alias("b"))
     pairs = pairs.union(across.join(members, "group").select(F.col("node").alias("a"), "b"))
-    links = confirmed(written(pairs.distinct(), "prefix-pairs"), texts, k, percent)
+    pairs = written(pairs.distinct(), "prefix-pairs")
+    links = confirmed(pairs, _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("node"))), k, percent)
     reps = nodes.select("digest", F.col("node").alias("rep"))
     same = same_id_links(named.select("doc_id", "digest"), reps)
     links = written(links.union(same), "prefix-links")
     labels = components(links)
 
     open_ = written(_unresolved(buckets, members, labels), "prefix-open")
-    hidden = written(compared_in_blocks(open_, texts, k, percent), "prefix-hidden")
+    left = written(_promising(open_, nodes, percent), "prefix-left")
+    hidden = written(compared_in_blocks(_sized(left), _texts(docs, left.select("node")), k, percent), "prefix-hidden")
     if hidden.head(1):
         labels = components(links.union(hidden))
     classes = labelled(reps, "rep", labels, "component_id").select("digest", "component_id")
@@ -258,21 +266,114 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     return found.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    return written(packed_texts(docs, nodes.distinct()), "prefix-texts")
+
+
+def _filtered(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (group, b) whose prefixes share as many shingles as similar sets must."""
+
+    def of(name: str) -> DataFrame:
+        return groups.select(F.col("group").alias(name), F.struct("size", "prefix").alias(f"of_{name}"))
+
+    a, b = F.col("of_group"), F.col("of_b")
+    after = F.greatest(a["size"] - F.size(a["prefix"]), b["size"] - F.size(b["prefix"]))
+    most = F.size(F.array_intersect(a["prefix"], b["prefix"])) + after
+    both = pairs.join(of("group"), "group").join(of("b"), "b")
+    return both.where((100 + percent) * most >= percent * (a["size"] + b["size"])).select("group", "b")
+
+
 def _unresolved(buckets: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, label, blocks) of buckets in which two nodes other than the centre, which
-    all have been compared with, are in different components."""
+    """(bucket, node, label) of buckets in which two nodes other than the centre, which all have
+    been compared with, are in different components."""
     rows = buckets.join(members, "group").where("node != centre.group")
-    rows = labelled(rows.select("bucket", "size", "node"), "node", labels, "label")
-    cuts = F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)
+    rows = labelled(rows.select("bucket", "node"), "node", labels, "label")
     apart = (
         rows.groupBy("bucket")
-        .agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.ceil(cuts).cast("int").alias("blocks"),
-        )
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low != high")
     )
-    return rows.join(apart.select("bucket", "blocks"), "bucket").select(
-        "bucket", "node", "label", "blocks"
+    return rows.join(apart.select("bucket"), "bucket").select("bucket", "node", "label")
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """Rows with the number of blocks to cut their bucket into."""
+    cuts = F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)
+    sizes = rows.groupBy("bucket").agg(F.ceil(cuts).cast("int").alias("blocks"))
+    return rows.join(sizes, "bucket").select("bucket", "node", "label", "blocks")
+
+
+def _promising(open_: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, label, size) of nodes that by their prefixes may match a node of another
+    component in their bucket. A bucket is cut into blocks, and a task compares two of them."""
+    of = nodes.select("node", "size", "prefix")
+    blocks = open_.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    cut = open_.join(blocks, "bucket").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    meeting = cut.select("bucket", "node", "label", "block", other).select(
+        "bucket",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "node",
+        "label",
     )
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come in order of (bucket, i, j): one such group at a time is held."""
+        key, held = None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "label", "size")]
+            lists = batch.column("prefix")
+            values = np.array(lists.flatten(), np.int64)
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            out = []
+            for at, (bucket, i, j, *row) in enumerate(zip(*columns, strict=True)):
+                if (bucket, i, j) != key:
+                    out += _may_link(key, held, percent)
+                    key, held = (bucket, i, j), []
+                held.append((*row, values[ends[at] : ends[at + 1]]))
+            yield _rows(out)
+        yield _rows(_may_link(key, held, percent))
+
+    rows = meeting.join(of, "node").select("bucket", "i", "j", "node", "label", "size", "prefix")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    found = rows.mapInArrow(each, "bucket long, node long, label long, size long")
+    return found.distinct()
+
+
+def _rows(found: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*found, strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int64()) for c in columns], ["bucket", "node", "label", "size"]
+    )
+
+
+def _may_link(key: tuple | None, held: list[tuple], percent: int) -> list[tuple]:
+    """(bucket, node, label, size) of those that may match one of another label."""
+    if len(held) < 2:
+        return []
+    label = np.array([h[1] for h in held])
+    size = np.array([h[2] for h in held])
+    length = np.array([len(h[3]) for h in held])
+    common = _common([h[3] for h in held])
+    after = np.maximum.outer(size - length, size - length)
+    total = size[:, None] + size[None, :]
+    may = (100 + percent) * (common + after) >= percent * total
+    may &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+    may &= label[:, None] != label[None, :]
+    return [(key[0], *held[i][:3]) for i in np.flatnonzero(may.any(axis=1))]
+
+
+def _common(prefixes: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two prefixes share."""
+    owner = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+    _, column, times = np.unique(np.concatenate(prefixes), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    row, total = owner[shared], np.zeros((len(prefixes), len(prefixes)), np.float32)
+    for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        some = (column >= low) & (column < low + COLUMNS)
+        table = np.zeros((len(prefixes), COLUMNS), np.float32)
+        table[row[some], column[some] - low] = 1
+        total += table @ table.T
+    return np.rint(total).astype(np.int64)
