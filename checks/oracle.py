@@ -318,7 +318,7 @@ FROM pv GROUP BY ALL""",
     )
 
 
-def all_sql() -> dict[str, str]:
+def _direct() -> dict[str, str]:
     session = [
         f"""run AS (SELECT *, {B10} AS date_time FROM ev)""",
         """sessions AS (
@@ -513,9 +513,29 @@ FROM ev GROUP BY ALL""",
         "stream_minutes_user_distribution": rows(M5, "m5"),
         "stream_into_backfilled_store": rows(M1, "m1"),
         "stream_restarted": rows(M1, "m1"),
+        "stream_files_given_twice": rows(M1, "m1"),
         "stream_clicks_10m": with_(
             [],
             f"""SELECT {B10} AS date_time, sdk_key,
   count(*) FILTER (event_name = 'auto_click') AS clicks FROM ev GROUP BY ALL""",
         ),
     }
+
+
+# Tables that streams and late files have made are those of a backfill, or of the rollups.
+SAME = {
+    "refreshed_hourly_metrics": "hourly_metrics",
+    "refreshed_hourly_page_stats": "hourly_page_stats",
+    "refreshed_hourly_top_elements": "hourly_top_elements",
+    "refreshed_daily_page_stats": "daily_page_stats",
+    "refreshed_daily_click_summary": "daily_click_summary",
+    "refreshed_weekly_metrics": "backfill_weekly_metrics",
+    "refreshed_weekly_user_distribution": "backfill_weekly_user_distribution",
+    "arrived_daily_metrics": "daily_metrics",
+    "arrived_weekly_top_elements": "backfill_weekly_top_elements",
+}
+
+
+def all_sql() -> dict[str, str]:
+    direct = _direct()
+    return direct | {name: direct[other] for name, other in SAME.items()}

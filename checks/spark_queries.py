@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import dimensions, numbers, times
 from tidemark.operators import metrics, pages, users, visitors
 from tidemark.plans import skew
+from tidemark.plans.ledger import Ledger
 from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, Period
+from tidemark.plans.refresh import Refresh
 from tidemark.plans.rollup import Rollups
-from tidemark.sources.adapter import as_clickstream, sample_events
 from tidemark.schema import TABLES
+from tidemark.sources.adapter import as_clickstream, sample_events
+from tidemark.sources.arrivals import Arrivals
 from tidemark.sources.events import as_events, limit_events
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path
@@ -238,25 +241,27 @@ def without_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minutes_pages(as_events(e)).drop("next_pages")
 
 
-# Streams. Raw events come as several files, one batch each.
+# Streams. Raw events come as files that each hold some of every bucket.
 
 
-def raw_files(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
-    """The raw events as files that each hold some of every bucket."""
+def raw_files(spark: SparkSession, sf_dir: str, batches: int = 3, times_given: int = 1) -> tuple[str, int]:
+    """The raw events as files, as many as the table is read in, and how many make a batch."""
     path = scratch_path(spark, "raw-events")
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    raw.repartition(files, "event_id").write.parquet(path)
-    return path
+    each = -(-raw.rdd.getNumPartitions() // batches)
+    for _ in range(times_given):
+        raw.repartition(each * batches, "event_id").write.mode("append").parquet(path)
+    return path, each
 
 
-def raw_stream(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", 1)
+def raw_stream(spark: SparkSession, path: str, files_of_a_batch: int = 1000) -> DataFrame:
+    files = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", files_of_a_batch)
     return as_clickstream(files.parquet(path))
 
 
-def streamed_minutes(family: str) -> Query:
+def streamed_minutes(family: str, times_given: int = 1) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        events = raw_stream(spark, raw_files(spark, sf_dir))
+        events = raw_stream(spark, *raw_files(spark, sf_dir, times_given=times_given))
         store = minute_stream.drain(spark, events, (family,))
         rows = store.read(f"minutes_{family}")
         return rows.drop("next_pages")
@@ -264,12 +269,59 @@ def streamed_minutes(family: str) -> Query:
     return query
 
 
+def refreshed(table: str) -> Query:
+    """A table above ten minutes after a stream of two batches that both touch every period,
+    each followed by a refresh of what it changed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        family = TABLES[table].family
+        root = scratch_path(spark, "refreshed")
+        store, ledger = RollupStore(spark, f"{root}/tables"), Ledger(spark, f"{root}/ledger")
+        log = FirstSeenLog(spark, f"{root}/seen")
+        stream = minute_stream.MinuteStream(
+            spark, f"{root}/state", log, store, (family,), ledger=ledger
+        )
+        e = sample_events(spark, sf_dir)
+        jobs = Rollups(spark, e, store, seen_log=log)
+        refresh = Refresh(jobs, ledger, WEEK_ANCHOR, [family], stream.state.day_clicks)
+        # The last day of the report zone ends within the day after.
+        end = data_days(e).end + DAY
+        for i in range(2):
+            stream.process(e.where(F.col("event_id") % 2 == i), i)
+            refresh.run(end)
+        return store.read(table).drop("next_pages")
+
+    return query
+
+
+def arrived(table: str) -> Query:
+    """A table after a refresh of what two waves of files changed, the second a tenth of the
+    events, late ones of every day."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        family = TABLES[table].family
+        root = scratch_path(spark, "arrived")
+        e = sample_events(spark, sf_dir).withColumn("dt", times.day(ts()))
+        store, ledger = RollupStore(spark, f"{root}/tables"), Ledger(spark, f"{root}/ledger")
+        jobs = Rollups(spark, e, store, seen_log=FirstSeenLog(spark, f"{root}/seen"))
+        arrivals = Arrivals(spark, f"{root}/events")
+        refresh = Refresh(jobs, ledger, WEEK_ANCHOR, [family], arrivals=arrivals)
+        late = F.col("event_id") % 10 == 0
+        for wave in (~late, late):
+            e.where(wave).write.mode("append").partitionBy("dt").parquet(arrivals.path)
+            refresh.pick_up(datetime.now(timezone.utc).replace(tzinfo=None))
+            refresh.run(data_days(e).end + DAY)
+        return store.read(table).drop("next_pages")
+
+    return query
+
+
 def new_stream(spark: SparkSession, history=None) -> tuple[minute_stream.MinuteStream, str]:
     root = scratch_path(spark, "stream")
     log = FirstSeenLog(spark, f"{root}/seen")
     store = RollupStore(spark, f"{root}/tables")
     stream = minute_stream.MinuteStream(
-        spark, f"{root}/events", log, store, ("metrics",), history=history
+        spark, f"{root}/state", log, store, ("metrics",), history=history
     )
     return stream, root
 
@@ -293,7 +345,7 @@ def stream_into_backfilled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run("minutes_metrics", Period(days.start, noon + TEN_MINUTES), "10m")
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
     raw = raw.where((F.col("ts") >= times.at(cut)) | late("ts"))
-    raw.coalesce(1).write.parquet(f"{root}/raw")
+    raw.write.parquet(f"{root}/raw")
     query = stream.start(raw_stream(spark, f"{root}/raw"), f"{root}/checkpoint", availableNow=True)
     query.awaitTermination()
     return stream.store.read("minutes_metrics")
@@ -305,7 +357,7 @@ def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = spark.read.parquet(f"{sf_dir}/events.parquet")
     for i in range(2):
         part = f"{root}/raw-{i}"
-        raw.where(F.col("event_id") % 2 == i).coalesce(1).write.parquet(part)
+        raw.where(F.col("event_id") % 2 == i).write.parquet(part)
         query = stream.start(raw_stream(spark, part), f"{root}/checkpoint-{i}", availableNow=True)
         query.awaitTermination()
     return stream.store.read("minutes_metrics")
@@ -313,7 +365,7 @@ def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch, so that nothing is late."""
-    events = raw_stream(spark, raw_files(spark, sf_dir, 1))
+    events = raw_stream(spark, raw_files(spark, sf_dir, 1)[0])
     return click_stream.drain(events, scratch_path(spark, "clicks"))
 
 
@@ -470,5 +522,15 @@ def all_queries() -> dict[str, Query]:
         "stream_minutes_user_distribution": streamed_minutes("user_distribution"),
         "stream_into_backfilled_store": stream_into_backfilled_store,
         "stream_restarted": stream_restarted,
+        "stream_files_given_twice": streamed_minutes("metrics", times_given=2),
+        "refreshed_hourly_metrics": refreshed("hourly_metrics"),
+        "refreshed_hourly_page_stats": refreshed("hourly_page_stats"),
+        "refreshed_hourly_top_elements": refreshed("hourly_top_elements"),
+        "refreshed_daily_page_stats": refreshed("daily_page_stats"),
+        "refreshed_daily_click_summary": refreshed("daily_click_summary"),
+        "refreshed_weekly_metrics": refreshed("weekly_metrics"),
+        "refreshed_weekly_user_distribution": refreshed("weekly_user_distribution"),
+        "arrived_daily_metrics": arrived("daily_metrics"),
+        "arrived_weekly_top_elements": arrived("weekly_top_elements"),
         "stream_clicks_10m": stream_clicks,
     }

@@ -9,10 +9,11 @@ so a refresh that fails half-way can be run again.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from contextlib import ExitStack
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
@@ -23,7 +24,7 @@ from tidemark.plans.periods import runs_of_days
 from tidemark.plans.rollup import LOWER, Rollups
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.arrivals import Arrivals
-from tidemark.sources.events import as_events, rebase
+from tidemark.sources.events import as_events, limit_events, rebase
 from tidemark.sources.scratch import staged
 
 # Levels of the ledger. Days and weeks of the per-segment tables are those of the report zone.
@@ -40,25 +41,27 @@ class Refresh:
         week_anchor: date,
         families: Iterable[str] = tuple(FAMILIES),
         day_clicks: Callable[[DataFrame], DataFrame] | None = None,
+        arrivals: Arrivals | None = None,
     ):
         """``day_clicks`` gives the clicks of some days (``unit``) of the report zone with their
-        ``date``: a stream's are those of its state. Without it they come from the events of
-        ``jobs``. Weeks count from ``week_anchor``."""
+        ``date``: a stream's are those of its state. Without it they come from the events table,
+        that of ``arrivals`` where files are still added to it. Weeks count from ``week_anchor``."""
         self.jobs = jobs
         self.spark, self.store = jobs.spark, jobs.store
         self.ledger = ledger
         self.anchor = week_anchor
         self.families = tuple(families)
         self.day_clicks = day_clicks or self._day_clicks
+        self.arrivals = arrivals
 
-    def pick_up(self, arrivals: Arrivals, until: datetime) -> None:
+    def pick_up(self, until: datetime) -> None:
         """Take in the files that came since the last time, up to ``until``: the ten-minute
         tables of the buckets they touch are made again from the events table."""
-        if self.jobs.seen_log is None:
-            raise ValueError("late files need a first-seen log: they may move first visits")
+        if self.jobs.seen_log is None or self.arrivals is None:
+            raise ValueError("late files need the table they come to, and a first-seen log")
         o = self.jobs.options
         run = f"arrived-{until:%Y%m%dT%H%M%S%f}"
-        came = arrivals.since(self.ledger.arrived(), until)
+        came = self.arrivals.since(self.ledger.arrived(), until)
         if came is not None:
             events = rebase(as_events(came, o.source_zone), o.source_zone, o.base_zone)
             self.jobs.seen_log.update(events, run)
@@ -68,16 +71,14 @@ class Refresh:
             )
             with staged(own.union(moved).distinct(), "arrived") as units:
                 if days := _days(units):
-                    self._minutes(arrivals, units, days)
+                    self._minutes(units, days)
                     self.ledger.mark(units, run)
         at = [(ARRIVED, until)]
         self.ledger.put(self.spark.createDataFrame(at, SCHEMA), f"{run}-until")
 
-    def _minutes(self, arrivals: Arrivals, units: DataFrame, days: list[str]) -> None:
+    def _minutes(self, units: DataFrame, days: list[str]) -> None:
         o = self.jobs.options
-        spans = [run.in_zone(o.base_zone, o.source_zone) for run in runs_of_days(days)]
-        parts = [e for span in spans if (e := arrivals.of_period(span, o.source_zone)) is not None]
-        events = rebase(reduce(DataFrame.unionByName, parts), o.source_zone, o.base_zone)
+        events = rebase(self._events(days, o.base_zone), o.source_zone, o.base_zone)
         bucket = times.ten_minutes(F.col("timestamp"))
         touched = events.withColumn("unit", bucket).join(F.broadcast(units), "unit", "left_semi")
         with staged(touched.drop("unit"), "arrived-events") as own:
@@ -99,40 +100,37 @@ class Refresh:
         moment = F.lit(str(closed_to)).cast("timestamp_ntz")
         report_to = times.in_zone(moment, o.base_zone, o.report_zone)
         folders, entries = self.ledger.open()
-        rest: list[DataFrame] = [entries.where(F.col("level") == ARRIVED)]
-        with staged(entries, "ledger") as marked:
-            buckets = marked.where(F.col("level") == BUCKET).select(F.col("start").alias("unit"))
-
-            def due(level: str, found: DataFrame, closed=moment) -> DataFrame:
+        others = [f for f in self.families if f not in BY_BASE_DAY]
+        base = [f for f in self.families if f in BY_BASE_DAY]
+        # What is due of one level names that of the next, so all of it stays till the end.
+        with ExitStack() as stack:
+            marked = stack.enter_context(staged(entries, "ledger"))
+            rest = [marked.where(F.col("level") == ARRIVED)]
+
+            def due(level: str, found: DataFrame, closed: Column = moment) -> DataFrame:
                 """What is marked or found of a level, if it is closed; else it stays marked."""
-                waiting = marked.where(F.col("level") == level).select(F.col("start").alias("unit"))
-                units = found.select(F.col("unit").cast("timestamp_ntz")).union(waiting).distinct()
-                ends = F.col("unit") + F.expr(f"INTERVAL {LENGTH[level]}")
-                rest.append(units.where(ends > closed).select(F.lit(level).alias("level"), F.col("unit").alias("start")))
-                return units.where(ends <= closed)
+                units = found.select(F.col("unit").cast("timestamp_ntz"))
+                units = units.union(_marked(marked, level)).distinct()
+                late = F.col("unit") + F.expr(f"INTERVAL {LENGTH[level]}") > closed
+                rest.append(units.where(late).select(F.lit(level).alias("level"), F.col("unit").alias("start")))
+                return stack.enter_context(staged(units.where(~late), f"due-{level}"))
 
+            buckets = _marked(marked, BUCKET)
             hours = due(HOUR, buckets.select(times.hour(F.col("unit")).alias("unit")))
-            with staged(hours, "due-hours") as hours:
-                self._roll("hourly", self.families, hours)
-                base = [f for f in self.families if f in BY_BASE_DAY]
+            self._roll("hourly", self.families, hours)
+            if base:
                 days = due(DAY, hours.select(times.day(F.col("unit")).alias("unit")))
-                with staged(days, "due-days") as days:
-                    self._roll("daily", base, days)
-                    with staged(due(WEEK, self._weeks(days)), "due-weeks") as weeks:
-                        self._roll("weekly", base, weeks)
-            # A bucket may lie in two days of another zone.
-            ends = [F.col("unit"), F.col("unit") + F.expr("INTERVAL '9:59.999999' MINUTE TO SECOND")]
-            reported = [times.zone_day(e, o.base_zone, o.report_zone) for e in ends]
-            found = buckets.select(F.explode(F.array(*reported)).alias("unit"))
-            others = [f for f in self.families if f not in BY_BASE_DAY]
+                self._roll("daily", base, days)
+                self._roll("weekly", base, due(WEEK, self._weeks(days)))
             if others:
-                with staged(due(REPORT_DAY, found, report_to), "due-report-days") as days:
-                    self._report_days(others, days)
-                    weeks = due(REPORT_WEEK, self._weeks(days), report_to)
-                    with staged(weeks, "due-report-weeks") as weeks:
-                        self._roll("weekly", others, weeks)
-            with staged(reduce(DataFrame.unionByName, rest), "ledger-rest") as left:
-                self.ledger.settle(folders, left)
+                # A bucket may lie in two days of another zone.
+                ends = [F.col("unit"), F.col("unit") + F.expr("INTERVAL '9:59.999999' MINUTE TO SECOND")]
+                dates = F.array(*(times.zone_day(e, o.base_zone, o.report_zone) for e in ends))
+                days = due(REPORT_DAY, buckets.select(F.explode(dates).alias("unit")), report_to)
+                self._report_days(others, days)
+                self._roll("weekly", others, due(REPORT_WEEK, self._weeks(days), report_to))
+            left = stack.enter_context(staged(reduce(DataFrame.unionByName, rest), "ledger-rest"))
+            self.ledger.settle(folders, left)
 
     def _weeks(self, days: DataFrame) -> DataFrame:
         return days.select(times.week_of(F.col("unit").cast("date"), self.anchor).alias("unit"))
@@ -164,13 +162,27 @@ class Refresh:
                 self.store.write_units(f"daily_{family}", made, days)
 
     def _day_clicks(self, days: DataFrame) -> DataFrame:
-        """Clicks of some days from the events of ``jobs``."""
+        """Clicks of some days from the events table."""
         o = self.jobs.options
-        parts = [self.jobs._report_events(run) for run in runs_of_days(_days(days))]
-        clicks = users.day_clicks(reduce(DataFrame.unionByName, parts), o.source_zone, o.report_zone)
+        events = self._events(_days(days), o.report_zone)
+        clicks = users.day_clicks(events, o.source_zone, o.report_zone)
         wanted = F.broadcast(days.select(F.col("unit").cast("date").alias("date")))
         return clicks.join(wanted, "date", "left_semi")
 
+    def _events(self, days: list[str], zone: str) -> DataFrame:
+        """Events of some days of a zone, as they are stored; other days are not listed."""
+        o = self.jobs.options
+        spans = [run.in_zone(zone, o.source_zone) for run in runs_of_days(days)]
+        if self.arrivals is None:
+            parts = [limit_events(self.jobs.events, span, o.source_zone) for span in spans]
+        else:
+            parts = [self.arrivals.of_period(span, o.source_zone) for span in spans]
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _marked(entries: DataFrame, level: str) -> DataFrame:
+    return entries.where(F.col("level") == level).select(F.col("start").alias("unit"))
+
 
 def _days(units: DataFrame, length: int = 1) -> list[str]:
     """The days that units of some days' length cover: one row per day."""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.periods import Period
-from tidemark.sources.events import limit_events
+from tidemark.schema import EVENTS
+from tidemark.sources.events import as_events, limit_events
 
 MODIFIED = "_metadata.file_modification_time"
 
@@ -45,14 +46,14 @@ class Arrivals:
             came = came & (F.col(MODIFIED) > F.lit(after.replace(tzinfo=timezone.utc)))
         return events.where(came)
 
-    def of_period(self, period: Period, zone: str) -> DataFrame | None:
+    def of_period(self, period: Period, zone: str) -> DataFrame:
         """All events of a period, wall-clock time of ``zone``. Only its days are listed."""
         first, last = period.days()
         days = [str(first + timedelta(days=i)) for i in range((last - first).days + 1)]
         there = {f.rsplit("dt=", 1)[-1]: f for f in self._folders() if "dt=" in f}
         folders = [there[d] for d in days if d in there] if there else [self.path]
         if not folders:
-            return None
+            return as_events(self.spark.createDataFrame([], EVENTS), zone)
         events = self.spark.read.option("basePath", self.path).parquet(*folders)
         return limit_events(events, period, zone)
 
