@@ -55,6 +55,8 @@ from tidemark.sources.scratch import written
 # most that are sent to every executor, 12 bytes each. They bear on the order alone.
 COUNTED, OFTEN, MOST_FREQUENT = 2_000_000, 5, 1_000_000
 SALTS = 8
+# A place in the order, as one number: rank first, then as many bits of the hash as fit.
+RANK_BITS = 20
 SETS = "doc_id long, n_shingles long, digest binary, prefix_id binary, prefix array<long>"
 
 
@@ -97,23 +99,25 @@ def frequent_shingles(
     )
     token = np.array(table["token"], np.int64).view(np.uint64)
     order = np.argsort(token)
-    return token[order], (len(token) - order).astype(np.int32)
+    return token[order], (len(token) - order).astype(np.int64)
 
 
 def prefixes(
     doc: np.ndarray, value: np.ndarray, n: int, percent: int, known: np.ndarray, rank: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of the prefixes of sets given as ``shingle_sets`` gives them, in order."""
+    """(text, token) of the prefixes of sets given as ``shingle_sets`` gives them, in order. A
+    token is the shingle's place in the order of all."""
     size = np.bincount(doc, minlength=n)
     length = size - -(-percent * size // 100) + 1
-    place = np.searchsorted(known, value)
-    place[place == len(known)] = 0
-    held = known[place] == value if len(known) else np.zeros(len(value), bool)
-    late = np.where(held, rank[place], 0) if len(known) else np.zeros(len(value), np.int32)
-    order = np.lexsort((value, late, doc))
+    token = (value >> np.uint64(RANK_BITS + 1)).astype(np.int64)
+    if len(known):
+        place = np.searchsorted(known, value)
+        place[place == len(known)] = 0
+        token |= np.where(known[place] == value, rank[place], 0) << (63 - RANK_BITS)
+    order = np.lexsort((token, doc))
     at = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
     first = order[at < length[doc]]
-    return doc[first], value[first]
+    return doc[first], token[first]
 
 
 def prefixed(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -130,12 +134,12 @@ def prefixed(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 doc, value = shingle_sets(texts[first:last], k)
                 size = np.bincount(doc, minlength=n)
                 owner, token = prefixes(doc, value, n, percent, known, rank)
-                names = set_digests(*_sorted(owner, token), n)
+                names = set_digests(owner, token.view(np.uint64), n)
                 names[:, 0] += mixed(size.astype(np.uint64))
                 none = size == 0
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
                 lists = pa.ListArray.from_arrays(
-                    pa.array(offsets.astype(np.int32)), pa.array(token.view(np.int64))
+                    pa.array(offsets.astype(np.int32)), pa.array(token)
                 )
                 ids = [
                     pa.array([None if x else d.tobytes() for d, x in zip(of, none, strict=True)], pa.binary())
@@ -151,31 +155,30 @@ def prefixed(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return source.mapInArrow(each, SETS)
 
 
-def _sorted(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((value, doc))
-    return doc[order], value[order]
-
-
 def _size_class(size: Column, percent: int) -> Column:
     """Sizes that may match lie in one class or in two that follow each other."""
     return F.floor(F.log(size.cast("double")) / F.lit(-math.log((percent - 1) / 100)))
 
 
-def _buckets(groups: DataFrame, percent: int) -> DataFrame:
-    """(bucket, group, size, place, centre) of buckets that hold two nodes or more: ``place`` is
-    that of the shared shingle in the group's prefix, ``centre`` the smallest group's row."""
+def _met(groups: DataFrame) -> DataFrame:
+    """(group, size, n, place, token) of the shingles of prefixes that several nodes share:
+    ``place`` is that in the group's prefix."""
     entries = groups.select(
         "group", "size", "n", F.posexplode("prefix").alias("place", "token")
     )
     shared = entries.groupBy("token").agg(F.sum("n").alias("nodes")).where("nodes > 1")
     # A hot shingle is spread over SALTS tasks; only its one row of the other side is copied.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    met = written(
-        entries.withColumn("salt", F.pmod(F.hash("group"), F.lit(SALTS)))
-        .join(shared.select("token", salts), ["token", "salt"])
-        .drop("salt"),
-        "prefix-met",
-    )
+    salted = entries.withColumn("salt", F.pmod(F.hash("group"), F.lit(SALTS)))
+    return salted.join(shared.select("token", _salts()), ["token", "salt"]).drop("salt")
+
+
+def _salts() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+
+
+def _buckets(met: DataFrame, percent: int) -> DataFrame:
+    """(bucket, token, run, group, size, place, centre) of buckets that hold two nodes or more;
+    ``centre`` is the smallest group's row."""
     own = _size_class(F.col("size"), percent)
     runs = F.explode(F.array(own - 1, own)).alias("run")
     placed = met.select("token", runs, "group", "size", "n", "place")
@@ -191,14 +194,19 @@ def _buckets(groups: DataFrame, percent: int) -> DataFrame:
         )
         .where("nodes > 1")
     )
-    # Buckets of the same groups show the same pairs.
-    one = found.groupBy("groups", "bits", "total").agg(
-        F.min(F.struct("token", "run", "centre")).alias("one")
+    # Buckets of the same groups show the same pairs: that of the first shingle stays.
+    first = F.min(F.struct("token", (-F.col("run")).alias("back"), "centre")).alias("first")
+    kept = found.groupBy("groups", "bits", "total").agg(first).select(
+        F.xxhash64("first.token", "first.back").alias("bucket"),
+        "first.token",
+        (-F.col("first.back")).alias("run"),
+        "first.centre",
+        _salts(),
+    )
+    salted = placed.withColumn("salt", F.pmod(F.hash("group"), F.lit(SALTS)))
+    return salted.join(kept, ["token", "run", "salt"]).select(
+        "bucket", "token", "run", "group", "size", "place", "centre"
     )
-    kept = one.select("one.*").withColumn("bucket", F.xxhash64("token", "run"))
-    return placed.withColumn("salt", F.pmod(F.hash("group"), F.lit(SALTS))).join(
-        kept.select("*", salts), ["token", "run", "salt"]
-    ).select("bucket", "group", "size", "place", "centre")
 
 
 def _may_match(percent: int) -> Column:
@@ -231,7 +239,9 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
         ),
         "prefix-groups",
     )
-    buckets = written(_buckets(groups, percent), "prefix-buckets")
+    met = written(_met(groups), "prefix-met")
+    buckets = written(_buckets(met, percent), "prefix-buckets")
+    shared = written(_shared(groups, met), "prefix-shared")
     several = groups.where("n > 1").select("prefix_id", "size", "group")
     own = written(
         nodes.join(several, ["prefix_id", "size"]).select("group", "node"), "prefix-members"
@@ -243,7 +253,7 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
 
     stars = buckets.where("group != centre.group").where(_may_match(percent))
     across = written(
-        _filtered(stars.select("group", F.col("centre.group").alias("b")).distinct(), groups, percent),
+        _filtered(stars.select("group", F.col("centre.group").alias("b")).distinct(), shared, percent),
         "prefix-across",
     )
     pairs = own.where("node != group").select(F.col("node").alias("a"), F.col("group").alias("b"))
@@ -256,7 +266,8 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     labels = components(links)
 
     open_ = written(_unresolved(buckets, members, labels), "prefix-open")
-    left = written(_promising(open_, nodes, percent), "prefix-left")
+    of_nodes = members.join(shared, "group").drop("group")
+    left = written(_promising(open_, of_nodes, percent), "prefix-left")
     hidden = written(compared_in_blocks(_sized(left), _texts(docs, left.select("node")), k, percent), "prefix-hidden")
     if hidden.head(1):
         labels = components(links.union(hidden))
@@ -270,30 +281,46 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(packed_texts(docs, nodes.distinct()), "prefix-texts")
 
 
-def _filtered(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (group, b) whose prefixes share as many shingles as similar sets must."""
+def _shared(groups: DataFrame, met: DataFrame) -> DataFrame:
+    """(group, size, length, last, tokens) of groups that meet others: the length of the prefix,
+    its last shingle, and those of it that others have, in order."""
+    tokens = met.groupBy("group").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    own = groups.select(
+        "group", "size", F.size("prefix").alias("length"), F.element_at("prefix", -1).alias("last")
+    )
+    return own.join(tokens, "group")
+
+
+def _filtered(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (group, b) that by their prefixes may hold similar sets. What two sets
+    share stands in both prefixes up to the end of the one that ends first, or after it."""
 
     def of(name: str) -> DataFrame:
-        return groups.select(F.col("group").alias(name), F.struct("size", "prefix").alias(f"of_{name}"))
+        return shared.select(F.col("group").alias(name), F.struct("size", "length", "last", "tokens").alias(f"of_{name}"))
 
     a, b = F.col("of_group"), F.col("of_b")
-    after = F.greatest(a["size"] - F.size(a["prefix"]), b["size"] - F.size(b["prefix"]))
-    most = F.size(F.array_intersect(a["prefix"], b["prefix"])) + after
+
+    def after(x: Column, y: Column) -> Column:
+        """At least so many of x come later than the first end."""
+        before = F.size(F.filter(x["tokens"], lambda t: t <= y["last"]))
+        return x["size"] - F.when(x["last"] <= y["last"], x["length"]).otherwise(before)
+
+    most = F.size(F.array_intersect(a["tokens"], b["tokens"])) + F.least(after(a, b), after(b, a))
     both = pairs.join(of("group"), "group").join(of("b"), "b")
     return both.where((100 + percent) * most >= percent * (a["size"] + b["size"])).select("group", "b")
 
 
 def _unresolved(buckets: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, label) of buckets in which two nodes other than the centre, which all have
-    been compared with, are in different components."""
+    """(bucket, token, run, node, label) of buckets in which two nodes other than the centre,
+    which all have been compared with, are in different components."""
     rows = buckets.join(members, "group").where("node != centre.group")
-    rows = labelled(rows.select("bucket", "node"), "node", labels, "label")
+    rows = labelled(rows.select("bucket", "token", "run", "node"), "node", labels, "label")
     apart = (
         rows.groupBy("bucket")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low != high")
     )
-    return rows.join(apart.select("bucket"), "bucket").select("bucket", "node", "label")
+    return rows.join(apart.select("bucket"), "bucket")
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -303,42 +330,44 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "bucket").select("bucket", "node", "label", "blocks")
 
 
-def _promising(open_: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+KEY = ["bucket", "i", "j", "token", "run"]
+ROW = ["node", "label", "size", "length", "last", "class"]
+
+
+def _promising(open_: DataFrame, of_nodes: DataFrame, percent: int) -> DataFrame:
     """(bucket, node, label, size) of nodes that by their prefixes may match a node of another
-    component in their bucket. A bucket is cut into blocks, and a task compares two of them."""
-    of = nodes.select("node", "size", "prefix")
+    component. A pair is looked at in one bucket only, that of the first shingle it shares and
+    of the smaller size's run. A bucket is cut into blocks, and a task compares two of them."""
+    of = of_nodes.withColumn("class", _size_class(F.col("size"), percent))
     blocks = open_.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     cut = open_.join(blocks, "bucket").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    meeting = cut.select("bucket", "node", "label", "block", other).select(
-        "bucket",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "node",
-        "label",
+    meeting = cut.select("*", other).withColumns(
+        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
     )
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come in order of (bucket, i, j): one such group at a time is held."""
+        """Rows come in order of their key: those of one key at a time are held."""
         key, held = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "label", "size")]
-            lists = batch.column("prefix")
+            keys = zip(*(batch.column(c).to_pylist() for c in KEY), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ROW), strict=True)
+            lists = batch.column("tokens")
             values = np.array(lists.flatten(), np.int64)
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
             out = []
-            for at, (bucket, i, j, *row) in enumerate(zip(*columns, strict=True)):
-                if (bucket, i, j) != key:
+            for at, (now, row) in enumerate(zip(keys, rows, strict=True)):
+                if now != key:
                     out += _may_link(key, held, percent)
-                    key, held = (bucket, i, j), []
+                    key, held = now, []
                 held.append((*row, values[ends[at] : ends[at + 1]]))
             yield _rows(out)
+            give_memory_back()
         yield _rows(_may_link(key, held, percent))
 
-    rows = meeting.join(of, "node").select("bucket", "i", "j", "node", "label", "size", "prefix")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    found = rows.mapInArrow(each, "bucket long, node long, label long, size long")
-    return found.distinct()
+    rows = meeting.join(of, "node").select(*KEY, *ROW, "tokens")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions(*KEY)
+    return rows.mapInArrow(each, "bucket long, node long, label long, size long").distinct()
 
 
 def _rows(found: list[tuple]) -> pa.RecordBatch:
@@ -352,16 +381,20 @@ def _may_link(key: tuple | None, held: list[tuple], percent: int) -> list[tuple]
     """(bucket, node, label, size) of those that may match one of another label."""
     if len(held) < 2:
         return []
-    label = np.array([h[1] for h in held])
-    size = np.array([h[2] for h in held])
-    length = np.array([len(h[3]) for h in held])
-    common = _common([h[3] for h in held])
-    after = np.maximum.outer(size - length, size - length)
-    total = size[:, None] + size[None, :]
-    may = (100 + percent) * (common + after) >= percent * total
-    may &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
-    may &= label[:, None] != label[None, :]
-    return [(key[0], *held[i][:3]) for i in np.flatnonzero(may.any(axis=1))]
+    bucket, _, _, token, run = key
+    _, label, size, length, last, classes = np.array([h[:6] for h in held], np.int64).T
+    tokens = [h[6] for h in held]
+    sizes = np.minimum.outer(size, size), np.maximum.outer(size, size)
+    may = (label[:, None] != label[None, :]) & (100 * sizes[0] >= percent * sizes[1])
+    may &= np.minimum.outer(classes, classes) == run
+    if not may.any():
+        return []
+    may &= _common([t[: np.searchsorted(t, token)] for t in tokens]) == 0
+    before = np.stack([np.searchsorted(t, last, side="right") for t in tokens])
+    after = size[:, None] - np.where(last[:, None] <= last[None, :], length[:, None], before)
+    most = _common(tokens) + np.minimum(after, after.T)
+    may &= (100 + percent) * most >= percent * (size[:, None] + size[None, :])
+    return [(bucket, *held[i][:3]) for i in np.flatnonzero(may.any(axis=1))]
 
 
 def _common(prefixes: list[np.ndarray]) -> np.ndarray:
