@@ -474,6 +474,16 @@ FROM ev GROUP BY ALL""",
         ),
         "daily_metrics": rows(D1, "d1"),
         "daily_metrics_exact": rows(exact, "x1"),
+        "daily_visitors_exact": with_(
+            [],
+            """SELECT CAST("timestamp" AS DATE) AS "date", sdk_key,
+  count(DISTINCT client_id) AS visitors FROM ev GROUP BY ALL""",
+        ),
+        "weekly_visitors_exact": with_(
+            [],
+            f"""SELECT {week('CAST("timestamp" AS DATE)')} AS "date", sdk_key,
+  count(DISTINCT client_id) AS visitors FROM ev GROUP BY ALL""",
+        ),
         "daily_page_stats": page_rows(D2, "d2", '"date"'),
         "daily_page_stats_next": page_lists(D2, "d2", '"date"'),
         "daily_page_stats_merged": merged("CAST(date_time AS DATE)", '"date"'),

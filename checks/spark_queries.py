@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dimensions, numbers, times
-from tidemark.operators import metrics, pages, users, visitors
+from tidemark.operators import distinct, metrics, pages, users, visitors
 from tidemark.plans import skew
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, Period
@@ -20,7 +20,7 @@ from tidemark.sources.adapter import as_clickstream, sample_events
 from tidemark.sources.arrivals import Arrivals
 from tidemark.sources.events import as_events, limit_events
 from tidemark.sources.first_seen import FirstSeenLog
-from tidemark.sources.scratch import scratch_path
+from tidemark.sources.scratch import scratch_path, written
 from tidemark.sources.store import RollupStore
 from tidemark.streaming import clicks as click_stream
 from tidemark.streaming import minutes as minute_stream
@@ -173,6 +173,23 @@ def page_count_lists(e: DataFrame) -> DataFrame:
     return lists_as_text(minutes_pages(e), "date_time")
 
 
+def visitor_sets(e: DataFrame) -> DataFrame:
+    """Daily sets, the visitors of odd events numbered after the others."""
+    known = e.sparkSession.createDataFrame([], distinct.NUMBERS)
+    for part in (e.where(F.col("event_id") % 2 == 0), e):
+        more = distinct.numbered(distinct.new_visitors(part, known), known)
+        known = written(known.unionByName(more), "visitor-numbers")
+    return distinct.visitor_sets(e, known)
+
+
+def weekly_visitors_exact(e: DataFrame) -> DataFrame:
+    return distinct.weekly_visitors_exact(visitor_sets(e), WEEK_ANCHOR)
+
+
+def daily_visitors_exact(e: DataFrame) -> DataFrame:
+    return distinct.counted_sets(visitor_sets(e), "date")
+
+
 # Sinks, backfills and streams. Each works in folders of its own.
 
 
@@ -486,6 +503,8 @@ def all_queries() -> dict[str, Query]:
         ),
         "daily_metrics": e(daily_metrics),
         "daily_metrics_exact": e(lambda d: metrics.daily_metrics_exact(d, visitors.first_seen(d))),
+        "daily_visitors_exact": e(daily_visitors_exact),
+        "weekly_visitors_exact": e(weekly_visitors_exact),
         "daily_page_stats": e(lambda d: daily_pages(d).drop("next_pages")),
         "daily_page_stats_next": e(lambda d: lists_as_text(daily_pages(d), "date")),
         "daily_page_stats_merged": e(lambda d: lists_as_text(daily_pages(d, "merge"), "date")),
