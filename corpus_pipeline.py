@@ -15,6 +15,8 @@ from tidemark.sources.scratch import written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score below 0.5. Null texts score like empty ones; repeated rows are judged
+    each; without labels of both kinds all rows stay, or go, by the share of toxic ones."""
     return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
 
 
@@ -24,15 +26,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a window of any item. Null and empty texts, and an empty benchmark, have none."""
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mixture takes them, none to twice; a null source is one, too, and
+    a null text has no words. An empty table gives an empty one."""
     return mixing.mix(docs).shuffled()
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return queries_files.encoded(docs)
+    """One row per row of ``docs``, repeats included; a null or empty text is its end id alone.
+    Workers have had other stages, so they keep no encoders."""
+    return queries_files.encoded(docs, keep=False)
 
 
 STAGES = [

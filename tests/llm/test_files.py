@@ -33,12 +33,12 @@ def plain(rows, tokenizer):
     return out
 
 
-@pytest.mark.parametrize("ids", [token_files.SHARD_IDS, 20_000])
-def test_token_files_equal_whole_texts(spark, tokenizer, monkeypatch, ids):
+@pytest.mark.parametrize(("ids", "keep"), [(token_files.SHARD_IDS, True), (20_000, False)])
+def test_token_files_equal_whole_texts(spark, tokenizer, monkeypatch, ids, keep):
     monkeypatch.setattr(token_files, "SHARD_IDS", ids)
     monkeypatch.setattr(token_files, "RECORD_IDS", ids // 4)
     rows = corpus(40) + [(None, "no id", None, None, None)]
-    got = sorted(tuple(r) for r in queries_files.encoded(spark.createDataFrame(rows, DOCS)).collect() if r[0] is not None)
+    got = sorted(tuple(r) for r in queries_files.encoded(spark.createDataFrame(rows, DOCS), keep).collect() if r[0] is not None)
     want = sorted(t for t in plain(rows, tokenizer) if t[0] is not None)
     assert got == want
     assert queries_files.encoded(spark.createDataFrame([], DOCS)).count() == 0

@@ -19,11 +19,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def encoded(docs: DataFrame) -> DataFrame:
-    """Per document, from token files written for the purpose."""
+def encoded(docs: DataFrame, keep: bool = True) -> DataFrame:
+    """Per document, from token files written for the purpose; ``keep`` as there."""
     spark = docs.sparkSession
     path, stage = scratch_path(spark, "tokens"), scratch_path(spark, "token-stage")
-    token_files.write_token_files(docs, path, tokenizer_path(), END_ID, stage)
+    token_files.write_token_files(docs, path, tokenizer_path(), END_ID, stage, keep)
     return token_files.token_report(spark, path)
 
 

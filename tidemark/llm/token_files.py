@@ -17,14 +17,15 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain, islice, repeat
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,7 @@ RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
 CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
+SMALL_CACHES = (50_000, 100_000)
 SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
@@ -94,14 +96,17 @@ class ChunkEncoder:
     once while the memory of them lasts. No token spans white space, so the ids of a text
     are those of its chunks one after another."""
 
-    def __init__(self, tokenizer: Tokenizer, by_parts: bool) -> None:
-        self.tokenizer, self.by_parts = tokenizer, by_parts
+    def __init__(
+        self, tokenizer: Tokenizer, by_parts: bool, most: tuple[int, int] = (CACHE_CHUNKS, CACHE_PARTS)
+    ) -> None:
+        """``most`` chunks and parts are remembered."""
+        self.tokenizer, self.by_parts, self.most = tokenizer, by_parts, most
         self.letters = byte_letters()
         self.chunks, self.parts = Table(), Table()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and how many each has."""
-        for table, most in ((self.chunks, CACHE_CHUNKS), (self.parts, CACHE_PARTS)):
+        for table, most in zip((self.chunks, self.parts), self.most, strict=True):
             if len(table.number) > most:
                 table.keep(most // 2)
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -161,27 +166,31 @@ def _word_bpe(tokenizer: Tokenizer) -> bool:
     )
 
 
+def new_encoder(vocabulary: str, **caches) -> ChunkEncoder:
+    tokenizer = Tokenizer.from_str(vocabulary)
+    return ChunkEncoder(tokenizer, _word_bpe(tokenizer), **caches)
+
+
 def kept_encoder(vocabulary: str) -> ChunkEncoder:
     """The encoder of this process. What travels by value has no module of its own in a
-    worker, so it is kept on the library's, for the tasks that come after."""
+    worker, so one is made for what is kept there for the tasks that come after."""
+    kept = sys.modules.setdefault("_tidemark_kept", ModuleType("_tidemark_kept"))
     of = zlib.crc32(vocabulary.encode())
-    kept = getattr(tokenizers, "_tidemark_encoder", None)
-    if kept is None or kept[0] != of:
-        tokenizer = Tokenizer.from_str(vocabulary)
-        kept = (of, ChunkEncoder(tokenizer, _word_bpe(tokenizer)))
-        tokenizers._tidemark_encoder = kept
-    return kept[1]
+    if getattr(kept, "vocabulary", None) != of:
+        kept.vocabulary, kept.encoder = of, new_encoder(vocabulary)
+    return kept.encoder
 
 
 STAGED = "doc_id long, n_ids long, packed binary"
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id, n_ids and the deflated 32-bit ids of every text, each with its end id."""
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, keep: bool = True) -> DataFrame:
+    """doc_id, n_ids and the deflated 32-bit ids of every text, each with its end id. Workers
+    keep the encoder between tasks, or, with ``keep`` off, make a smaller one for each."""
     vocabulary = open(tokenizer_path, encoding="utf-8").read()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_encoder(vocabulary)
+        encoder = kept_encoder(vocabulary) if keep else new_encoder(vocabulary, most=SMALL_CACHES)
         for batch in batches:
             for some in _slices(batch, SLICE_BYTES):
                 ids, counts = encoder.encode(some.column(1))
@@ -321,23 +330,25 @@ def read_records(content: bytes, id_of: np.ndarray) -> Iterator[tuple[int | None
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, stage_path: str
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, stage_path: str, keep: bool = True
 ) -> None:
     """Writes every text of ``docs`` (doc_id, text) under ``path``: ``ids``, a folder of
     files that hold the documents in ascending doc_id order, null first, files in order
     of their names; and ``ranks``, the table of ids by rank.
 
     Null and empty texts are the end id alone. Rows that repeat a doc_id stand together,
-    in the order of their ids' bytes. Texts are tokenized once, into ``stage_path``."""
+    in the order of their ids' bytes. Texts are tokenized once, into ``stage_path``, with
+    encoders that workers keep where ``keep`` is on: faster, but memory that what runs in the
+    same workers before and after goes without."""
     with arrow_batches(docs.sparkSession, BATCH_BYTES):
-        _write_token_files(docs, path, tokenizer_path, end_id, stage_path)
+        _write_token_files(docs, path, tokenizer_path, end_id, stage_path, keep)
 
 
 def _write_token_files(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, stage_path: str
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, stage_path: str, keep: bool
 ) -> None:
     spark = docs.sparkSession
-    tokenized(docs, tokenizer_path, end_id).write.option("compression", "none").parquet(stage_path)
+    tokenized(docs, tokenizer_path, end_id, keep).write.option("compression", "none").parquet(stage_path)
     staged = spark.read.schema(STAGED).parquet(stage_path)
     # One row per id of the vocabulary.
     counted = sorted(((-r["n"], r["id"]) for r in id_ranks(staged).toLocalIterator()))
