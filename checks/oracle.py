@@ -543,6 +543,7 @@ SAME = {
     "refreshed_weekly_user_distribution": "backfill_weekly_user_distribution",
     "arrived_daily_metrics": "daily_metrics",
     "arrived_weekly_top_elements": "backfill_weekly_top_elements",
+    "stream_clicks_kept": "stream_clicks_10m",
 }
 
 

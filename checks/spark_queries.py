@@ -386,6 +386,19 @@ def stream_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_stream.drain(events, scratch_path(spark, "clicks"))
 
 
+def stream_clicks_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of events of all days, so that most of two of them are late: what came in
+    time and what is in the side table are all clicks."""
+    root = scratch_path(spark, "kept-clicks")
+    kept = click_stream.KeptClicks(spark, f"{root}/tables")
+    events = raw_stream(spark, *raw_files(spark, sf_dir))
+    kept.start(events, f"{root}/checkpoint", availableNow=True).awaitTermination()
+    late = kept.late().groupBy(times.ten_minutes(ts()).alias("date_time"), "sdk_key")
+    late = late.agg(F.count_if(dimensions.is_click()).alias("clicks"))
+    both = kept.counts().unionByName(late)
+    return both.groupBy("date_time", "sdk_key").agg(F.sum("clicks").alias("clicks"))
+
+
 def all_queries() -> dict[str, Query]:
     e = over_events
     return {
@@ -552,4 +565,5 @@ def all_queries() -> dict[str, Query]:
         "arrived_daily_metrics": arrived("daily_metrics"),
         "arrived_weekly_top_elements": arrived("weekly_top_elements"),
         "stream_clicks_10m": stream_clicks,
+        "stream_clicks_kept": stream_clicks_kept,
     }

@@ -199,3 +199,15 @@ def test_late_events_are_dropped_past_the_watermark(spark, tmp_path):
     # the watermark of the batch before, so it takes a batch between the two.
     got = rows(spark.read.schema(counts.schema).parquet(out), "date_time", "clicks")
     assert got == [(at("10:00"), 2), (at("10:40"), 1)]
+
+
+def test_late_events_are_kept_apart(spark, tmp_path):
+    kept = clicks.KeptClicks(spark, str(tmp_path))
+    kept.process(events(spark, event("10:01"), event("10:02", event_name="page_view")), 0)
+    for _ in range(2):  # the second is a retry
+        kept.process(events(spark, event("10:45"), event("10:03")), 1)
+    kept.process(events(spark, event("10:04"), event("10:41")), 2)
+    got = rows(kept.counts(), "date_time", "clicks")
+    assert got == [(at("10:00"), 2), (at("10:40"), 2)]
+    assert rows(kept.late(), "timestamp") == [(at("10:04"),)]
+    assert rows(kept.counts(closed=True), "date_time", "clicks") == [(at("10:00"), 2)]
