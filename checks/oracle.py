@@ -500,7 +500,23 @@ FROM ev GROUP BY ALL""",
         "weekly_click_summary": rows([*D3, roll_summary("w3", "d3", WEEK, '"date"')], "w3"),
         "weekly_top_elements": rows([*D4, *roll_top("w4", "d4", WEEK, '"date"')], "w4"),
         "weekly_user_distribution": rows([*D5, roll_distribution("w5", "d5", WEEK, '"date"')], "w5"),
+        "run_periods": with_(
+            [
+                """at_ AS (SELECT DISTINCT "timestamp" AS t, date_trunc('day', "timestamp") AS d,
+  date_trunc('hour', "timestamp") AS h FROM ev)""",
+                """m_ AS (SELECT *, h + to_minutes(CAST(date_part('minute', t) // 10 * 10 AS INTEGER)) AS m FROM at_)""",
+            ],
+            """SELECT t AS started, unnest(['minutes', 'hourly', 'daily', 'weekly', 'backfill', 'backfill_weeks']) AS run,
+  unnest([m - INTERVAL 10 MINUTES, h - INTERVAL 1 HOUR, d - INTERVAL 1 DAY, d - INTERVAL 7 DAYS,
+    d - INTERVAL 10 DAYS, d - INTERVAL 10 DAYS]) AS first,
+  unnest([m, h, d, d, d + INTERVAL 1 DAY, d - INTERVAL 3 DAYS]) AS end_before FROM m_""",
+        ),
         "backfill_daily_metrics": rows(D1, "d1"),
+        "backfill_daily_page_stats": page_rows(D2, "d2", '"date"'),
+        # The last day of the report zone is not over when the data ends.
+        "backfill_daily_click_summary": with_(D3, f'SELECT * FROM d3 WHERE "date" <= {last}'),
+        "backfill_daily_top_elements": with_(D4, f'SELECT * FROM d4 WHERE "date" <= {last}'),
+        "backfill_daily_user_distribution": with_(D5, f'SELECT * FROM d5 WHERE "date" <= {last}'),
         "backfill_weekly_metrics": with_(W1, f"SELECT * FROM w1 {complete}"),
         "backfill_weekly_page_stats": with_(
             W2, f"SELECT * EXCLUDE (next_to, next_count) FROM w2 {complete}"
@@ -544,6 +560,11 @@ SAME = {
     "arrived_daily_metrics": "daily_metrics",
     "arrived_weekly_top_elements": "backfill_weekly_top_elements",
     "stream_clicks_kept": "stream_clicks_10m",
+    "backfill_hourly_metrics": "hourly_metrics",
+    "backfill_hourly_page_stats": "hourly_page_stats",
+    "backfill_hourly_click_summary": "hourly_click_summary",
+    "backfill_hourly_top_elements": "hourly_top_elements",
+    "backfill_hourly_user_distribution": "hourly_user_distribution",
 }
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 from datetime import date, datetime, timezone
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dimensions, numbers, times
 from tidemark.operators import distinct, metrics, pages, users, visitors
-from tidemark.plans import skew
+from tidemark.plans import periods, skew
 from tidemark.plans.ledger import Ledger
 from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, Period
 from tidemark.plans.refresh import Refresh
 from tidemark.plans.rollup import Rollups
-from tidemark.schema import TABLES
+from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.adapter import as_clickstream, sample_events
 from tidemark.sources.arrivals import Arrivals
 from tidemark.sources.events import as_events, limit_events
@@ -27,6 +30,10 @@ from tidemark.streaming import minutes as minute_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# What tasks call travels with them, so that workers need not have it installed.
+cloudpickle.register_pickle_by_value(periods)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The first Monday of the generated data; weeks count from it.
 WEEK_ANCHOR = date(2024, 1, 1)
 FORTNIGHT = Period(datetime(2024, 1, 8), datetime(2024, 1, 22))
@@ -252,6 +259,30 @@ def backfilled(table: str) -> Query:
     return query
 
 
+def run_periods(e: DataFrame) -> DataFrame:
+    """The periods that runs started at each event's moment would cover, and a backfill of the
+    ten days before it that is asked to go on after it."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for now in batch.column(0).to_pylist():
+                found = {g: periods.run_period(g, None, now) for g in ("minutes", "hourly", "daily", "weekly")}
+                first, last = (now + i * DAY for i in (-10, 3))
+                days = periods.backfill_days(f"{first:%Y-%m-%d}", f"{last:%Y-%m-%d}", now)
+                found |= {"backfill": days, "backfill_weeks": periods.complete_weeks(days)}
+                rows += [(now, run, p.start, p.end) for run, p in found.items()]
+            kinds = [pa.timestamp("us"), pa.string(), pa.timestamp("us"), pa.timestamp("us")]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["started", "run", "first", "end_before"],
+            )
+
+    schema = "started timestamp_ntz, run string, first timestamp_ntz, end_before timestamp_ntz"
+    return e.select(F.col("timestamp")).distinct().mapInArrow(each, schema)
+
+
 def without_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page statistics of the twelve columns alone, ordered in a session by time."""
     e = sample_events(spark, sf_dir).drop("event_id")
@@ -538,7 +569,9 @@ def all_queries() -> dict[str, Query]:
         "weekly_user_distribution": e(
             lambda d: users.weekly_user_distribution(users.daily_user_distribution(d), WEEK_ANCHOR)
         ),
-        "backfill_daily_metrics": backfilled("daily_metrics"),
+        "run_periods": e(run_periods),
+        **{f"backfill_hourly_{f}": backfilled(f"hourly_{f}") for f in FAMILIES},
+        **{f"backfill_daily_{f}": backfilled(f"daily_{f}") for f in FAMILIES},
         "backfill_weekly_metrics": backfilled("weekly_metrics"),
         "backfill_weekly_page_stats": backfilled("weekly_page_stats"),
         "backfill_weekly_click_summary": backfilled("weekly_click_summary"),
