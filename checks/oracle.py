@@ -560,6 +560,9 @@ SAME = {
     "arrived_daily_metrics": "daily_metrics",
     "arrived_weekly_top_elements": "backfill_weekly_top_elements",
     "stream_clicks_kept": "stream_clicks_10m",
+    "backfill_hourly_page_transitions": "hourly_page_transitions",
+    "backfill_daily_page_transitions": "daily_page_transitions",
+    "refreshed_daily_page_transitions": "daily_page_transitions",
     "backfill_hourly_metrics": "hourly_metrics",
     "backfill_hourly_page_stats": "hourly_page_stats",
     "backfill_hourly_click_summary": "hourly_click_summary",

@@ -570,6 +570,9 @@ def all_queries() -> dict[str, Query]:
             lambda d: users.weekly_user_distribution(users.daily_user_distribution(d), WEEK_ANCHOR)
         ),
         "run_periods": e(run_periods),
+        "backfill_hourly_page_transitions": backfilled("hourly_page_transitions"),
+        "backfill_daily_page_transitions": backfilled("daily_page_transitions"),
+        "refreshed_daily_page_transitions": refreshed("daily_page_transitions"),
         **{f"backfill_hourly_{f}": backfilled(f"hourly_{f}") for f in FAMILIES},
         **{f"backfill_daily_{f}": backfilled(f"daily_{f}") for f in FAMILIES},
         "backfill_weekly_metrics": backfilled("weekly_metrics"),

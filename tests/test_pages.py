@@ -1,5 +1,5 @@
 import math
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tests.crafted import at, event, events, rows
 from tidemark.functions import numbers
 from tidemark.operators import pages
-from tidemark.plans import skew
-from tidemark.sources.events import as_events
+from tidemark.plans import periods, skew
+from tidemark.plans.rollup import Options, Rollups
 from tidemark.sources.adapter import sample_events
+from tidemark.sources.events import as_events
+from tidemark.sources.store import RollupStore
 
 MOVES = ("date_time", "page_path", "next_page")
 
@@ -235,3 +237,38 @@ def test_hot_sessions_are_broadcast_only_when_counted_to_fit(spark):
     assert "strategy=broadcast" not in plan(many)
     columns = ("event_id", "next_page")
     assert rows(pages.next_page(e, many), *columns) == rows(pages.next_page(e), *columns)
+
+
+def test_lists_are_a_view_of_stored_transitions(spark, tmp_path):
+    made = [event(f"{h:02d}:{m:02d}", page_path=f"/{(h * 7 + m) % 5}") for h in (1, 2, 9) for m in range(0, 60, 3)]
+    e, day = events(spark, *made), periods.backfill_days("2024-01-01", "2024-01-07", datetime(2024, 2, 1))
+    families = ("page_stats", "page_transitions")
+    for name, options in (("list", Options(next_pages="merge")), ("view", Options(next_pages="view"))):
+        jobs = Rollups(spark, e, RollupStore(spark, str(tmp_path / name)), options)
+        jobs.backfill(day, families)
+    lists, views = (RollupStore(spark, str(tmp_path / n)) for n in ("list", "view"))
+    for grain in ("minutes", "hourly", "daily", "weekly"):
+        stats, moves = (views.read(f"{grain}_{f}") for f in families)
+        assert stats.where("size(next_pages) > 0").isEmpty()
+        want = lists.read(f"{grain}_page_stats")
+        assert rows(pages.with_next_pages(stats, moves), *want.columns) == rows(want, *want.columns)
+        short = pages.with_next_pages(stats, moves, 1).select(F.size("next_pages").alias("n"))
+        assert {r[0] for r in rows(short, "n")} <= {0, 1}
+
+
+def test_a_page_of_very_many_targets_is_rows(spark):
+    """Two hundred thousand targets of one page: its statistics hold no list of them."""
+    targets = 200_000
+    views = spark.range(2 * targets).select(
+        F.lit(at("10:00")).cast("timestamp_ntz").alias("timestamp"),
+        F.lit("k").alias("sdk_key"),
+        (F.col("id") / 2).cast("long").cast("string").alias("session_id"),
+        F.when(F.col("id") % 2 == 0, "/hub").otherwise(F.concat(F.lit("/t"), F.col("id"))).alias("page_path"),
+        F.lit(1.0).alias("time_on_page_seconds"),
+        F.col("id").alias("event_id"),
+    )
+    hub = pages.minutes_page_stats(views, next_pages="view").where("page_path = '/hub'")
+    assert rows(hub, "page_views", "page_exits") == [(targets, 0)]
+    moves = pages.page_transitions(views).where("page_path = '/hub'")
+    [row] = pages.with_next_pages(hub, moves, 3).collect()
+    assert [n["count"] for n in row["next_pages"]] == [1, 1, 1]

@@ -217,12 +217,22 @@ def _next_pages(to: Column, count: Column) -> Column:
     )
 
 
-def minutes_page_stats(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def _no_list() -> Column:
+    return F.array().cast("array<struct<to: string, count: bigint>>")
+
+
+def minutes_page_stats(
+    events: DataFrame, hot: DataFrame | None = None, next_pages: str = "first"
+) -> DataFrame:
     """Ten-minute page statistics.
 
     Views collapse to one row per transition before the page-level grouping, so a
-    page holding most of the traffic reaches its final task as a short list.
+    page holding most of the traffic reaches its final task as a short list. With
+    ``next_pages="view"`` no list is made: it is that of the transitions (``with_next_pages``).
     """
+    moves = _next_pages(F.col("next_page"), F.col("to_count"))
+    if next_pages == "view":
+        moves = F.any_value(_no_list())
     exits = F.sum(F.when(F.col("next_page").isNull(), F.col("to_count")).otherwise(0))
     return (
         _transitions(events, hot)
@@ -230,7 +240,7 @@ def minutes_page_stats(events: DataFrame, hot: DataFrame | None = None) -> DataF
         .agg(
             F.sum("to_count").alias("page_views"),
             exits.alias("page_exits"),
-            _next_pages(F.col("next_page"), F.col("to_count")).alias("next_pages"),
+            moves.alias("next_pages"),
             *[F.sum(part).alias(part) for part in TIME],
         )
         .select(
@@ -267,18 +277,22 @@ def _roll(lower: DataFrame, source_key: str, key: str, period: Column, next_page
     """Views and exits add up; time on page is the unweighted mean of lower rows.
 
     ``next_pages="first"`` keeps the list of the earliest lower row (the rollup's
-    own definition keeps an arbitrary one); ``"merge"`` adds the lists up.
+    own definition keeps an arbitrary one); ``"merge"`` adds the lists up; with ``"view"``
+    there are none, and ``with_next_pages`` makes those of a merge from the transitions.
     """
-    if next_pages == "first":
+    if next_pages in ("first", "view"):
+        moves = F.min_by("next_pages", source_key)
+        if next_pages == "view":
+            moves = F.any_value(_no_list())
         grouped = lower.groupBy(period.alias(key), "page_path", "sdk_key").agg(
             F.sum("page_views").alias("page_views"),
             F.sum("page_exits").alias("page_exits"),
             *numbers.mean_sums(F.col("avg_time_on_page_seconds"), *TIME),
-            F.min_by("next_pages", source_key).alias("next_pages"),
+            moves.alias("next_pages"),
         )
         return _finish(grouped, key)
     if next_pages != "merge":
-        raise ValueError(f"next_pages must be 'first' or 'merge', not {next_pages!r}")
+        raise ValueError(f"next_pages must be 'first', 'merge' or 'view', not {next_pages!r}")
     # One row with the sums and one for each target, made from a lower row in one pass.
     whole = F.struct(
         F.lit(None).cast("string").alias("to"),
@@ -330,3 +344,18 @@ def daily_page_stats(hourly: DataFrame, next_pages: str = "first") -> DataFrame:
 
 def weekly_page_stats(daily: DataFrame, anchor, next_pages: str = "first") -> DataFrame:
     return _roll(daily, "date", "date", times.week_of(F.col("date"), anchor), next_pages)
+
+
+def with_next_pages(stats: DataFrame, transitions: DataFrame, most: int | None = None) -> DataFrame:
+    """Page statistics with the lists of the transitions stored beside them, or of the ``most``
+    frequent targets. That limit is kept on both sides of the shuffle, so that the list of a
+    page with any number of targets stays short."""
+    key = [stats.columns[0], "page_path", "sdk_key"]
+    moves = transitions.where(F.col("next_page").isNotNull())
+    if most is not None:
+        best = Window.partitionBy(*key).orderBy(F.desc("to_count"), "next_page")
+        moves = moves.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    lists = moves.groupBy(*key).agg(_next_pages(F.col("next_page"), F.col("to_count")).alias("made"))
+    made = F.coalesce("made", _no_list()).alias("next_pages")
+    joined = stats.join(lists, key, "left")
+    return joined.select(*(made if c == "next_pages" else F.col(c) for c in stats.columns))

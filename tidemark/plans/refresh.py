@@ -21,7 +21,7 @@ from tidemark.operators import metrics, pages, users
 from tidemark.plans import skew
 from tidemark.plans.ledger import ARRIVED, BUCKET, SCHEMA, Ledger
 from tidemark.plans.periods import runs_of_days
-from tidemark.plans.rollup import LOWER, Rollups
+from tidemark.plans.rollup import BY_BASE_DAY, LOWER, Rollups
 from tidemark.schema import FAMILIES, TABLES
 from tidemark.sources.arrivals import Arrivals
 from tidemark.sources.events import as_events, limit_events, rebase
@@ -30,7 +30,6 @@ from tidemark.sources.scratch import staged
 # Levels of the ledger. Days and weeks of the per-segment tables are those of the report zone.
 HOUR, DAY, WEEK, REPORT_DAY, REPORT_WEEK = "hour", "day", "week", "report_day", "report_week"
 LENGTH = {HOUR: "1 HOUR", DAY: "1 DAY", REPORT_DAY: "1 DAY", WEEK: "7 DAYS", REPORT_WEEK: "7 DAYS"}
-BY_BASE_DAY = ("metrics", "page_stats")
 
 
 class Refresh:
@@ -88,9 +87,12 @@ class Refresh:
     def _minute_rows(self, family: str, events: DataFrame) -> DataFrame:
         if family == "metrics":
             return metrics.minutes_metrics(events, self.jobs.seen_log.read(events))
-        if family == "page_stats":
-            hot = skew.measured_hot_sessions(events, self.jobs.options.session_quota)
-            return pages.minutes_page_stats(events, hot)
+        if family.startswith("page_"):
+            o = self.jobs.options
+            hot = skew.measured_hot_sessions(events, o.session_quota)
+            if family == "page_transitions":
+                return pages.page_transitions(events, hot)
+            return pages.minutes_page_stats(events, hot, o.next_pages)
         return getattr(users, f"minutes_{family}")(events)
 
     def run(self, closed_to: datetime) -> None:

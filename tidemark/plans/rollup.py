@@ -28,6 +28,8 @@ from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import staged
 from tidemark.sources.store import RollupStore
 
+# Families whose daily tables come from hourly ones; those of the others from events.
+BY_BASE_DAY = ("metrics", "page_stats", "page_transitions")
 LOWER = {"hourly": "minutes", "daily": "hourly", "weekly": "daily"}
 
 
@@ -106,7 +108,7 @@ class Rollups:
         o = self.options
         if table.grain == "minutes":
             return self._minutes(table.family, period, run_grain)
-        if table.grain == "daily" and table.family not in ("metrics", "page_stats"):
+        if table.grain == "daily" and table.family not in BY_BASE_DAY:
             kinds, rows_of = users.FAMILY_FACTS[table.family]
             return rows_of(self._day_facts(period, kinds), ["date"])
         lower = self.store.read(f"{LOWER[table.grain]}_{table.family}", period)
@@ -115,7 +117,8 @@ class Rollups:
     def rolled(self, name: str, lower: DataFrame, anchor: date) -> DataFrame:
         """Rows of a table from those of the grain below; weeks count from ``anchor``."""
         table = TABLES[name]
-        module = {"metrics": metrics, "page_stats": pages}.get(table.family, users)
+        module = pages if table.family.startswith("page_") else users
+        module = metrics if table.family == "metrics" else module
         extra = {"next_pages": self.options.next_pages} if table.family == "page_stats" else {}
         if table.grain == "weekly":
             extra["anchor"] = anchor
@@ -125,10 +128,12 @@ class Rollups:
         if family == "metrics":
             runs = run_grain or self._run_grain(period)
             return metrics.minutes_metrics(self._base_events(period), self._seen(period), runs)
-        if family == "page_stats":
+        if family.startswith("page_"):
             events = self._base_events(period)
             hot = skew.measured_hot_sessions(events, self.options.session_quota)
-            return pages.minutes_page_stats(events, hot)
+            if family == "page_transitions":
+                return pages.page_transitions(events, hot)
+            return pages.minutes_page_stats(events, hot, self.options.next_pages)
         kinds, rows_of = users.FAMILY_FACTS[family]
         keys = users.minute_keys(self.options.closed_end)
         return rows_of(self._minute_facts(period, kinds), keys)
@@ -178,11 +183,12 @@ class Rollups:
         """All five tables of a grain, or those of some families. The three per-segment
         tables that read events are made from facts written once; their period may be given
         apart from that of the others."""
-        for family in ("metrics", "page_stats"):
+        families = tuple(families)
+        for family in BY_BASE_DAY:
             if family in families:
                 self.run(f"{grain}_{family}", period, run_grain)
         period = segment_period or period
-        shared = [f for f in families if f not in ("metrics", "page_stats")]
+        shared = [f for f in families if f not in BY_BASE_DAY]
         if not shared:
             return
         if grain not in ("minutes", "daily"):
@@ -201,7 +207,8 @@ class Rollups:
                 self.store.write(f"{grain}_{family}", rows_of(rows, keys), period)
 
     def backfill(self, days: Period, families: Iterable[str] = tuple(FAMILIES)) -> None:
-        """Every grain over whole days, lower grains first, one bulk job per table.
+        """Every grain over whole days, lower grains first, one bulk job per table. Page
+        transitions are made where ``families`` names them.
 
         Minutes are ten-minute runs whatever the range. Weeks count from the first
         day, and only complete ones are written.

@@ -68,6 +68,17 @@ FAMILIES = {
     ],
 }
 
+# Families that jobs make on request, beside the twenty tables. Page transitions are the long form
+# of ``next_pages``: a page's targets are rows, however many.
+MORE_FAMILIES = {
+    "page_transitions": [
+        ("page_path", T.StringType()),
+        ("next_page", T.StringType()),
+        ("to_count", T.LongType()),
+    ],
+}
+_COLUMNS = FAMILIES | MORE_FAMILIES
+
 # grain -> (time column, its type, partition columns from coarse to fine).
 GRAINS = {
     "minutes": ("date_time", T.TimestampNTZType(), ["dt", "span"]),
@@ -96,12 +107,12 @@ class Table:
 
     @property
     def columns(self) -> list[str]:
-        return [self.time_column, *(n for n, _ in FAMILIES[self.family]), "sdk_key"]
+        return [self.time_column, *(n for n, _ in _COLUMNS[self.family]), "sdk_key"]
 
     @property
     def schema(self) -> T.StructType:
         out = T.StructType().add(self.time_column, GRAINS[self.grain][1])
-        for name, kind in FAMILIES[self.family]:
+        for name, kind in _COLUMNS[self.family]:
             out = out.add(name, kind)
         return out.add("sdk_key", T.StringType())
 
@@ -113,4 +124,4 @@ class Table:
         return out
 
 
-TABLES = {t.name: t for t in (Table(g, f) for g in GRAINS for f in FAMILIES)}
+TABLES = {t.name: t for t in (Table(g, f) for g in GRAINS for f in _COLUMNS)}

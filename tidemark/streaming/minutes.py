@@ -120,7 +120,9 @@ class MinuteStream:
         own = touched.join(self.state.buckets(days), "unit", "left_semi")
         with staged(own, "own-buckets") as units:
             for family in self.families:
-                rows = self.state.rows(family, units, days, self.seen_log.read, self._hot)
+                rows = self.state.rows(
+                    family, units, days, self.seen_log.read, self._hot, self.options.next_pages
+                )
                 self.store.write_units(f"minutes_{family}", rows, units)
             if self.ledger is not None:
                 self.ledger.mark(units, str(tag))

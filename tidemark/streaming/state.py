@@ -33,6 +33,7 @@ VISITS, CLICKS, VIEWS, IDS = "visits", "clicks", "views", "ids"
 NEEDS = {
     "metrics": VISITS,
     "page_stats": VIEWS,
+    "page_transitions": VIEWS,
     "click_summary": CLICKS,
     "top_elements": CLICKS,
     "user_distribution": CLICKS,
@@ -191,7 +192,9 @@ class BucketState:
 
     # Results
 
-    def rows(self, family: str, units: DataFrame, days: list[str], seen, hot) -> DataFrame:
+    def rows(
+        self, family: str, units: DataFrame, days: list[str], seen, hot, next_pages: str = "first"
+    ) -> DataFrame:
         """The rows of a minute table in some buckets, from their partials. ``seen`` gives first
         visits of visitors, ``hot`` sessions too big for one task."""
         kind = NEEDS[family]
@@ -200,9 +203,11 @@ class BucketState:
         if family == "metrics":
             visits = metrics.merged_visits(parts)
             return metrics.metrics_of_visits(visits, seen(visits))
-        if family == "page_stats":
+        if kind == VIEWS:
             views = parts.select(*(c for c in parts.columns if c in [*EVENTS.fieldNames(), times.INSTANT]))
-            return pages.minutes_page_stats(views, hot(views))
+            if family == "page_transitions":
+                return pages.page_transitions(views, hot(views))
+            return pages.minutes_page_stats(views, hot(views), next_pages)
         kinds, rows_of = users.FAMILY_FACTS[family]
         return rows_of(users.segment_facts(parts, ["date_time"], kinds), ["date_time"])
 
