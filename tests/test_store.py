@@ -9,7 +9,7 @@ from tidemark.operators import metrics, users, visitors
 from tidemark.plans import periods
 from tidemark.plans.periods import Period
 from tidemark.plans.rollup import Options, Rollups
-from tidemark.schema import TABLES
+from tidemark.schema import FAMILIES, MORE_FAMILIES, TABLES
 from tidemark.sources import scratch
 from tidemark.sources.adapter import sample_events
 from tidemark.sources.events import limit_events, read_events
@@ -159,7 +159,7 @@ def test_bulk_is_the_sum_of_single_runs(spark, tmp_path):
     names = [n for n in TABLES if not n.startswith("weekly")]
     bulk = rollups(spark, RollupStore(spark, str(tmp_path / "bulk")), *made)
     days = Period(datetime(2024, 1, 1), datetime(2024, 1, 3))
-    bulk.backfill(days)
+    bulk.backfill(days, [*FAMILIES, *MORE_FAMILIES])
     single = Rollups(spark, bulk.events, RollupStore(spark, str(tmp_path / "single")))
     for h in (14, 15):
         for m in range(0, 60, 10):
