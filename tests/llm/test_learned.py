@@ -91,22 +91,25 @@ def vector_rows():
     rows += [(1000 + i, vectors[7], 2) for i in range(300)]  # one vector, many rows
     rows += [rows[20], rows[20], (2000, vectors[3], None), (None, vectors[1], 1)]
     odd = [None, [], [0.0] * 16, [1.0, None] + [0.0] * 14, [float("nan")] * 16, [float("inf")] * 16, [1.0] * 3]
-    return rows + [(3000 + 20 * i, v, 0) for i, v in enumerate(odd)]
+    rows += [(3000 + 20 * i, v, 0) for i, v in enumerate(odd)]
+    # Of another length: searched among themselves. One alone of its length finds nothing.
+    return rows + [(4000, [1.0, 0.0, 0.5], 0), (4001, [0.0, 2.0, 0.0], 0), (4020, [9.0], 0)]
 
 
 def nearest(rows, k, every):
     good = {}
     for i, v, _ in rows:
-        if i is not None and v and len(v) == 16 and all(x is not None and math.isfinite(x) for x in v) and any(v):
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
             good[i] = v
-    ids = np.array(sorted(good))
-    x = np.array([good[i] for i in ids])
     out = {}
-    for q in ids[ids % every == 0]:
-        score = neighbours._inner(x, np.array(good[q]))
-        order = [j for j in np.lexsort((ids, -score)) if ids[j] != q][:k]
-        out[int(q)] = [(int(ids[j]), float(score[j])) for j in order]
-    return out
+    for length in {len(v) for v in good.values()}:
+        ids = np.array(sorted(i for i, v in good.items() if len(v) == length))
+        x = np.array([good[i] for i in ids])
+        for q in ids[ids % every == 0]:
+            score = neighbours._inner(x, np.array(good[q]))
+            order = [j for j in np.lexsort((ids, -score)) if ids[j] != q][:k]
+            out[int(q)] = [(int(ids[j]), float(score[j])) for j in order]
+    return {q: found for q, found in out.items() if found}
 
 
 @pytest.mark.parametrize("shard", [5000, 300])
@@ -122,7 +125,8 @@ def test_neighbours(spark, monkeypatch, shard):
     assert got.keys() == want.keys()
     found = sum(len(set(got[q]) & set(want[q])) for q in want)
     assert found >= 0.97 * sum(map(len, want.values()))
-    assert all(len(got[q]) == 20 and len(set(got[q])) == 20 for q in want)
+    assert all(len(got[q]) == len(want[q]) == len(set(got[q])) for q in want)
+    assert got[4000] == want[4000] == [(3120, 1.5), (4001, 0.0)] and 4020 not in got
     # The vector of many rows: all ties, smaller ids first.
     assert got[1000][:19] == want[1000][:19]
 

@@ -11,8 +11,9 @@ vectors equally long (and is 0 for queries), so graphs use distances. Scores are
 anew in double precision from the original vectors, component by component.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
-those whose length is not the commonest one (the smaller of two as common). Rows without an
-id take no part. Rows that repeat an id and vector count once. Empty tables give no rows.
+rows without an id. Inner products are of vectors of one length: each length has shards and
+query blocks of its own, and a query meets only those of its length. Rows that repeat an id and
+vector count once. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.scratch import written
 
-SHARD_NODES = 5000
-QUERY_BLOCK = 1024
+SHARD_NODES = 25_000
+# Queries that meet a shard's graph together, and those searched a step at a time.
+QUERY_BLOCK, SEARCH_BLOCK = 16_384, 1024
 DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 48, 96, 1.2
 BUILD_BLOCK, PRUNE_BLOCK = 256, 256
 SALTS = 32
@@ -37,17 +40,16 @@ SALTS = 32
 
 
 def usable(rows: DataFrame, id_: str, vector: str) -> DataFrame:
-    """vec_id, vector (doubles) of the rows that take part."""
+    """vec_id, vector (floats, or doubles if given otherwise), length of the rows that take part."""
     v = F.col("vector")
+    floats = rows.schema[vector].dataType == T.ArrayType(T.FloatType(), True)
+    kind = "array<float>" if floats else "array<double>"
     rows = rows.select(
-        F.col(id_).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
+        F.col(id_).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("vector")
     )
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & (F.size(v) > 0) & finite)
-    rows = rows.where(F.exists(v, lambda x: x != 0))
-    # One row per length.
-    sizes = rows.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size(v) == (sizes["n"] if sizes else 0))
+    return rows.where(F.exists(v, lambda x: x != 0)).withColumn("length", F.size(v))
 
 
 def _nodes(rows: DataFrame, k: int) -> DataFrame:
@@ -59,7 +61,8 @@ def _nodes(rows: DataFrame, k: int) -> DataFrame:
     rows = rows.distinct().withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= k + 1)
     whole = Window.partitionBy("key", "vector").orderBy("vec_id")
     rows = rows.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k + 1)
-    return rows.groupBy("key", "vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    ids = F.array_sort(F.collect_list("vec_id")).alias("ids")
+    return rows.groupBy("length", "key", "vector").agg(ids)
 
 
 # The graph of a shard
@@ -96,9 +99,10 @@ def beam_search(
         near = edges[nodes[live, pick]]
         fresh = ~seen[live[:, None], near]
         seen[live[:, None], near] = True
-        distance = np.where(
-            fresh, _squares(points, queries[live], np.where(fresh, near, 0)), np.inf
-        )
+        row, place = fresh.nonzero()
+        step = points[near[row, place]] - queries[live[row]]
+        distance = np.full(near.shape, np.inf, points.dtype)
+        distance[row, place] = np.einsum("ij,ij->i", step, step)
         all_far = np.concatenate([far[live], distance], axis=1)
         all_nodes = np.concatenate([nodes[live], near], axis=1)
         all_opened = np.concatenate([opened[live], ~fresh], axis=1)
@@ -230,54 +234,63 @@ def _vectors(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, f"<f{packed[0]}", offset=1).astype(np.float64).reshape(n, -1)
 
 
-SHARD = "shard int, n int, start int, vectors binary, points binary, edges binary, ids binary, counts binary"
+SHARD = "length int, shard int, n int, start int, vectors binary, edges binary, ids binary, counts binary"
+
+
+def shard_numbers(nodes: DataFrame, size: int) -> DataFrame:
+    """length, shards: how many shards of about ``size`` nodes each length has."""
+    shards = F.greatest(F.lit(1), F.round(F.count(F.lit(1)) / size).cast("int"))
+    return nodes.groupBy("length").agg(shards.alias("shards"))
 
 
-def build_shards(nodes: DataFrame, shards: int) -> DataFrame:
+def build_shards(nodes: DataFrame, numbers: DataFrame) -> DataFrame:
     """One row per shard: its vectors, graph, and the ids of each node."""
 
     def each(table: pa.Table) -> pa.Table:
         vectors = np.array(table["vector"].to_pylist(), np.float64)
-        points = _longer(vectors)
-        edges, start = build_graph(points)
+        edges, start = build_graph(_longer(vectors))
         ids = table["ids"].to_pylist()
         flat = np.array([i for some in ids for i in some], np.int64)
         row = {
+            "length": [vectors.shape[1]],
             "shard": [table["shard"][0].as_py()],
             "n": [len(vectors)],
             "start": [start],
             "vectors": [_bytes(vectors)],
-            "points": [points.tobytes()],
             "edges": [edges.astype(np.int32).tobytes()],
             "ids": [flat.tobytes()],
             "counts": [np.array([len(some) for some in ids], np.int64).tobytes()],
         }
-        kinds = [pa.int32()] * 3 + [pa.binary()] * 5
+        kinds = [pa.int32()] * 4 + [pa.binary()] * 4
         return pa.table(
             [pa.array(c, k) for c, k in zip(row.values(), kinds, strict=True)], list(row)
         )
 
-    dealt = nodes.withColumn("shard", F.pmod(F.hash("key"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(each, SHARD)
+    # Hashing deals unevenly; a shard is bounded in expectation.
+    dealt = nodes.join(numbers, "length").withColumn("shard", F.expr("pmod(hash(key), shards)"))
+    return dealt.groupBy("length", "shard").applyInArrow(each, SHARD)
 
 
-def _blocks(queries: DataFrame, blocks: int) -> DataFrame:
-    """Queries in ``blocks`` tables of ids and vectors."""
+def _blocks(queries: DataFrame) -> DataFrame:
+    """Queries in tables of ids and vectors, of about QUERY_BLOCK queries of one length."""
 
     def each(table: pa.Table) -> pa.Table:
         vectors = np.array(table["vector"].to_pylist(), np.float64)
         ids = np.array(table["vec_id"].to_pylist(), np.int64)
         return pa.table(
             {
+                "length": pa.array([vectors.shape[1]], pa.int32()),
                 "block": pa.array([table["block"][0].as_py()], pa.int32()),
                 "query_ids": pa.array([ids.tobytes()], pa.binary()),
                 "query_vectors": pa.array([_bytes(vectors)], pa.binary()),
             }
         )
 
-    dealt = queries.withColumn("block", F.pmod(F.hash("vec_id"), F.lit(blocks)))
-    return dealt.groupBy("block").applyInArrow(
-        each, "block int, query_ids binary, query_vectors binary"
+    blocks = F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")
+    numbers = queries.groupBy("length").agg(blocks)
+    dealt = queries.join(numbers, "length").withColumn("block", F.expr("pmod(hash(vec_id), blocks)"))
+    return dealt.groupBy("length", "block").applyInArrow(
+        each, "length int, block int, query_ids binary, query_vectors binary"
     )
 
 
@@ -289,36 +302,41 @@ def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _answers(shard: dict, block: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _answers(shard: dict, block: dict, k: int) -> Iterator[pa.RecordBatch]:
     """query_id, vec_id, score of the k best of a shard for each query of a block."""
     n = shard["n"]
     vectors = _vectors(shard["vectors"], n)
-    points = np.frombuffer(shard["points"], np.float32).reshape(n, -1)
+    points = _longer(vectors)
     edges = np.frombuffer(shard["edges"], np.int32).reshape(n, -1).astype(np.int64)
     ids, counts = (np.frombuffer(shard[c], np.int64) for c in ("ids", "counts"))
-    query_ids = np.frombuffer(block["query_ids"], np.int64)
-    queries = _vectors(block["query_vectors"], len(query_ids))
-    # Only a query's direction matters; it is made as long as the points are.
-    size = np.sqrt((queries**2).sum(axis=1, keepdims=True))
+    first = np.cumsum(counts) - counts
     reach = np.sqrt((points[:1].astype(np.float64) ** 2).sum())
-    aimed = np.concatenate([queries / size * reach, np.zeros((len(queries), 1))], axis=1)
     beam = min(max(SEARCH_BEAM, 2 * k), n)
-    found, _ = beam_search(points, edges, shard["start"], aimed.astype(np.float32), beam)
-    row, place = (found >= 0).nonzero()
-    node = found[row, place]
-    score = _inner(queries[row], vectors[node])
-    first = np.cumsum(counts) - counts
-    many = counts[node]
-    ends = np.cumsum(many)
-    at = np.arange(many.sum()) + np.repeat(first[node] - (ends - many), many)
-    row, score, vec_id = np.repeat(row, many), np.repeat(score, many), ids[at]
-    other = vec_id != query_ids[row]
-    row, score, vec_id = row[other], score[other], vec_id[other]
-    order = np.lexsort((vec_id, -score, row))
-    row, score, vec_id = row[order], score[order], vec_id[order]
-    begin = np.searchsorted(row, np.arange(len(query_ids)))
-    kept = np.arange(len(row)) - begin[row] < k
-    return query_ids[row[kept]], vec_id[kept], score[kept]
+    all_ids = np.frombuffer(block["query_ids"], np.int64)
+    all_queries = _vectors(block["query_vectors"], len(all_ids))
+    for low in range(0, len(all_ids), SEARCH_BLOCK):
+        query_ids, queries = (x[low : low + SEARCH_BLOCK] for x in (all_ids, all_queries))
+        # Only a query's direction matters; it is made as long as the points are.
+        size = np.sqrt((queries**2).sum(axis=1, keepdims=True))
+        aimed = np.concatenate([queries / size * reach, np.zeros((len(queries), 1))], axis=1)
+        found, _ = beam_search(points, edges, shard["start"], aimed.astype(np.float32), beam)
+        row, place = (found >= 0).nonzero()
+        node = found[row, place]
+        score = _inner(queries[row], vectors[node])
+        many = counts[node]
+        ends = np.cumsum(many)
+        at = np.arange(many.sum()) + np.repeat(first[node] - (ends - many), many)
+        row, score, vec_id = np.repeat(row, many), np.repeat(score, many), ids[at]
+        other = vec_id != query_ids[row]
+        row, score, vec_id = row[other], score[other], vec_id[other]
+        order = np.lexsort((vec_id, -score, row))
+        row, score, vec_id = row[order], score[order], vec_id[order]
+        begin = np.searchsorted(row, np.arange(len(query_ids)))
+        kept = np.arange(len(row)) - begin[row] < k
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[kept]) for c in (query_ids[row], vec_id, score)],
+            ["query_id", "vec_id", "score"],
+        )
 
 
 def nearest(
@@ -328,25 +346,21 @@ def nearest(
     divisible by ``every``: largest inner product, ties to the smaller id."""
     some = written(usable(rows, id_, vector), "vectors")
     nodes = written(_nodes(some, k), "nodes")
-    # Hashing deals unevenly; a shard is bounded in expectation.
-    shards = max(1, round(nodes.count() / SHARD_NODES))
-    graphs = written(build_shards(nodes, shards), "graphs")
-    queries = some.where(F.col("vec_id") % every == 0).distinct()
-    blocks = written(_blocks(queries, max(1, -(-queries.count() // QUERY_BLOCK))), "blocks")
+    numbers = written(shard_numbers(nodes, SHARD_NODES), "numbers")
+    graphs = written(build_shards(nodes, numbers), "graphs")
+    blocks = written(_blocks(some.where(F.col("vec_id") % every == 0).distinct()), "blocks")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 pair = batch.slice(i, 1).to_pylist()[0]
-                found = _answers(pair, pair, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in found], ["query_id", "vec_id", "score"]
-                )
-
-    # Every block of the query set meets every shard.
-    to = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    pairs = blocks.select("*", to).join(graphs, "shard")
-    pairs = pairs.repartition(F.col("shard"), F.col("block"))
+                yield from _answers(pair, pair, k)
+
+    # Every block of the query set meets every shard of its length.
+    to = F.explode(F.expr("sequence(0, shards - 1)")).alias("shard")
+    pairs = blocks.join(numbers, "length").select(*blocks.columns, to)
+    pairs = pairs.join(graphs, ["length", "shard"])
+    pairs = pairs.repartition("length", "shard", "block")
     answers = pairs.mapInArrow(each, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
