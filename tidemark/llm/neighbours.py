@@ -31,7 +31,7 @@ from tidemark.sources.scratch import written
 SHARD_NODES = 25_000
 # Queries that meet a shard's graph together, and those searched a step at a time.
 QUERY_BLOCK, SEARCH_BLOCK = 16_384, 1024
-DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 48, 96, 1.2
+DEGREE, BEAM, SEARCH_BEAM, ALPHA = 32, 80, 160, 1.2
 BUILD_BLOCK, PRUNE_BLOCK = 256, 256
 SALTS = 32
 
