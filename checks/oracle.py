@@ -328,6 +328,9 @@ def _direct() -> dict[str, str]:
   FROM run)""",
     ]
     last_day = '(SELECT CAST(max(CAST("timestamp" AS DATE)) AS TIMESTAMP) FROM ev)'
+    first_seen = with_(
+        [], 'SELECT client_id, sdk_key, min("timestamp") AS first_seen FROM ev GROUP BY ALL'
+    )
     new_vs_existing = with_(
         [
             f"""e AS (SELECT * FROM ev WHERE "timestamp" >= {last_day})""",
@@ -372,9 +375,9 @@ GROUP BY ALL""",
             [f"seg AS ({segmented('ev')})"], "SELECT event_id, segment_type, segment_value FROM seg"
         ),
         "new_vs_existing_join": new_vs_existing,
-        "first_seen": with_(
-            [], 'SELECT client_id, sdk_key, min("timestamp") AS first_seen FROM ev GROUP BY ALL'
-        ),
+        "new_vs_existing_state": new_vs_existing,
+        "first_seen": first_seen,
+        "first_seen_state": first_seen,
         "agg_count": with_([], "SELECT sdk_key, event_name, count(*) AS n FROM ev GROUP BY ALL"),
         "agg_count_if": with_(
             [],

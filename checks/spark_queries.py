@@ -25,6 +25,7 @@ from tidemark.sources.events import as_events, limit_events
 from tidemark.sources.first_seen import FirstSeenLog
 from tidemark.sources.scratch import scratch_path, written
 from tidemark.sources.store import RollupStore
+from tidemark.sources.visitor_state import VisitorState
 from tidemark.streaming import clicks as click_stream
 from tidemark.streaming import minutes as minute_stream
 
@@ -131,6 +132,32 @@ def first_seen(e: DataFrame) -> DataFrame:
     return visitors.first_seen(e)
 
 
+def folded_state(spark: SparkSession, e: DataFrame) -> VisitorState:
+    """The later half of the events first, folded; then the earlier half of the visitors' events
+    folded into that, and the rest left in the log."""
+    state = VisitorState(spark, scratch_path(spark, "visitors"), buckets=8)
+    days = data_days(e)
+    late = ts() >= F.lit(days.start + (days.end - days.start) / 2)
+    some = F.crc32("client_id") % 2 == 0
+    for run, part in (("late", late), ("some", ~late & some), ("others", ~late & ~some)):
+        state.update(e.where(part), run)
+        if run != "others":
+            state.fold()
+    return state
+
+
+def first_seen_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return folded_state(spark, sample_events(spark, sf_dir)).read()
+
+
+def new_vs_existing_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of the last day in the data, its visitors looked up in the state."""
+    e = sample_events(spark, sf_dir)
+    end = data_days(e).end
+    run = e.where(times.half_open(ts(), end - DAY, end))
+    return visitors.new_and_existing_of(run, folded_state(spark, e).read(run), end - DAY)
+
+
 def segments_long(e: DataFrame) -> DataFrame:
     return users.segments_long(e, ["event_id"])
 
@@ -463,6 +490,8 @@ def all_queries() -> dict[str, Query]:
         # 2.4 joins
         "new_vs_existing_join": e(new_vs_existing),
         "first_seen": e(first_seen),
+        "first_seen_state": first_seen_state,
+        "new_vs_existing_state": new_vs_existing_state,
         # 2.5 aggregates
         "agg_count": e(lambda d: d.groupBy("sdk_key", "event_name").agg(F.count("*").alias("n"))),
         "agg_count_if": e(

@@ -43,3 +43,24 @@ def new_and_existing(events: DataFrame, start, end) -> DataFrame:
             F.count_if(F.col("seen_before").isNotNull()).alias("existing_visitors"),
         )
     )
+
+
+def new_and_existing_of(run: DataFrame, seen: DataFrame, start) -> DataFrame:
+    """As ``new_and_existing`` for a run of events that begins at ``start``, by the first times
+    of its visitors, as a first-seen state gives them, in place of its past."""
+    present = run.select(
+        times.ten_minutes(F.col("timestamp")).alias("date_time"), "client_id", "sdk_key"
+    ).distinct()
+    before = seen.where(F.col("first_seen") < times.at(start)).select(
+        F.col("client_id").alias("known"), F.col("sdk_key").alias("site")
+    )
+    same = (F.col("client_id") == F.col("known")) & (F.col("sdk_key") == F.col("site"))
+    return (
+        present.join(before, same, "left")
+        .groupBy("date_time", "sdk_key")
+        .agg(
+            F.count("client_id").alias("visitors"),
+            F.count_if(F.col("client_id").isNotNull() & F.col("known").isNull()).alias("new_visitors"),
+            F.count("known").alias("existing_visitors"),
+        )
+    )
