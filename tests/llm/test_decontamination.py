@@ -85,7 +85,9 @@ def test_small_shards_and_small_windows(monkeypatch):
     assert len(ids) and key == sorted(key)
 
 
-def test_longest_matches(spark):
+@pytest.mark.parametrize("block", [dc.BLOCK_BYTES, 100])
+def test_longest_matches(spark, monkeypatch, block):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
     docs = spark.createDataFrame(rows(), DOCS)
     items = spark.createDataFrame(ITEMS[:2], "item_id long, text string")
     got = {(r["item"], r["item_word"]): r for r in dc.longest_matches(docs, items).collect()}
@@ -109,7 +111,9 @@ def test_longest_matches(spark):
                 assert texts[found["doc_id"]][p : p + best] == w[at : at + best]
 
 
-def test_removal_keeps_columns_and_clean_rows(spark):
+@pytest.mark.parametrize("block", [dc.BLOCK_BYTES, 300])
+def test_removal_keeps_columns_and_clean_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
     docs = spark.createDataFrame(rows(), DOCS).withColumn("contamination", F.lit("c")).withColumn("items", F.lit(2))
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     clean = dc.decontaminate(docs, items)
@@ -120,9 +124,11 @@ def test_removal_keeps_columns_and_clean_rows(spark):
     assert dc.contamination_report(docs.limit(0), items).count() == 0
 
 
-def test_clashing_columns_pass_through(spark):
+@pytest.mark.parametrize("block", [dc.BLOCK_BYTES, 3])
+def test_clashing_columns_pass_through(spark, monkeypatch, block):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
     kept = [(1, "a", "clean words", 7, 8), (2, "b", "some item text", 7, 8)]
-    docs = spark.createDataFrame(kept, "doc_id long, lang string, text string, found long, row long")
+    docs = spark.createDataFrame(kept, "doc_id long, found string, text string, digest long, row long")
     items = spark.createDataFrame([("i", "item text")], "item_id string, text string")
     left = decontaminate(docs, items)
     assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == kept[:1]
