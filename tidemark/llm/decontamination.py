@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import packed, unpacked
+from tidemark.llm.common import give_memory_back, packed, unpacked
 from tidemark.llm.suffixes import Shard, TestSuffixes, words
 from tidemark.sources.scratch import scratch_path, staged
 
@@ -111,6 +111,7 @@ def find_contamination(
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, kind)], [*batch.schema.names, out]
             )
+            give_memory_back()
 
     return source.mapInArrow(each, T.StructType([*source.schema.fields, T.StructField(out, FOUND)]))
 

@@ -38,8 +38,9 @@ RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
 CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
-SMALL_CACHES = (50_000, 100_000)
 SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
+# The same where workers are to stay small.
+SMALL_CACHES, SMALL_SLICE_BYTES, SMALL_BATCH_BYTES = (40_000, 60_000), 1 << 19, 2 << 20
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
@@ -192,7 +193,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, keep: bool = Tr
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_encoder(vocabulary) if keep else new_encoder(vocabulary, most=SMALL_CACHES)
         for batch in batches:
-            for some in _slices(batch, SLICE_BYTES):
+            for some in _slices(batch, SLICE_BYTES if keep else SMALL_SLICE_BYTES):
                 ids, counts = encoder.encode(some.column(1))
                 last = np.cumsum(counts)
                 packed = [
@@ -208,6 +209,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, keep: bool = Tr
                     ["doc_id", "n_ids", "packed"],
                 )
             give_memory_back()
+        if not keep:
+            del encoder
+            give_memory_back()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(each, STAGED)
@@ -340,7 +344,7 @@ def write_token_files(
     in the order of their ids' bytes. Texts are tokenized once, into ``stage_path``, with
     encoders that workers keep where ``keep`` is on: faster, but memory that what runs in the
     same workers before and after goes without."""
-    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+    with arrow_batches(docs.sparkSession, BATCH_BYTES if keep else SMALL_BATCH_BYTES):
         _write_token_files(docs, path, tokenizer_path, end_id, stage_path, keep)
 
 
@@ -430,6 +434,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], READ.names
                 )
+            give_memory_back()
 
     return _files(spark, path).mapInArrow(each, READ)
 
@@ -443,6 +448,7 @@ def ids_per_file(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sums, pa.int64())], ["file", "n"]
             )
+            give_memory_back()
 
     return _files(spark, path).mapInArrow(each, "file long, n long")
 
