@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import give_memory_back
+from tidemark.llm.common import arrow_batches, give_memory_back
 from tidemark.llm.components import components
 from tidemark.llm.shingles import (
     band_hashes,
@@ -46,6 +46,8 @@ MOST_SENT = 1_000_000
 # Nodes and shingles in a block of a bucket that is compared whole (one node may have more),
 # and shingles looked at at a time.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 4096
+# Of texts that are unpacked together, and of what a Python task gets at a time.
+PAIR_BYTES, BATCH_BYTES = 2 << 20, 4 << 20
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
@@ -103,27 +105,41 @@ def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return source.join(wanted, "node", "left_semi").mapInArrow(each, "node long, packed binary")
 
 
+def _unpacked_pairs(
+    left: pa.Array, right: pa.Array
+) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
+    """Runs of pairs of texts of about PAIR_BYTES in all: the first one's place, and both sides."""
+    first, a, b, held = 0, [], [], 0
+    for i, (x, y) in enumerate(zip(left, right, strict=True)):
+        a.append(zlib.decompress(x.as_py()))
+        b.append(zlib.decompress(y.as_py()))
+        held += len(a[-1]) + len(b[-1])
+        if held >= PAIR_BYTES:
+            yield first, a, b
+            first, a, b, held = i + 1, [], [], 0
+    if a:
+        yield first, a, b
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = [zlib.decompress(t.as_py()) for t in batch.column(2)]
-            right = [zlib.decompress(t.as_py()) for t in batch.column(3)]
             linked = np.zeros(batch.num_rows, bool)
-            for first, last in slices([x + y for x, y in zip(left, right, strict=True)]):
-                n = last - first
-                doc_a, a = shingle_sets(left[first:last], k)
-                doc_b, b = shingle_sets(right[first:last], k)
+            for first, left, right in _unpacked_pairs(batch.column(2), batch.column(3)):
+                n = len(left)
+                doc_a, a = shingle_sets(left, k)
+                doc_b, b = shingle_sets(right, k)
                 doc, value = np.concatenate([doc_a, doc_b]), np.concatenate([a, b])
                 order = np.lexsort((value, doc))
                 doc, value = doc[order], value[order]
                 twice = (doc[1:] == doc[:-1]) & (value[1:] == value[:-1])
                 common = np.bincount(doc[1:][twice], minlength=n)
                 union = np.bincount(doc, minlength=n) - common
-                linked[first:last] = (union > 0) & (100 * common >= percent * union)
+                linked[first : first + n] = (union > 0) & (100 * common >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(linked))
-            del left, right, batch
+            del batch
             give_memory_back()
 
     both = (
@@ -276,6 +292,12 @@ def near_duplicates(
     Two documents are linked when 100 * intersection >= percent * union of their sets of k-word
     shingles; the component is the smallest doc_id reachable, and that one is kept.
     """
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _near_duplicates(docs, k, percent, name)
+
+
+def _near_duplicates(docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
+    """All that Python does is written when this returns."""
     sketch = written(sketched(docs, k), f"{name}-sketch")
     narrow = sketch.select("doc_id", "n_shingles", "digest")
     named = narrow.where("doc_id is not null and digest is not null")
