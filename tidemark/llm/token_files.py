@@ -26,12 +26,13 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import arrow_batches, give_memory_back
+from tidemark.sources.scratch import written
 
 MAGIC = b"TKR1"
 RECORD_IDS = 1 << 18
@@ -41,6 +42,7 @@ CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
 SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 # The same where workers are to stay small.
 SMALL_CACHES, SMALL_SLICE_BYTES, SMALL_BATCH_BYTES = (40_000, 60_000), 1 << 19, 2 << 20
+SMALL_SHARD_IDS = 1 << 21
 HEAD = "<4sIIIQ"
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
@@ -343,7 +345,8 @@ def write_token_files(
     Null and empty texts are the end id alone. Rows that repeat a doc_id stand together,
     in the order of their ids' bytes. Texts are tokenized once, into ``stage_path``, with
     encoders that workers keep where ``keep`` is on: faster, but memory that what runs in the
-    same workers before and after goes without."""
+    same workers before and after goes without. Files are smaller with ``keep`` off, too: who
+    reads one holds it whole."""
     with arrow_batches(docs.sparkSession, BATCH_BYTES if keep else SMALL_BATCH_BYTES):
         _write_token_files(docs, path, tokenizer_path, end_id, stage_path, keep)
 
@@ -384,7 +387,7 @@ def _write_token_files(
             yield record()
 
     total = staged.agg(F.sum("n_ids")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_IDS))
+    shards = max(1, -(-total // (SHARD_IDS if keep else SMALL_SHARD_IDS)))
     records = (
         staged.select("doc_id", "packed")
         .repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), F.xxhash64("packed"))
@@ -439,28 +442,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(each, READ)
 
 
-def ids_per_file(spark: SparkSession, path: str) -> DataFrame:
-    """How many ids each file holds, from the heads of its records."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [sum(h[2] for h in record_heads(c.as_py())) for c in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sums, pa.int64())], ["file", "n"]
-            )
-            give_memory_back()
-
-    return _files(spark, path).mapInArrow(each, "file long, n long")
-
-
 def token_report(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 from the files."""
-    # One row per file of about SHARD_IDS ids.
-    starts, total = [], 0
-    for r in ids_per_file(spark, path).orderBy("file").toLocalIterator():
-        starts.append((r["file"], total))
-        total += r["n"]
-    starts = spark.createDataFrame(starts, "file long, file_start long")
-    return read_token_files(spark, path).join(starts, "file").select(
+    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 from the files,
+    each read once, before this returns."""
+    rows = written(read_token_files(spark, path), "token-rows")
+    # One row per file, of some million ids.
+    sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("file_start"))
+    return rows.join(starts, "file").select(
         "doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
