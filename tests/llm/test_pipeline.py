@@ -75,4 +75,4 @@ def test_run_applies_all_stages(spark, stages):
 
 def test_queries_have_their_contract(spark):
     names = {n.split("_")[0] for n in queries.all_queries()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
