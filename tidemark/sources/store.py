@@ -9,6 +9,7 @@ side, and a backfill of a year leaves a folder per day, not one per ten minutes.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.plans.periods import DAY, HOUR, TEN_MINUTES, WEEK, Period, require_whole
 from tidemark.schema import TABLES, Table
+from tidemark.sources.listing import by_day
 
 WHOLE_DAY = "day"
 # So many hours of a day that has no folder yet get one together.
@@ -130,11 +132,11 @@ class RollupStore:
             return reader.parquet(root)
         # The day before may hold rows that closed runs put past their end.
         first, last = (period.start - DAY).date(), period.days()[1]
-        days = (f"dt={first + i * DAY}" for i in range((last - first).days + 1))
-        there = [d for d in days if fs.exists(self._fs(f"{root}/{d}")[1])]
+        days = [str(first + i * DAY) for i in range((last - first).days + 1)]
+        there = self.days_of(table.name, days)
         if not there:
             return self.spark.createDataFrame([], table.stored_schema)
-        return reader.parquet(*(f"{root}/{d}" for d in there))
+        return reader.parquet(*(f"{root}/dt={d}" for d in days if d in there))
 
     def write(self, name: str, df: DataFrame, period: Period) -> None:
         """Replace the rows of ``period`` with ``df``, matched by column name.
@@ -173,7 +175,7 @@ class RollupStore:
         day = F.col("unit").cast("date").cast("string").alias("dt")
         for r in units.select(day, _hour_span(F.col("unit")).alias("hour")).distinct().collect():
             hours.setdefault(r.dt, set()).add(r.hour)
-        there = {dt: self._spans(name, dt) for dt in hours}
+        there = self._spans(name, hours)
         whole = [
             dt
             for dt, touched in hours.items()
@@ -192,6 +194,8 @@ class RollupStore:
 
         at = F.col(table.time_column)
         in_whole = at.cast("date").cast("string").isin(whole) if whole else F.lit(False)
+        if len(whole) == len(hours):  # of many days, the usual case
+            in_whole = F.lit(True)
         span = F.when(in_whole, WHOLE_DAY).otherwise(_hour_span(at))
         folders = sum(1 if dt in whole else len(touched) for dt, touched in hours.items())
         self._replace(table, df, span, [], wider, keep, max(folders, len(wider)))
@@ -268,33 +272,33 @@ class RollupStore:
         fs.delete(path, True)
 
     def _existing(self, name: str, folders: list[Folder]) -> list[Folder]:
-        """Those of the folders that are there: one listing per day."""
-        found = []
-        for dt in dict.fromkeys(f.dt for f in folders):
-            there = self._spans(name, dt)
-            mine = dict.fromkeys(f for f in folders if f.dt == dt)
-            found += [f for f in mine if f.span in there]
-        return found
+        """Those of the folders that are there."""
+        there = self._spans(name, {f.dt for f in folders})
+        return [f for f in dict.fromkeys(folders) if f.span in there[f.dt]]
 
-    def _spans(self, name: str, dt: str) -> set[str]:
-        """The spans of a day that have folders: one listing."""
-        fs, pattern = self._fs(f"{self.path(name)}/dt={dt}/span=*")
-        there = (s.getPath().getName() for s in fs.globStatus(pattern) or [])
-        return {folder.removeprefix("span=") for folder in there}
+    def _spans(self, name: str, days: Iterable[str]) -> dict[str, set[str]]:
+        """The spans of some days that have folders, by day: one listing."""
+        found = by_day(self.spark, self.path(name), days, "/span=*")
+        return {
+            day: {path.rsplit("/span=", 1)[1] for path in found.get(day, [])} for day in days
+        }
 
-    def has_day(self, name: str, dt: str) -> bool:
-        """Whether a day has a folder; no rows are read."""
-        fs, path = self._fs(f"{self.path(name)}/dt={dt}")
-        return fs.exists(path)
+    def days_of(self, name: str, days: Iterable[str]) -> set[str]:
+        """Those of some days that have a folder: one listing, no rows are read."""
+        return set(by_day(self.spark, self.path(name), days))
 
     def _files(self, name: str, patterns: list[str]) -> dict[str, set[str]]:
-        """Files by folder for the given folder patterns: listings, no Spark job."""
-        found: dict[str, set[str]] = {}
+        """Files by folder for the given folder patterns: a listing for all days that have the
+        same pattern below them, no Spark job."""
+        below: dict[str, list[str]] = {}
         for pattern in patterns:
-            fs, path = self._fs(f"{self.path(name)}/{pattern}/*.parquet")
-            for status in fs.globStatus(path) or []:
-                p = status.getPath()
-                found.setdefault(p.getParent().toString(), set()).add(p.getName())
+            day, *rest = pattern.removeprefix("dt=").split("/")
+            below.setdefault("/".join(["", *rest, "*.parquet"]), []).append(day)
+        found: dict[str, set[str]] = {}
+        for rest, days in below.items():
+            for paths in by_day(self.spark, self.path(name), days, rest).values():
+                for folder, _, file in (path.rpartition("/") for path in paths):
+                    found.setdefault(folder, set()).add(file)
         return found
 
 

@@ -80,6 +80,9 @@ class MinuteStream:
         events = events.withColumn(times.INSTANT, times.instant(events)).select(*COLUMNS)
         with staged(events, "batch") as given:
             days = _days(given.select(times.ten_minutes(F.col("timestamp")).alias("unit")))
+            if self.state.all_new(given, days, tag):
+                self._take(given, tag)
+                return
             with staged(self.state.new_events(given, days, tag), "new-events") as new:
                 self._take(new, tag)
 
@@ -100,10 +103,10 @@ class MinuteStream:
             if not days:
                 return
             if self.history is None:
-                self.state.add(new, None, tag, self.options.source_zone)
+                self.state.add(new, None, tag, self.options.source_zone, len(days))
             else:
                 with staged(self._past(new, touched, days, tag), "past") as past:
-                    self.state.add(new, past, tag, self.options.source_zone)
+                    self.state.add(new, past, tag, self.options.source_zone, len(days))
             self._replace(touched, days, tag)
 
     def _past(self, new: DataFrame, touched: DataFrame, days: list[str], tag: Tag) -> DataFrame:
@@ -145,7 +148,9 @@ class MinuteStream:
         not known here: replacing them would lose those. Rows are read only of days that have
         a folder, and only where the stream does not know a bucket of them."""
         made = [f"minutes_{family}" for family in self.families]
-        days = [d for d in _days(units) if any(self.store.has_day(name, d) for name in made)]
+        days = _days(units)
+        there = set().union(*(self.store.days_of(name, days) for name in made))
+        days = [d for d in days if d in there]
         if not days:
             return
         unknown = units.where(F.col("unit").cast("date").cast("string").isin(days))

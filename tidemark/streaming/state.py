@@ -23,6 +23,7 @@ from tidemark.functions import times
 from tidemark.operators import metrics, pages, users
 from tidemark.schema import EVENTS
 from tidemark.sources.events import identity
+from tidemark.sources.listing import by_day
 from tidemark.sources.scratch import staged
 
 # Folders of a day before these are merged.
@@ -104,9 +105,9 @@ class BucketState:
 
     # Writing
 
-    def add(self, events: DataFrame, past: DataFrame | None, tag: Tag, zone: str) -> None:
+    def add(self, events: DataFrame, past: DataFrame | None, tag: Tag, zone: str, days: int = 1) -> None:
         """The partials of a batch. ``past`` are events of the history that belong to its
-        buckets; ``zone`` is that of the stored time."""
+        buckets; ``zone`` is that of the stored time; ``days`` is about how many days it has."""
         known = _ids(events, False)
         if past is not None:
             known, events = known.unionByName(_ids(past, True)), events.unionByName(past)
@@ -117,19 +118,24 @@ class BucketState:
             VIEWS: lambda: pages.page_views(events),
         }
         for kind in self.kinds:
-            self._write(kind, made[kind](), tag)
+            self._write(kind, made[kind](), tag, days)
 
     def _clicks(self, events: DataFrame, zone: str) -> DataFrame:
         local = times.zone_day(times.instant(events), zone, self.report_zone)
         return users.collapsed(users.minute_clicks(events.withColumn("date", local)), ["date_time", "date"])
 
-    def _write(self, kind: str, rows: DataFrame, tag: Tag) -> None:
+    def _write(self, kind: str, rows: DataFrame, tag: Tag, days: int) -> None:
         names = [c.split()[0] for c in _KINDS[kind].split(", ")]
         dt = F.col("date_time").cast("date").cast("string")
+        rows = rows.select(*names, dt.alias("dt"), F.lit(str(tag)).alias("batch"))
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # Sized by bytes, one task would write the files of many small days one after another.
+        if days > tasks:
+            rows = rows.repartitionByRange(tasks, "dt", "date_time", F.xxhash64(*names))
+        else:
+            rows = rows.hint("rebalance", F.col("dt"))
         (
-            rows.select(*names, dt.alias("dt"), F.lit(str(tag)).alias("batch"))
-            .hint("rebalance", F.col("dt"))
-            .sortWithinPartitions("dt", "date_time")
+            rows.sortWithinPartitions("dt", "date_time")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("dt", "batch")
@@ -141,21 +147,26 @@ class BucketState:
     def parts(self, kind: str, days: list[str], but: Tag | None = None) -> DataFrame:
         """The partials of some days; ``but`` leaves out those of one batch. Only the folders
         of these days are listed."""
-        there = [f for day in days for f in self._folders(kind, day)]
-        there = [f for f in there if but is None or not f.endswith(f"/batch={but}")]
+        tags = self._tags_of(kind, days)
+        there = [
+            f"{self.root}/{kind}/dt={day}/batch={tag}"
+            for day in days
+            for tag in current(tags[day])
+            if tag != but
+        ]
         if not there:
-            return self.spark.createDataFrame([], SCHEMAS[kind])
+            # A limit of no rows, unlike a list of none, is known to be empty when planned.
+            return self.spark.createDataFrame([], SCHEMAS[kind]).limit(0)
         reader = self.spark.read.schema(SCHEMAS[kind]).option("basePath", f"{self.root}/{kind}")
         return reader.parquet(*there)
 
-    def _folders(self, kind: str, day: str) -> list[str]:
-        tags = current(self._tags(kind, day))
-        return [f"{self.root}/{kind}/dt={day}/batch={tag}" for tag in tags]
-
     def _tags(self, kind: str, day: str) -> list[Tag]:
-        fs, pattern = self._fs(f"{self.root}/{kind}/dt={day}/batch=*")
-        names = (s.getPath().getName() for s in fs.globStatus(pattern) or [])
-        return [Tag.of(name.removeprefix("batch=")) for name in names]
+        return self._tags_of(kind, [day])[day]
+
+    def _tags_of(self, kind: str, days: list[str]) -> dict[str, list[Tag]]:
+        """The folders of some days, by day: one listing."""
+        found = by_day(self.spark, f"{self.root}/{kind}", days, "/batch=*")
+        return {d: [Tag.of(f.rsplit("/batch=", 1)[1]) for f in found.get(d, [])] for d in days}
 
     def has_batch(self, tag: Tag) -> bool:
         fs, pattern = self._fs(f"{self.root}/{IDS}/dt=*/batch={tag}")
@@ -176,6 +187,17 @@ class BucketState:
         names = (s.getPath().getName() for s in fs.globStatus(pattern) or [])
         return any(Tag.of(n.removeprefix("batch=")).number >= tag.number for n in names)
 
+    def all_new(self, events: DataFrame, days: list[str], tag: Tag) -> bool:
+        """Whether ``new_events`` are all events: told by their ids alone, so that a batch in
+        which nothing is given again is neither shuffled nor written once more."""
+        named = F.col("event_id").isNotNull().alias("named")
+        keyed = events.select(times.ten_minutes(F.col("timestamp")).alias("date_time"), identity().alias("id"), named)
+        if not keyed.where("named").groupBy("id").count().where("count > 1").isEmpty():
+            return False
+        known = self.parts(IDS, days, but=tag).select("date_time", "id", "past")
+        met = keyed.join(known, ["date_time", "id"]).where("named or past")
+        return met.isEmpty()
+
     def new_events(self, events: DataFrame, days: list[str], tag: Tag) -> DataFrame:
         """Events that other batches have not brought yet, each once. An event without an id
         may come several times in a stream, and is held against the history's only."""
@@ -224,7 +246,7 @@ class BucketState:
     def merge(self, days: list[str], tag: Tag) -> None:
         """Days of many folders get one in place of all that ``tag``'s stream has written."""
         for kind in self.kinds:
-            tags = {day: self._tags(kind, day) for day in days}
+            tags = self._tags_of(kind, days)
             mine = {d: [t for t in current(ts) if t.stream == tag.stream] for d, ts in tags.items()}
             many = [d for d, ts in mine.items() if len(ts) > MOST_FOLDERS]
             if many:
@@ -232,9 +254,8 @@ class BucketState:
                 reader = self.spark.read.schema(SCHEMAS[kind])
                 parts = reader.option("basePath", f"{self.root}/{kind}").parquet(*folders)
                 with staged(self._merged(kind, parts), f"merged-{kind}") as rows:
-                    self._write(kind, rows, Tag(tag.stream, tag.number, merged=True))
-            for day in days:
-                now = self._tags(kind, day)
+                    self._write(kind, rows, Tag(tag.stream, tag.number, merged=True), len(many))
+            for day, now in (self._tags_of(kind, days) if many else tags).items():
                 for old in set(now) - set(current(now)):
                     fs, path = self._fs(f"{self.root}/{kind}/dt={day}/batch={old}")
                     fs.delete(path, True)
