@@ -165,3 +165,20 @@ def test_archives_are_deflated_fast(spark):
     (content,) = (bytes(r["content"]) for r in archives._read(spark, f"{path}/arc").collect())
     assert html.encode() in gzip.decompress(content)
     assert len(content) > 1.02 * len(gzip.compress(gzip.decompress(content), 6))
+
+
+def test_a_name_is_looked_up_once(tokenizer, monkeypatch):
+    looked, find = Counter(), token_files.Table.find
+    monkeypatch.setattr(token_files.Table, "find", lambda self, names: looked.update(names) or find(self, names))
+    texts = ["Hello hello x-1 naïve", None, "Hello don't", "<|endoftext|> Hello"]
+    encoder = token_files.ChunkEncoder(tokenizer, True)
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+    # "hello" is a chunk and a part, so once each.
+    assert looked["Hello"] == 1 and looked["hello"] == 2
+
+
+@pytest.mark.parametrize("ids", [[], [1], [3, 65_535], [70_000, 1]])
+def test_packed_ids_are_read_back(ids):
+    assert token_files._unpack(token_files._pack(np.array(ids, np.uint32))).tolist() == ids

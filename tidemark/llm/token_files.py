@@ -39,7 +39,8 @@ RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
 CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
-SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
+COUNTED_BYTES = 1 << 18
 # The same where workers are to stay small.
 SMALL_CACHES, SMALL_SLICE_BYTES, SMALL_BATCH_BYTES = (40_000, 60_000), 1 << 19, 2 << 20
 SMALL_SHARD_IDS = 1 << 21
@@ -74,11 +75,13 @@ class Table:
     def find(self, names: list[str]) -> np.ndarray:
         return np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
 
-    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The numbers of these names, none of which was there."""
         first = len(self.starts) - 1
         self.number.update(zip(names, range(first, first + len(names)), strict=True))
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return np.arange(first, first + len(names))
 
     def keep(self, n: int) -> None:
         """The first n names to come: frequent ones come early."""
@@ -118,39 +121,49 @@ class ChunkEncoder:
         names = coded.dictionary.to_pylist()
         numbers = self.chunks.find(names)
         if len(new := np.flatnonzero(numbers < 0)):
-            self._learn([names[i] for i in new])
-            numbers = self.chunks.find(names)
+            numbers[new] = self._learn([names[i] for i in new])
         each = numbers[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
         total = np.concatenate([[0], np.cumsum(self.chunks.sizes(each))])
         ends = np.cumsum(n_chunks)
         return self.chunks.runs(each), total[ends] - total[ends - n_chunks]
 
-    def _learn(self, chunks: list[str]) -> None:
-        plain, others = [], []
-        for c in chunks:
-            easy = self.by_parts and "<|" not in c and _PLAIN.fullmatch(c)
-            (plain if easy else others).append(c)
-        if others:
+    def _learn(self, chunks: list[str]) -> np.ndarray:
+        """Adds these chunks, each given once; returns their numbers."""
+        easy = np.fromiter(
+            (self.by_parts and "<|" not in c and bool(_PLAIN.fullmatch(c)) for c in chunks),
+            bool,
+            len(chunks),
+        )
+        numbers = np.zeros(len(chunks), np.int64)
+        if others := [chunks[i] for i in np.flatnonzero(~easy)]:
             runs = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in others]
-            self._add(self.chunks, others, runs)
-        if plain:
+            numbers[~easy] = self._add(self.chunks, others, runs)
+        if plain := [chunks[i] for i in np.flatnonzero(easy)]:
             parts = _PARTS.findall("\n".join(plain).lower())
-            ends = np.array([p == "\n" for p in parts])
-            numbers = self.parts.find(parts)
-            missing = dict.fromkeys(parts[i] for i in np.flatnonzero((numbers < 0) & ~ends))
-            self._add(self.parts, list(missing), [self._spelled(p) for p in missing])
-            numbers = np.maximum(self.parts.find(parts), 0)  # a line's end is the empty run
-            sizes = np.bincount(np.cumsum(ends) - ends, self.parts.sizes(numbers), len(plain))
-            self.chunks.add(plain, self.parts.runs(numbers), sizes.astype(np.int64))
-
-    def _spelled(self, part: str) -> list[int]:
-        spelled = part.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            coded = pa.array(parts, pa.string()).dictionary_encode()
+            names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            found = self.parts.find(names)
+            ends = at == (names.index("\n") if "\n" in names else -1)
+            if "\n" in names:
+                found[names.index("\n")] = 0  # a line's end is the empty run
+            if len(missing := np.flatnonzero(found < 0)):
+                some = [names[i] for i in missing]
+                tokenize = self.tokenizer.model.tokenize
+                runs = [[t.id for t in tokenize(self._spelled(p))] for p in some]
+                found[missing] = self._add(self.parts, some, runs)
+            of = found[at]
+            sizes = np.bincount(np.cumsum(ends) - ends, self.parts.sizes(of), len(plain))
+            numbers[easy] = self.chunks.add(plain, self.parts.runs(of), sizes.astype(np.int64))
+        return numbers
+
+    def _spelled(self, part: str) -> str:
+        """A letter for each byte; printable ASCII stands for itself."""
+        return part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
 
     @staticmethod
-    def _add(table: Table, names: list[str], runs: list[list[int]]) -> None:
+    def _add(table: Table, names: list[str], runs: list[list[int]]) -> np.ndarray:
         ids = np.fromiter(chain.from_iterable(runs), np.uint32)
-        table.add(names, ids, np.array([len(r) for r in runs], np.int64))
+        return table.add(names, ids, np.array([len(r) for r in runs], np.int64))
 
 
 def ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -188,7 +201,7 @@ STAGED = "doc_id long, n_ids long, packed binary"
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, keep: bool = True) -> DataFrame:
-    """doc_id, n_ids and the deflated 32-bit ids of every text, each with its end id. Workers
+    """doc_id, n_ids and the packed ids of every text, each with its end id. Workers
     keep the encoder between tasks, or, with ``keep`` off, make a smaller one for each."""
     vocabulary = open(tokenizer_path, encoding="utf-8").read()
 
@@ -219,9 +232,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, keep: bool = Tr
     return source.mapInArrow(each, STAGED)
 
 
-def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``most`` bytes of text; a longer text by itself."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+def _slices(batch: pa.RecordBatch, most: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``most`` bytes in a column of texts; a longer text by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     first, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if i > first and held + size > most:
@@ -232,14 +245,21 @@ def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first)
 
 
+_ZSTD = "zstd"
+
+
 def _pack(ids: np.ndarray) -> bytes:
-    """Deflated; as 16-bit numbers, told by a leading byte, where they fit."""
-    small = len(ids) == 0 or ids.max() < 1 << 16
-    return bytes([2 if small else 4]) + zlib.compress(ids.astype("<u2" if small else "<u4"), 1)
+    """Compressed; as 16-bit numbers where they fit. Ahead stand the bytes of a number and how
+    many there are."""
+    width = 2 if len(ids) == 0 or ids.max() < 1 << 16 else 4
+    raw = ids.astype(f"<u{width}").tobytes()
+    return struct.pack("<BI", width, len(ids)) + pa.Codec(_ZSTD, 1).compress(raw, asbytes=True)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed[1:]), f"<u{packed[0]}")
+    width, n = struct.unpack_from("<BI", packed)
+    raw = pa.Codec(_ZSTD).decompress(packed[5:], width * n, asbytes=True)
+    return np.frombuffer(raw, f"<u{width}")
 
 
 # Ranks
@@ -252,8 +272,10 @@ def id_ranks(staged: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for packed in batch.column(0):
-                more = np.bincount(_unpack(packed.as_py()))
+            # A count is as long as the vocabulary, so it is made of many documents at once.
+            for some in _slices(batch, COUNTED_BYTES, 0):
+                ids = [_unpack(packed) for packed in some.column(0).to_pylist()]
+                more = np.bincount(np.concatenate(ids))
                 if len(more) > len(total):
                     total = np.append(total, np.zeros(len(more) - len(total), np.int64))
                 total[: len(more)] += more
