@@ -7,17 +7,30 @@ a passage with a benchmark item; the rest is mixed to target weights and encoded
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontamination, minhash, mixing, queries_files, toxicity
-from tidemark.llm.common import read
+from tidemark.llm.common import arrow_batches, read
 from tidemark.sources.scratch import written
 
+# Of texts that a Python task gets at a time. An executor's buffers for them stay with it, and
+# those of all stages add up.
+BATCH_BYTES = 2 << 20
+
+
+def in_small_batches(spark: SparkSession, stage: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The stage's rows, written while the setting holds."""
+    with arrow_batches(spark, BATCH_BYTES):
+        return written(stage(), f"pipeline-{name}-batches")
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below 0.5. Null texts score like empty ones; repeated rows are judged
     each; without labels of both kinds all rows stay, or go, by the share of toxic ones."""
-    return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
+    labels = read(spark, sf_dir, "labels")
+    return in_small_batches(spark, lambda: toxicity.without_toxic(docs, labels), "toxicity")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +40,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a window of any item. Null and empty texts, and an empty benchmark, have none."""
-    return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    items = read(spark, sf_dir, "benchmark")
+    return in_small_batches(spark, lambda: decontamination.decontaminate(docs, items), "decontamination")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per row of ``docs``, repeats included; a null or empty text is its end id alone.
     Workers have had other stages, so they keep no encoders."""
-    return queries_files.encoded(docs, keep=False)
+    return in_small_batches(spark, lambda: queries_files.encoded(docs, keep=False), "tokens")
 
 
 STAGES = [

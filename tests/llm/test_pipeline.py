@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -76,3 +77,25 @@ def test_run_applies_all_stages(spark, stages):
 def test_queries_have_their_contract(spark):
     names = {n.split("_")[0] for n in queries.all_queries()}
     assert names == {f"op{i}" for i in range(1, 14)}
+
+
+@pytest.mark.parametrize(("stage", "module", "inner", "table"), [
+    ("drop_toxic", "toxicity", "without_toxic", "labels"),
+    ("drop_contaminated", "decontamination", "decontaminate", "benchmark"),
+])
+def test_python_gets_small_batches(spark, tmp_path, monkeypatch, stage, module, inner, table):
+    """An executor's buffers are as large as the batches that go to Python."""
+    spark.range(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text").coalesce(1)
+
+    def sized(docs, _):
+        def each(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+        return docs.mapInArrow(each, "n long")
+
+    monkeypatch.setattr(getattr(corpus_pipeline, module), inner, sized)
+    got = [r["n"] for r in getattr(corpus_pipeline, stage)(spark, docs, str(tmp_path)).collect()]
+    assert sum(got) > 3000 * 5000
+    assert max(got) < 2 * corpus_pipeline.BATCH_BYTES

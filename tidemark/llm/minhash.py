@@ -47,7 +47,7 @@ MOST_SENT = 1_000_000
 # and shingles looked at at a time.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 4096
 # Of texts that are unpacked together, and of what a Python task gets at a time.
-PAIR_BYTES, BATCH_BYTES = 2 << 20, 4 << 20
+PAIR_BYTES, BATCH_BYTES = 2 << 20, 2 << 20
 SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
