@@ -67,3 +67,45 @@ def test_similar_sets_share_prefixes():
             common = len(np.intersect1d(*both))
             if 100 * common >= 90 * (len(both[0]) + len(both[1]) - common):
                 assert set(token[owner == 0]) & set(token[owner == 1])
+
+
+def test_similar_sets_share_keys():
+    """Sets that differ in as many shingles as a link allows, of all sizes, in either order."""
+    draw = np.random.default_rng(5)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    links = 0
+    for percent in (50, 80, 90):
+        for size in (*range(1, 40), 120, 619, 700):
+            base = np.unique(draw.integers(0, 1 << 63, 2 * size).astype(np.uint64))
+            base = draw.permutation(base)
+            differ = 2 * size * (100 - percent) // (100 + percent)
+            for gone in {0, differ // 2, differ}:
+                a, b = base[: size - gone // 2], base[gone - gone // 2 : size + (differ - gone) // 2]
+                doc = np.repeat([0, 1], [len(a), len(b)])
+                doc, value, _ = prefix_join.ordered(doc, np.concatenate([np.sort(a), np.sort(b)]), *none)
+                text, key = prefix_join.part_keys(doc, value, 2, percent)
+                common = len(np.intersect1d(a, b))
+                union = len(a) + len(b) - common
+                if 0 < common < union and 100 * common >= percent * union:
+                    links += 1
+                    assert set(key[text == 0]) & set(key[text == 1])
+    assert links > 100
+
+
+def test_unrelated_texts_do_not_meet(spark, monkeypatch):
+    """Texts of few words share many shingles, but are nowhere near each other."""
+    rows = {}
+
+    def noted(df, name):
+        out = written(df, name)
+        rows[name] = out.count()
+        return out
+
+    written = prefix_join.written
+    monkeypatch.setattr(prefix_join, "written", noted)
+    draw = random.Random(6)
+    texts = [" ".join(draw.choice("abcdefghijkl") for _ in range(150)) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = prefix_join.similar_documents(docs, 3, 90).collect()
+    assert sorted(r["component_id"] for r in got) == list(range(400))
+    assert rows["prefix-buckets"] + rows["prefix-open"] < 400
