@@ -7,30 +7,24 @@ a passage with a benchmark item; the rest is mixed to target weights and encoded
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontamination, minhash, mixing, queries_files, toxicity
-from tidemark.llm.common import arrow_batches, read
-from tidemark.sources.scratch import written
+from tidemark.llm.common import in_small_batches, read
+from tidemark.sources.scratch import staged
 
 # Of texts that a Python task gets at a time. An executor's buffers for them stay with it, and
 # those of all stages add up.
 BATCH_BYTES = 2 << 20
 
 
-def in_small_batches(spark: SparkSession, stage: Callable[[], DataFrame], name: str) -> DataFrame:
-    """The stage's rows, written while the setting holds."""
-    with arrow_batches(spark, BATCH_BYTES):
-        return written(stage(), f"pipeline-{name}-batches")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below 0.5. Null texts score like empty ones; repeated rows are judged
     each; without labels of both kinds all rows stay, or go, by the share of toxic ones."""
-    labels = read(spark, sf_dir, "labels")
-    return in_small_batches(spark, lambda: toxicity.without_toxic(docs, labels), "toxicity")
+    docs = in_small_batches(docs, BATCH_BYTES)
+    return toxicity.without_toxic(docs, read(docs.sparkSession, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +34,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a window of any item. Null and empty texts, and an empty benchmark, have none."""
-    items = read(spark, sf_dir, "benchmark")
-    return in_small_batches(spark, lambda: decontamination.decontaminate(docs, items), "decontamination")
+    docs = in_small_batches(docs, BATCH_BYTES)
+    return decontamination.decontaminate(docs, read(docs.sparkSession, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per row of ``docs``, repeats included; a null or empty text is its end id alone.
     Workers have had other stages, so they keep no encoders."""
-    return in_small_batches(spark, lambda: queries_files.encoded(docs, keep=False), "tokens")
+    return queries_files.encoded(in_small_batches(docs, BATCH_BYTES), keep=False)
 
 
 STAGES = [
@@ -69,7 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage kept goes once the next one has been written; the
+    last one has read all it was given when it returns."""
+    docs, given = read(spark, sf_dir, "documents"), ExitStack()
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with given, ExitStack() as kept:
+            docs = kept.enter_context(staged(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+            given = kept.pop_all()
+    with given:
+        return STAGES[-1][1](spark, docs, sf_dir)

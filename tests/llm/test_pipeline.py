@@ -13,6 +13,8 @@ from tests.llm.plain import words
 from tests.llm.test_decontamination import plain as windows
 from tests.llm.test_near_duplicates import plain as components
 from tidemark.llm import queries, queries_files
+from tidemark.llm.common import in_small_batches
+from tidemark.sources import scratch
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -99,3 +101,51 @@ def test_python_gets_small_batches(spark, tmp_path, monkeypatch, stage, module,
     got = [r["n"] for r in getattr(corpus_pipeline, stage)(spark, docs, str(tmp_path)).collect()]
     assert sum(got) > 3000 * 5000
     assert max(got) < 2 * corpus_pipeline.BATCH_BYTES
+
+
+@pytest.fixture
+def made(spark, tmp_path, monkeypatch):
+    """A folder of tables of texts that no codec shortens much, and the scratch folder."""
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    text = "array_join(transform(sequence(1, 100), i -> sha2(concat(id, ':', i), 256)), ' ')"
+    docs = spark.range(300).selectExpr(
+        "id AS doc_id", f"{text} AS text", "'en' AS lang", "concat('s', id % 3) AS source", "1L AS n_chars"
+    )
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.range(40).selectExpr("id AS doc_id", "0 AS toxic")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items = spark.createDataFrame([("a", "no document has this")], "item_id string, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    return tmp_path, tmp_path / "scratch"
+
+
+def held(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+
+
+@pytest.mark.parametrize("stage", ["drop_toxic", "drop_contaminated"])
+def test_stages_leave_no_copy_of_all_documents(spark, made, stage):
+    tables, kept = made
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    getattr(corpus_pipeline, stage)(spark, docs, str(tables)).write.parquet(f"{tables}/out")
+    assert Counter(spark.read.parquet(f"{tables}/out").collect()) == Counter(docs.collect())
+    # 40 of 300 texts are labelled; these are kept to learn from.
+    assert held(kept) < held(tables / "documents.parquet") / 4
+
+
+def test_run_leaves_nothing_that_stages_kept(spark, made):
+    tables, kept = made
+    got = corpus_pipeline.run(spark, str(tables))
+    assert len({r["doc_id"] for r in got.collect()}) > 200
+    assert list((kept / "tidemark").glob("pipeline-*")) == []
+
+
+def test_rows_in_small_batches_keep_settings_and_columns(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(NULL AS STRING) AS `a.b`, NULL AS none")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    own = in_small_batches(docs, 1 << 16)
+    assert own.dtypes == docs.dtypes and own.collect() == docs.collect()
+    conf = own.sparkSession.conf
+    assert conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(1 << 16)
+    assert conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # Bytes that end a word: space and the five controls from tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]++"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,13 +35,27 @@ def unpacked(rows: DataFrame, columns: list[str], *apart: str) -> DataFrame:
 @contextmanager
 def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
     """Python tasks of jobs run within get smaller batches than the session's."""
-    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, most_bytes)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, most_bytes)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(BATCH_SETTING, before)
+
+
+def in_small_batches(docs: DataFrame, most_bytes: int) -> DataFrame:
+    """The same rows in a session of their own, with the settings of theirs but smaller
+    batches for Python tasks. What is derived from these rows runs in that session whenever
+    its result is asked for, so nothing has to be written while a setting holds."""
+    spark = docs.sparkSession
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set(BATCH_SETTING, most_bytes)
+    # A union is of its first side's session.
+    fields = (F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema)
+    return own.range(0).where("false").select(*fields).union(docs)
 
 
 def give_memory_back() -> None:
