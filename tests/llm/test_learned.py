@@ -131,6 +131,15 @@ def test_neighbours(spark, monkeypatch, shard):
     assert got[1000][:19] == want[1000][:19]
 
 
+def test_places_of_a_beam_that_are_not_filled_are_empty():
+    """Whatever the sort does with equal distances: neither absent edges nor nodes met before."""
+    points = np.array([[0.0, 1.0], [1.0, 0.0]], np.float32)
+    edges = np.array([[1, 2, 2, 2, 0, 0, 0, 0]] * 2)
+    nodes, far = neighbours.beam_search(points, edges, 0, points, 5)
+    assert [sorted(row) for row in nodes.tolist()] == [[-1, -1, -1, 0, 1]] * 2
+    assert np.isfinite(far).sum() == 4
+
+
 def test_few_vectors_and_none(spark):
     kind = "vec_id long, embedding array<float>"
     some = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [1.0, 0.0])], kind)

@@ -104,7 +104,7 @@ def beam_search(
         distance = np.full(near.shape, np.inf, points.dtype)
         distance[row, place] = np.einsum("ij,ij->i", step, step)
         all_far = np.concatenate([far[live], distance], axis=1)
-        all_nodes = np.concatenate([nodes[live], near], axis=1)
+        all_nodes = np.concatenate([nodes[live], np.where(fresh, near, -1)], axis=1)
         all_opened = np.concatenate([opened[live], ~fresh], axis=1)
         best = np.argpartition(all_far, beam - 1, axis=1)[:, :beam]
         far[live] = np.take_along_axis(all_far, best, axis=1)
