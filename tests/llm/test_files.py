@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -182,3 +183,17 @@ def test_a_name_is_looked_up_once(tokenizer, monkeypatch):
 @pytest.mark.parametrize("ids", [[], [1], [3, 65_535], [70_000, 1]])
 def test_packed_ids_are_read_back(ids):
     assert token_files._unpack(token_files._pack(np.array(ids, np.uint32))).tolist() == ids
+
+
+def test_a_new_chunk_of_known_parts_takes_no_call(tokenizer):
+    """A match, a split and a look-up of each in Python were most of the query's time."""
+    encoder, words = token_files.ChunkEncoder(tokenizer, True), [a + b for a in "abcdefgh" for b in "éklm"]
+    encoder.encode(pa.array([" ".join(words) + " -"]))
+    text, calls = " ".join(f"{a}-{b}" for a in words for b in words), Counter()
+    sys.setprofile(lambda _, event, what: calls.update([event]))
+    try:
+        ids, _ = encoder.encode(pa.array([text]))
+    finally:
+        sys.setprofile(None)
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert calls.total() < len(words) ** 2

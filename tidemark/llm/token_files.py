@@ -15,7 +15,6 @@ Files are written by Spark's text writer, so that failed or repeated tasks leave
 
 from __future__ import annotations
 
-import re
 import struct
 import sys
 import zlib
@@ -39,7 +38,7 @@ RECORD_IDS = 1 << 18
 SHARD_IDS = 1 << 23
 # What a worker process remembers from task to task, some 200 bytes each.
 CACHE_CHUNKS, CACHE_PARTS = 150_000, 350_000
-SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
+SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 COUNTED_BYTES = 1 << 18
 # The same where workers are to stay small.
 SMALL_CACHES, SMALL_SLICE_BYTES, SMALL_BATCH_BYTES = (40_000, 60_000), 1 << 19, 2 << 20
@@ -52,9 +51,10 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3) + 1
 
 
 # Chunks of printable ASCII and Latin-1 letters: lower-casing and splitting them needs no
-# Unicode tables, so their parts can be looked up one by one.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+")
+# Unicode tables, so their parts can be looked up one by one. Arrow matches and splits all
+# chunks at once.
+_PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+_PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
 
 
 def byte_letters() -> dict[int, str]:
@@ -116,46 +116,55 @@ class ChunkEncoder:
             if len(table.number) > most:
                 table.keep(most // 2)
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        n_chunks = pc.list_value_length(lists).to_numpy()
         coded = lists.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        numbers = self.chunks.find(names)
+        numbers = self.chunks.find(_strings(coded.dictionary))
         if len(new := np.flatnonzero(numbers < 0)):
-            numbers[new] = self._learn([names[i] for i in new])
-        each = numbers[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-        total = np.concatenate([[0], np.cumsum(self.chunks.sizes(each))])
-        ends = np.cumsum(n_chunks)
-        return self.chunks.runs(each), total[ends] - total[ends - n_chunks]
+            numbers[new] = self._learn(coded.dictionary.take(pa.array(new)))
+        return self._joined(self.chunks, numbers, coded, lists)
 
-    def _learn(self, chunks: list[str]) -> np.ndarray:
+    def _learn(self, chunks: pa.Array) -> np.ndarray:
         """Adds these chunks, each given once; returns their numbers."""
-        easy = np.fromiter(
-            (self.by_parts and "<|" not in c and bool(_PLAIN.fullmatch(c)) for c in chunks),
-            bool,
-            len(chunks),
-        )
+        easy = self._easy(chunks)
         numbers = np.zeros(len(chunks), np.int64)
-        if others := [chunks[i] for i in np.flatnonzero(~easy)]:
+        if others := _strings(chunks.filter(pa.array(~easy))):
             runs = [self.tokenizer.encode(c, add_special_tokens=False).ids for c in others]
             numbers[~easy] = self._add(self.chunks, others, runs)
-        if plain := [chunks[i] for i in np.flatnonzero(easy)]:
-            parts = _PARTS.findall("\n".join(plain).lower())
-            coded = pa.array(parts, pa.string()).dictionary_encode()
-            names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        plain = chunks.filter(pa.array(easy))
+        if len(plain):
+            spaced = pc.replace_substring_regex(pc.utf8_lower(plain), _PARTS, r" \0")
+            lists = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(spaced))
+            coded = lists.flatten().dictionary_encode()
+            names = _strings(coded.dictionary)
             found = self.parts.find(names)
-            ends = at == (names.index("\n") if "\n" in names else -1)
-            if "\n" in names:
-                found[names.index("\n")] = 0  # a line's end is the empty run
             if len(missing := np.flatnonzero(found < 0)):
-                some = [names[i] for i in missing]
+                some = [names[i] for i in missing.tolist()]
                 tokenize = self.tokenizer.model.tokenize
                 runs = [[t.id for t in tokenize(self._spelled(p))] for p in some]
                 found[missing] = self._add(self.parts, some, runs)
-            of = found[at]
-            sizes = np.bincount(np.cumsum(ends) - ends, self.parts.sizes(of), len(plain))
-            numbers[easy] = self.chunks.add(plain, self.parts.runs(of), sizes.astype(np.int64))
+            ids, sizes = self._joined(self.parts, found, coded, lists)
+            numbers[easy] = self.chunks.add(_strings(plain), ids, sizes)
         return numbers
 
+    def _easy(self, chunks: pa.Array) -> np.ndarray:
+        """Which chunks can be encoded by their parts."""
+        if not self.by_parts:
+            return np.zeros(len(chunks), bool)
+        special = pc.match_substring(chunks, "<|")
+        easy = pc.and_not(pc.match_substring_regex(chunks, _PLAIN), special)
+        return easy.to_numpy(zero_copy_only=False)
+
+    @staticmethod
+    def _joined(
+        table: Table, numbers: np.ndarray, coded: pa.DictionaryArray, lists: pa.Array
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of all names in the lists, one after another, and each list's number of
+        ids; ``numbers`` are those of the distinct names, ``coded`` the names of all lists."""
+        each = numbers[coded.indices.to_numpy()]
+        total = np.concatenate([[0], np.cumsum(table.sizes(each))])
+        n = pc.list_value_length(lists).to_numpy()
+        ends = np.cumsum(n)
+        return table.runs(each), total[ends] - total[ends - n]
+
     def _spelled(self, part: str) -> str:
         """A letter for each byte; printable ASCII stands for itself."""
         return part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
@@ -166,6 +175,10 @@ class ChunkEncoder:
         return table.add(names, ids, np.array([len(r) for r in runs], np.int64))
 
 
+def _strings(names: pa.Array) -> list[str]:
+    return names.to_numpy(zero_copy_only=False).tolist()
+
+
 def ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
     ends = np.cumsum(count)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - count), count)
